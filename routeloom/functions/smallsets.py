@@ -1,0 +1,37 @@
+"""Sets of small whole numbers kept as bits of one long.
+
+``collect_set`` grows a buffer per group and leaves the hash aggregation once a task
+holds more than a few hundred groups. A bit mask is a fixed eight bytes, so the
+aggregation stays a code-generated hash aggregation with a partial stage.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+MAX_WIDTH = 62
+
+
+def set_mask(value: Column, low: int, high: int) -> Column:
+    """Aggregate: bit ``v - low`` is on if ``v`` occurs. Nulls are left out.
+
+    A value outside the range stops the query: the mask could not hold it.
+    """
+    if not 0 <= high - low < MAX_WIDTH:
+        raise ValueError(f"the range may span at most {MAX_WIDTH} values")
+    problem = F.concat(F.lit(f"not in {low}..{high}: "), value.cast("string"))
+    bit = F.when(
+        value.between(low, high),
+        F.call_function("shiftleft", F.lit(1).cast("long"), (value - low).cast("int")),
+    ).when(value.isNotNull(), F.raise_error(problem).cast("long"))
+    return F.bit_or(bit)
+
+
+def mask_text(mask: Column, low: int, high: int, separator: str = ",") -> Column:
+    """The members of a mask in rising order, as text; empty text for an empty set."""
+    members = [
+        F.when(mask.bitwiseAND(F.lit(1 << (member - low)).cast("long")) != 0, F.lit(str(member)))
+        for member in range(low, high + 1)
+    ]
+    return F.concat_ws(separator, *members)

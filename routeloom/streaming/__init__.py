@@ -1,0 +1 @@
+"""Empty on purpose: every source here is a finished table and every job a batch."""
