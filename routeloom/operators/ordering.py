@@ -94,11 +94,15 @@ def prefix(spark: SparkSession, path: str, rows: int) -> DataFrame:
     )
     if last is None:
         return table
+    file, length = F.col(_FILE), F.length(_FILE)
     name, size = F.lit(last["file"]), F.lit(len(last["file"]))
-    earlier = (F.length(_FILE) < size) | ((F.length(_FILE) == size) & (F.col(_FILE) < name))
-    inside = (F.col(_FILE) == name) & (F.col(_ROW) < rows - last["offset"])
-    # the first condition alone lets Spark drop the later files while planning
-    return table.filter(earlier | (F.col(_FILE) == name)).filter(earlier | inside)
+    # The first two conditions know the file name only: Spark drops the later files while
+    # planning. They stay separate conjuncts, or it would fold the row number into them.
+    return table.filter(
+        (length <= size)
+        & ((length < size) | (file <= name))
+        & ((file != name) | (F.col(_ROW) < rows - last["offset"]))
+    )
 
 
 def row_total(spark: SparkSession, path: str) -> int:

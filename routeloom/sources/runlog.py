@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import (
     RUN_SCHEMA,
@@ -24,16 +26,41 @@ def read_run_records(spark: SparkSession, pattern: str, environment: bool = Fals
     Logs with and without the environment column are different families and are read
     apart; a log of the wrong family stops the query instead of being misread.
     """
-    schema = RUN_SCHEMA_WITH_ENVIRONMENT if environment else RUN_SCHEMA
-    records = read_csv(spark, pattern, schema)
-    return records.select("*", log_place().alias("log_place"))
+    records = read_csv(spark, pattern, _schema(environment))
+    return records.select("*", _log_place().alias("log_place"))
 
 
-def log_place() -> Column:
-    """Directory, then age, file and line: later records of a log compare greater."""
-    folder = F.regexp_replace("_metadata.file_path", "[^/]*$", "")
+def read_run_records_or_empty(
+    spark: SparkSession, pattern: str, environment: bool = False
+) -> DataFrame:
+    """As ``read_run_records``, but a family without logs is an empty table."""
+    try:
+        return read_run_records(spark, pattern, environment)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    schema = T.StructType([*_schema(environment), T.StructField("log_place", _PLACE)])
+    return spark.createDataFrame([], schema)
+
+
+def _schema(environment: bool) -> T.StructType:
+    return RUN_SCHEMA_WITH_ENVIRONMENT if environment else RUN_SCHEMA
+
+
+_PLACE = (
+    T.StructType()
+    .add("folder", T.StringType())
+    .add("written", T.TimestampType())
+    .add("file", T.StringType())
+    .add("block", T.LongType())
+    .add("line", T.LongType())
+)
+
+
+def _log_place() -> Column:
+    """Folder, then age, file and line: later records of a log compare greater."""
     return F.struct(
-        folder.alias("folder"),
+        F.regexp_replace("_metadata.file_path", "[^/]*$", "").alias("folder"),
         F.col("_metadata.file_modification_time").alias("written"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -43,7 +70,6 @@ def log_place() -> Column:
 
 def read_summary(spark: SparkSession, path: str, environment: bool = False) -> DataFrame:
     """A consolidated summary, or no rows if there is none yet."""
-    schema = RUN_SCHEMA_WITH_ENVIRONMENT if environment else RUN_SCHEMA
+    schema = _schema(environment)
     names = SUMMARY_COLUMNS_WITH_ENVIRONMENT if environment else SUMMARY_COLUMNS
-    ordered = type(schema)([schema[name] for name in names])
-    return read_csv_or_empty(spark, path, ordered)
+    return read_csv_or_empty(spark, path, T.StructType([schema[name] for name in names]))
