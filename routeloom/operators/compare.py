@@ -20,34 +20,65 @@ def check_same_columns(left: DataFrame, right: DataFrame) -> None:
         )
 
 
-def only_in_left(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of the left table that the right one does not have, copies counted."""
+def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row per distinct row of either table, with its copies in each.
+
+    Copies are counted before the shuffle, so a row with very many of them travels once
+    per task.
+    """
     check_same_columns(left, right)
-    return left.exceptAll(right)
+    sides = left.select("*", F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(
+        right.select("*", F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    return sides.groupBy(*left.columns).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+
+
+def surplus(left: DataFrame, right: DataFrame, count: str = "surplus") -> DataFrame:
+    """The distinct rows of which the left table has more copies, and how many more."""
+    extra = (F.col("_l") - F.col("_r")).alias(count)
+    return _counted(left, right).filter(F.col("_l") > F.col("_r")).select(*left.columns, extra)
+
+
+def only_in_left(left: DataFrame, right: DataFrame, piece: int = 10_000) -> DataFrame:
+    """Rows of the left table that the right one does not have, copies counted.
+
+    The same rows as ``exceptAll``. Rows with more copies than ``piece`` are cut into
+    pieces and the pieces dealt out, so that no task has to repeat one row without end.
+    """
+    names, n = left.columns, F.col("_n")
+    extra = surplus(left, right, "_n")
+
+    def repeat(rows: DataFrame) -> DataFrame:
+        return rows.select(*names, F.explode(F.sequence(F.lit(1), n.cast("int")))).select(*names)
+
+    # a stated width, since by their size alone Spark would fold the pieces together again
+    width = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.floor((n - 1) / piece)
+    at = F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_at")
+    pieces = (
+        extra.filter(n > piece)
+        .select(*names, "_n", at)
+        .repartition(width, "_at")
+        .withColumn("_n", F.least(F.lit(piece), n - F.col("_at") * piece))
+    )
+    return repeat(extra.filter(n <= piece)).unionAll(repeat(pieces))
 
 
 def compare(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: left_rows, right_rows, left_only_rows, right_only_rows, matching.
 
-    Each table is counted per distinct row in a partial aggregation before the shuffle, so
-    a row with very many copies travels once per task. One pass gives both directions.
+    One pass gives both directions.
     """
-    check_same_columns(left, right)
-    names = left.columns
-    sides = left.select("*", F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(
-        right.select("*", F.lit(0).alias("_l"), F.lit(1).alias("_r"))
-    )
-    per_row = sides.groupBy(*names).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    surplus = F.col("_l") - F.col("_r")
+    more = F.col("_l") - F.col("_r")
 
     def total(column):
         return F.coalesce(F.sum(column), F.lit(0))
 
-    counts = per_row.agg(
+    counts = _counted(left, right).agg(
         total(F.col("_l")).alias("left_rows"),
         total(F.col("_r")).alias("right_rows"),
-        total(F.greatest(surplus, F.lit(0))).alias("left_only_rows"),
-        total(F.greatest(-surplus, F.lit(0))).alias("right_only_rows"),
+        total(F.greatest(more, F.lit(0))).alias("left_only_rows"),
+        total(F.greatest(-more, F.lit(0))).alias("right_only_rows"),
     )
     same = (F.col("left_only_rows") == 0) & (F.col("right_only_rows") == 0)
     return counts.withColumn("matching", same)

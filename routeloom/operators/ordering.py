@@ -20,20 +20,36 @@ _FILE = "_metadata.file_name"
 _ROW = "_metadata.row_index"
 
 
+# A sort task of this many rows fits an executor; only tables too large for the session's
+# shuffle width get more tasks than that.
+ROWS_PER_SORT_TASK = 4_000_000
+
+
 def write_ordered(
-    table: DataFrame, order: Sequence[str | Column], path: str, mode: str = "errorifexists"
+    table: DataFrame,
+    order: Sequence[str | Column],
+    path: str,
+    mode: str = "errorifexists",
+    rows: int | None = None,
 ) -> None:
     """Sort the whole table and write it so that file order is row order.
 
     Keys are column names or expressions; nulls come last. Expressions are computed once
-    per row, before the shuffle, and dropped again after the sort.
+    per row, before the shuffle, and dropped again after the sort. ``rows``, if known,
+    sets how many sort tasks a large table is cut into.
     """
     computed = {f"_key{at}": key for at, key in enumerate(order) if isinstance(key, Column)}
-    keys = [f"_key{at}" if isinstance(key, Column) else key for at, key in enumerate(order)]
+    names = [f"_key{at}" if isinstance(key, Column) else key for at, key in enumerate(order)]
+    keys = [F.col(name).asc_nulls_last() for name in names]
+    keyed = table.select("*", *[key.alias(name) for name, key in computed.items()])
+    width = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = -(-(rows or 0) // ROWS_PER_SORT_TASK)
+    if tasks > width:
+        placed = keyed.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    else:
+        placed = keyed.orderBy(*keys)
     (
-        table.select("*", *[key.alias(name) for name, key in computed.items()])
-        .orderBy(*[F.col(name).asc_nulls_last() for name in keys])
-        .select(*table.columns)
+        placed.select(*table.columns)
         .write.mode(mode)
         .option("maxRecordsPerFile", 0)
         .parquet(path)
@@ -51,7 +67,8 @@ def sort_table(
     table = spark.read.parquet(source)
     fingerprint = F.unhex(row_fingerprint(table.columns))
     spread = F.xxhash64(F.col(_FILE), F.col(_ROW))
-    write_ordered(table, [*order, fingerprint, spread], path, mode)
+    rows = row_total(spark, source)
+    write_ordered(table, [*order, fingerprint, spread], path, mode, rows)
 
 
 def file_offsets(spark: SparkSession, path: str) -> DataFrame:

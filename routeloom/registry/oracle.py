@@ -362,6 +362,9 @@ ORACLE = {
         late_part AS (SELECT {_KEYS} FROM clean WHERE month >= 5)
         {_compare('early', 'late_part', _KEYS)}""",
     "multiset_difference": f"""WITH {CLEAN}
+        SELECT origin, dest, departure_delay_band FROM clean WHERE month <= 6 EXCEPT ALL
+        SELECT origin, dest, departure_delay_band FROM clean WHERE month > 6""",
+    "multiset_surplus": f"""WITH {CLEAN}
         SELECT origin, dest, departure_delay_band, count(*) AS surplus FROM (
             SELECT origin, dest, departure_delay_band FROM clean WHERE month <= 6 EXCEPT ALL
             SELECT origin, dest, departure_delay_band FROM clean WHERE month > 6)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fingerprint import row_fingerprint
 from ..operators import grouping
-from ..operators.compare import compare, only_in_left
+from ..operators.compare import compare, only_in_left, surplus
 from ..operators.ordering import prefix, row_total, sort_table, with_position, write_ordered
 from ..operators.replicate import replicate, replicate_by_union
 from ..plans import clean as cleaning
@@ -422,16 +422,22 @@ def compare_outputs_differing(spark, sf_dir):
     return compare(rows.filter("month <= 8"), rows.filter("month >= 5"))
 
 
-@query
-def multiset_difference(spark, sf_dir):
-    """Copies in one half of the year beyond those in the other."""
+def _halves(spark, sf_dir):
     table = read_parquet(spark, clean_path(spark, sf_dir))
-    halves = table.select("origin", "dest", "departure_delay_band", "month")
     names = ["origin", "dest", "departure_delay_band"]
-    rest = only_in_left(
-        halves.filter("month <= 6").select(*names), halves.filter("month > 6").select(*names)
-    )
-    return rest.groupBy(*names).agg(F.count(F.lit(1)).alias("surplus"))
+    return table.filter("month <= 6").select(*names), table.filter("month > 6").select(*names)
+
+
+@query
+def multiset_difference(spark, sf_dir):
+    """Rows of one half of the year beyond their copies in the other."""
+    return only_in_left(*_halves(spark, sf_dir))
+
+
+@query
+def multiset_surplus(spark, sf_dir):
+    """The same counted per distinct row."""
+    return surplus(*_halves(spark, sf_dir))
 
 
 # --- run records -----------------------------------------------------------------------

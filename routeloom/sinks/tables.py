@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import _name, drop_table, location
+from ..sources.tables import _name, location
 
 
 def create_table_as(
     spark: SparkSession, database: str, table: str, path: str, query: str, **views: DataFrame
 ) -> DataFrame:
-    """A Parquet table at a location from a query; ``{view}`` in it names a DataFrame."""
+    """A Parquet table at a location from a query; ``{view}`` in it names a DataFrame.
+
+    An earlier table of that name and earlier files at that location are replaced; plain
+    SQL would refuse a location that is not empty.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)}")
-    drop_table(spark, database, table)
-    spark.sql(
-        f"CREATE TABLE {_name(database, table)} USING PARQUET LOCATION {location(path)} AS {query}",
-        **views,
-    )
-    return spark.table(_name(database, table))
+    result = spark.sql(query, **views)
+    full_name = _name(database, table)
+    result.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(full_name)
+    return spark.table(full_name)
 
 
 def export_directory(spark: SparkSession, path: str, query: str, **views: DataFrame) -> None:

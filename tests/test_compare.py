@@ -3,8 +3,9 @@ from collections import Counter
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from routeloom.operators.compare import TablesDiffer, compare, only_in_left, require_same
+from routeloom.operators.compare import TablesDiffer, compare, only_in_left, require_same, surplus
 
 VALUES = st.lists(
     st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from([None, 0.5, float("nan")])),
@@ -27,7 +28,19 @@ def test_counts_equal_brute_force(spark, left, right):
     a, b = bag(left), bag(right)
     expected = (len(left), len(right), (a - b).total(), (b - a).total(), a == b)
     assert tuple(mine) == expected
-    assert only_in_left(table(spark, left), table(spark, right)).count() == (a - b).total()
+    rest = only_in_left(table(spark, left), table(spark, right), piece=2).collect()
+    assert bag(rest) == a - b
+
+
+def test_many_copies_are_cut_into_pieces(spark):
+    left = spark.range(50_000).selectExpr("if(id % 3 = 0, 0, id) AS v")
+    right = spark.range(0, 50_000, 7).selectExpr("if(id % 2 = 0, 0, id) AS v")
+    mine = only_in_left(left, right, piece=1_000)
+    assert require_same(mine, left.exceptAll(right))["matching"]
+    hot = surplus(left, right).filter("v = 0").first().surplus
+    assert hot > 10_000
+    tasks = mine.filter("v = 0").groupBy(F.spark_partition_id()).count().collect()
+    assert max(task["count"] for task in tasks) < hot
 
 
 def test_other_names_or_types_are_refused(spark):

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from routeloom.functions.fingerprint import row_fingerprint
+from routeloom.operators import ordering
 from routeloom.operators.compare import require_same
 from routeloom.operators.ordering import (
     file_offsets,
@@ -84,6 +85,15 @@ def test_many_copies_of_one_row_are_spread(spark, tmp_path, wide):
     assert prefix(spark, path, 15_000).count() == 15_000
 
 
+def test_large_tables_get_more_sort_tasks(spark, sorted_table, tmp_path, monkeypatch):
+    source, path = sorted_table
+    monkeypatch.setattr(ordering, "ROWS_PER_SORT_TASK", 500)
+    sort_table(spark, source, SAMPLE_ORDER, str(tmp_path / "t"))
+    assert file_offsets(spark, str(tmp_path / "t")).count() == 12
+    places = [with_position(spark, p) for p in (path, str(tmp_path / "t"))]
+    require_same(*places)
+
+
 def test_nulls_come_last(spark, tmp_path):
     path = str(tmp_path / "t")
     table = spark.createDataFrame([(None,), (2,), (1,), (None,)], "v int")
