@@ -34,22 +34,28 @@ def band(
 
 def label_of_code(value: Column, labels: Mapping[str, str], default: str) -> Column:
     """The label of a code, or the default for null and for codes not listed."""
-    hits = [F.when(value == known, F.lit(label)) for known, label in labels.items()]
-    return F.coalesce(*hits, F.lit(default))
+    pairs = [F.lit(text) for pair in labels.items() for text in pair]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), value), F.lit(default))
 
 
 def argmax_label(labels: Mapping[str, str], none_label: str) -> Column:
     """The label of the column with the largest value; null counts as 0.
 
     Of equal columns the first listed wins. If nothing is above 0 the answer is
-    ``none_label``.
+    ``none_label``. One comparison of (value, precedence, label) entries: the short code
+    it compiles to matters, since the JVM never compiles a stage's method beyond 8000
+    bytes and would interpret the whole cleaning stage instead.
     """
-    values = {name: F.coalesce(F.col(name), F.lit(0.0)) for name in labels}
-    largest = F.greatest(*values.values())
-    first_hit = F.coalesce(
-        *[F.when(value == largest, F.lit(labels[name])) for name, value in values.items()]
+    entries = [(F.lit(0.0), 1, none_label)]
+    for at, (name, label) in enumerate(labels.items()):
+        entries.append((F.coalesce(F.col(name), F.lit(0.0)), -at, label))
+    best = F.greatest(
+        *[
+            F.struct(value.alias("value"), F.lit(rank).alias("rank"), F.lit(label).alias("label"))
+            for value, rank, label in entries
+        ]
     )
-    return F.when(largest > 0, first_hit).otherwise(F.lit(none_label))
+    return best["label"]
 
 
 def list_rank(value: Column, order: Sequence[str]) -> Column:

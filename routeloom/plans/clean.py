@@ -36,17 +36,13 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def rules() -> dict[str, Column]:
-    """What a typed row must satisfy to be kept."""
-
-    def filled(name: str) -> Column:
-        return F.col(name).isNotNull() & (F.col(name) != "")
-
+    """What a typed row must satisfy to be kept; unknown is not enough."""
     return {
         "date": F.col("fl_date").isNotNull(),
         "month": F.col("month").between(1, 12),
-        "carrier": filled("op_unique_carrier"),
-        "origin": filled("origin"),
-        "dest": filled("dest"),
+        "carrier": F.col("op_unique_carrier") != "",
+        "origin": F.col("origin") != "",
+        "dest": F.col("dest") != "",
         "route": F.col("origin") != F.col("dest"),
         "diverted": F.coalesce(F.col("diverted"), F.lit(0)) == 0,
     }

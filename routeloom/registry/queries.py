@@ -32,7 +32,7 @@ from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet
 from ..sinks.runlog import append_run_records
 from ..sinks.tables import create_table_as, export_directory
-from ..sources.adapters import flights, flights_text, read_table, run_records
+from ..sources.adapters import flights, read_table, run_records, write_faulty_csv
 from ..sources.files import read_csv, read_parquet, read_raw_csv
 from ..sources.runlog import (
     SAMPLE_LOGS,
@@ -56,6 +56,19 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean(flights(spark, sf_dir))
 
 
+_raw: dict[tuple[str, str], str] = {}
+
+
+def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw flights with faults, from CSV written once per application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _raw:
+        path = scratch_path(spark, "raw_csv")
+        write_faulty_csv(spark, sf_dir, path)
+        _raw[key] = path
+    return read_raw_csv(spark, _raw[key])
+
+
 _written: dict[tuple[str, str], str] = {}
 
 
@@ -100,11 +113,8 @@ def scan_parquet(spark, sf_dir):
 
 @query
 def scan_csv(spark, sf_dir):
-    """Raw text written as CSV, blanks kept, and read by its header."""
-    path = scratch_path(spark, "raw_csv")
-    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    flights_text(spark, sf_dir).write.option("header", True).options(**keep).csv(path)
-    return read_raw_csv(spark, path)
+    """Raw text read by its header, every column as text."""
+    return raw_text(spark, sf_dir)
 
 
 @query
@@ -184,12 +194,12 @@ def export_delay_report(spark, sf_dir):
 
 @query
 def typed_projection(spark, sf_dir):
-    return cleaning.typed(flights_text(spark, sf_dir))
+    return cleaning.typed(raw_text(spark, sf_dir))
 
 
 @query
 def normalize_codes(spark, sf_dir):
-    raw = flights_text(spark, sf_dir).select("op_unique_carrier", "origin", "origin_city_name")
+    raw = raw_text(spark, sf_dir).select("op_unique_carrier", "origin", "origin_city_name")
     read = raw.select(
         F.col("op_unique_carrier").alias("raw_carrier"),
         F.col("origin").alias("raw_origin"),
@@ -202,7 +212,7 @@ def normalize_codes(spark, sf_dir):
 
 @query
 def parse_dates(spark, sf_dir):
-    raw = flights_text(spark, sf_dir)
+    raw = raw_text(spark, sf_dir)
     read = raw.select(
         F.col("fl_date").alias("raw_date"), cleaning.text.to_date(F.col("fl_date")).alias("fl_date")
     )
@@ -217,7 +227,7 @@ def derive_route(spark, sf_dir):
 
 @query
 def cancel_flag(spark, sf_dir):
-    rows = cleaning.typed(flights_text(spark, sf_dir))
+    rows = cleaning.typed(raw_text(spark, sf_dir))
     flags = rows.select("cancelled", cleaning.is_cancelled().alias("is_cancelled"))
     return flags.groupBy("cancelled", "is_cancelled").agg(F.count(F.lit(1)).alias("n"))
 
@@ -240,12 +250,12 @@ def primary_cause(spark, sf_dir):
 
 @query
 def clean_rules(spark, sf_dir):
-    return cleaning.rule_counts(flights_text(spark, sf_dir))
+    return cleaning.rule_counts(raw_text(spark, sf_dir))
 
 
 @query
 def clean_table(spark, sf_dir):
-    return cleaning.clean(flights_text(spark, sf_dir))
+    return cleaning.clean(raw_text(spark, sf_dir))
 
 
 @query
@@ -255,7 +265,7 @@ def clean_table_typed(spark, sf_dir):
 
 @query
 def quality_metrics(spark, sf_dir):
-    return cleaning.account(flights_text(spark, sf_dir))
+    return cleaning.account(raw_text(spark, sf_dir))
 
 
 # --- route statistics ------------------------------------------------------------------

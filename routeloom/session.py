@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "512m",
+    # the JVM interprets longer methods; beyond this Spark splits the stage's code instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -1,8 +1,8 @@
 """The driver's tables seen as the inputs of this library.
 
 ``flights`` reads an order line as a flight from its supplier's nation to its customer's
-nation; ``flights_text`` is the same as raw text with faults in it; ``run_records`` reads
-an event as the record of a timed run.
+nation; ``faulty_flights`` is the same with faults in it, for writing as raw text;
+``run_records`` reads an event as the record of a timed run.
 """
 
 from __future__ import annotations
@@ -98,49 +98,54 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legs.select(*[column.alias(name) for name, column in _flight_columns().items()])
 
 
-def flights_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw flight columns as text, with bad text in some rows.
+def faulty_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw flight columns as they are to be written to CSV, with bad text in some rows.
 
     ``fault(m)`` is the order key modulo m; each kind of fault has a modulus of its own.
+    Columns without faults are left for the CSV writer to turn into text.
     """
-    legs = _legs(spark, sf_dir)
-    texts = {name: column.cast("string") for name, column in _flight_columns().items()}
-    kinds = RAW_COLUMNS
+    columns = _flight_columns()
 
     def fault(modulus: int) -> Column:
         return F.col("l_orderkey") % modulus
 
-    for name, kind in kinds.items():
+    for name, kind in RAW_COLUMNS.items():
         if kind == "int_via_double":
-            texts[name] = F.concat(texts[name], F.lit(".0"))
-    texts["fl_date"] = (
-        F.when(fault(53) == 0, "2024-13-40").when(fault(53) != 1, texts["fl_date"])
-    )
-    texts["month"] = (
+            columns[name] = columns[name].cast("double")
+    day, month = columns["fl_date"].cast("string"), columns["month"].cast("string")
+    carrier, origin, dest = (columns[c] for c in ("op_unique_carrier", "origin", "dest"))
+    columns["fl_date"] = F.when(fault(53) == 0, "2024-13-40").when(fault(53) != 1, day)
+    columns["month"] = (
         F.when(fault(59) == 0, "13")
         .when(fault(59) == 1, "0")
         .when(fault(59) == 2, "x1")
-        .when(fault(59) == 3, F.concat(texts["month"], F.lit(".0")))
-        .otherwise(texts["month"])
-    )
-    texts["op_unique_carrier"] = (
-        F.when(fault(61) == 0, "  ").when(fault(61) != 1, texts["op_unique_carrier"])
+        .when(fault(59) == 3, F.concat(month, F.lit(".0")))
+        .otherwise(month)
     )
-    texts["origin"] = (
-        F.when(fault(79) == 0, F.concat(F.lit("  "), F.lower(texts["origin"])))
+    columns["op_unique_carrier"] = F.when(fault(61) == 0, "  ").when(fault(61) != 1, carrier)
+    columns["origin"] = (
+        F.when(fault(79) == 0, F.concat(F.lit("  "), F.lower(origin)))
         .when(fault(79) == 1, " ")
-        .otherwise(texts["origin"])
+        .otherwise(origin)
     )
-    texts["dest"] = (
-        F.when(fault(83) == 0, F.concat(F.lower(texts["dest"]), F.lit(" ")))
-        .when(fault(83) != 1, texts["dest"])
+    columns["dest"] = F.when(fault(83) == 0, F.concat(F.lower(dest), F.lit(" "))).when(
+        fault(83) != 1, dest
     )
-    texts["origin_city_name"] = F.concat(F.lit(" "), texts["origin_city_name"], F.lit(", X "))
-    texts["dep_delay"] = F.when(fault(67) == 0, "abc").otherwise(texts["dep_delay"])
-    texts["cancelled"] = F.when(fault(71) != 0, texts["cancelled"])
-    texts["diverted"] = F.when(fault(73) != 0, texts["diverted"])
-    texts["cancellation_code"] = F.lower(F.concat(F.lit(" "), texts["cancellation_code"]))
-    return legs.select(*[column.alias(name) for name, column in texts.items()])
+    columns["origin_city_name"] = F.concat(F.lit(" "), columns["origin_city_name"], F.lit(", X "))
+    columns["dep_delay"] = F.when(fault(67) == 0, "abc").otherwise(
+        columns["dep_delay"].cast("string")
+    )
+    columns["cancelled"] = F.when(fault(71) != 0, columns["cancelled"])
+    columns["diverted"] = F.when(fault(73) != 0, columns["diverted"])
+    columns["cancellation_code"] = F.lower(F.concat(F.lit(" "), columns["cancellation_code"]))
+    return _legs(spark, sf_dir).select(*[c.alias(name) for name, c in columns.items()])
+
+
+def write_faulty_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write ``faulty_flights`` as a headed CSV, blanks kept."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows = faulty_flights(spark, sf_dir)
+    rows.write.mode("overwrite").option("header", True).options(**keep).csv(path)
 
 
 def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from routeloom.functions import labels, text
 from routeloom.operators.quality import GateFailed, require_rows, require_zero
 from routeloom.plans import clean as cleaning
 from routeloom.schemas import CLEAN_COLUMNS, CLEAN_SCHEMA, RAW_COLUMNS
-from routeloom.sources.adapters import flights, flights_text
+from routeloom.sources.adapters import flights, write_faulty_csv
 from routeloom.sources.files import read_raw_csv
 
 from .fixtures import CASES, raw_lines, write_raw
@@ -113,8 +113,9 @@ def test_band_and_rank_check_their_arguments(spark):
     assert [row[0] for row in ranks.collect()] == [2, 3, 3, 1]
 
 
-def test_account_matches_rows(spark, data):
-    raw = flights_text(spark, data)
+def test_account_matches_rows(spark, data, tmp_path):
+    write_faulty_csv(spark, data, str(tmp_path / "raw"))
+    raw = read_raw_csv(spark, str(tmp_path / "raw"))
     counts = cleaning.account(raw).first()
     assert counts.raw_rows == raw.count()
     assert counts.processed_rows == cleaning.clean(raw).count()

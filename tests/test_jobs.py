@@ -14,9 +14,8 @@ from routeloom.plans import clean as cleaning
 from routeloom.plans.reports import preview_report, write_report, write_report_tables
 from routeloom.plans.samples import write_replicas, write_samples
 from routeloom.schemas import CLEAN_SCHEMA, DELAY_REPORT_SCHEMA, ROUTE_STATS_SCHEMA
-from routeloom.sinks.files import write_csv
-from routeloom.sources.adapters import flights_text
-from routeloom.sources.files import read_csv, sizes, variant_path
+from routeloom.sources.adapters import write_faulty_csv
+from routeloom.sources.files import read_csv, read_raw_csv, sizes, variant_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,7 +24,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def made(spark, data, tmp_path_factory):
     root = tmp_path_factory.mktemp("jobs")
     raw = str(root / "raw")
-    write_csv(flights_text(spark, data), raw)
+    write_faulty_csv(spark, data, raw)
     counts = clean_job.run(spark, raw, str(root / "clean"), str(root / "clean_csv"))
     samples = write_samples(spark, str(root / "clean"), str(root / "samples"))
     replicas = write_replicas(spark, str(root / "clean"), str(root / "scaled"))
@@ -38,7 +37,7 @@ def test_clean_job(spark, made, data):
     assert counts["processed_rows"] + counts["removed_rows"] == 6000
     assert counts["null_key_rows"] == counts["diverted_rows"] == 0
     parquet = spark.read.parquet(str(root / "clean"))
-    require_same(parquet, cleaning.clean(flights_text(spark, data)))
+    require_same(parquet, cleaning.clean(read_raw_csv(spark, str(root / "raw"))))
     require_same(parquet, read_csv(spark, str(root / "clean_csv"), CLEAN_SCHEMA))
 
 

@@ -1,5 +1,7 @@
 """What the physical plans must look like to hold at scale."""
 
+import re
+
 import pytest
 
 from routeloom.plans import clean as cleaning
@@ -8,7 +10,7 @@ from routeloom.operators.compare import compare
 from routeloom.operators.replicate import replicate
 from routeloom.registry.queries import QUERIES
 from routeloom.session import scratch_path, scratch_root
-from routeloom.sources.adapters import flights
+from routeloom.sources.adapters import faulty_flights, flights
 
 
 @pytest.fixture(scope="module")
@@ -67,6 +69,35 @@ def test_no_python_and_no_cross_join(spark, data, name):
         assert bad not in text
 
 
+JIT_LIMIT = 8000
+
+
+@pytest.fixture
+def whole_plans(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize(
+    "name", ["clean_table", "clean_table_typed", "typed_projection", "quality_metrics",
+             "route_stats_report", "delay_report_counted", "delay_report_windowed",
+             "row_fingerprints", "clean_rules", "scan_csv"]
+)
+def test_stages_are_short_enough_to_be_compiled(spark, data, whole_plans, name):
+    """The JVM interprets methods beyond 8000 bytes, ten times slower."""
+    frame = QUERIES[name](spark, data).select("*")
+    text = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "codegen")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert max(sizes, default=0) < JIT_LIMIT
+
+
+def test_faulty_rows_are_short_enough_to_be_compiled(spark, data, whole_plans):
+    frame = faulty_flights(spark, data).select("*")
+    text = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "codegen")
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)) < JIT_LIMIT
+
+
 def test_scratch_follows_the_cluster_setting(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     assert before is None or scratch_root(spark) == before.rstrip("/")
