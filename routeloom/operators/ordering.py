@@ -20,6 +20,9 @@ _FILE = "_metadata.file_name"
 _ROW = "_metadata.row_index"
 
 
+# File offsets are broadcast up to this many files: about ten megabytes.
+BROADCAST_FILES = 100_000
+
 # A sort task of this many rows fits an executor; only tables too large for the session's
 # shuffle width get more tasks than that.
 ROWS_PER_SORT_TASK = 4_000_000
@@ -90,10 +93,16 @@ def file_offsets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_position(spark: SparkSession, path: str, name: str = "position") -> DataFrame:
-    """The rows of an ordered table with their place in it, from 1."""
+    """The rows of an ordered table with their place in it, from 1.
+
+    The offsets are one row per file. Their size is known from the file listing, so they
+    are broadcast and the table is not shuffled; past the bound they are joined as usual.
+    """
     table = spark.read.parquet(path)
     located = table.select("*", F.col(_FILE).alias("_file"), F.col(_ROW).alias("_row"))
     offsets = file_offsets(spark, path).select(F.col("file").alias("_file"), "offset")
+    if len(table.inputFiles()) <= BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
     return located.join(offsets, "_file").select(
         *table.columns, (F.col("offset") + F.col("_row") + 1).alias(name)
     )

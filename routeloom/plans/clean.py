@@ -26,12 +26,12 @@ KEY_COLUMNS = ("fl_date", "month", "op_unique_carrier", "origin", "dest")
 
 def typed(raw: DataFrame) -> DataFrame:
     """The used columns with their types; text that cannot be read becomes null."""
-    already = dict(raw.dtypes)
+    already = {name.lower(): kind for name, kind in raw.dtypes}
     columns = []
     for name, kind in RAW_COLUMNS.items():
         column = F.col(name)
         needs_reading = kind in ("code", "name") or already[name] != KINDS.get(kind, kind)
-        columns.append(text.READERS[kind](column).alias(name) if needs_reading else column)
+        columns.append((text.READERS[kind](column) if needs_reading else column).alias(name))
     return raw.select(*columns)
 
 

@@ -40,7 +40,7 @@ from ..sources.runlog import (
     read_run_records,
     read_summary,
 )
-from ..sources.tables import drop_table, external_table, register_view
+from ..sources.tables import drop_table, external_table, register_view, use_database
 
 DATABASE = "routeloom"
 
@@ -150,10 +150,19 @@ def _external(spark, sf_dir, table):
 
 @query
 def external_table_scan(spark, sf_dir):
-    """Create, drop and create again: dropping must leave the files in place."""
+    """Create, drop and create again: dropping must leave the files in place.
+
+    Read by its plain name in the database in use; the one used before is put back.
+    """
+    before = spark.catalog.currentDatabase()
     _external(spark, sf_dir, "flights_clean")
     drop_table(spark, DATABASE, "flights_clean")
-    table = _external(spark, sf_dir, "flights_clean")
+    _external(spark, sf_dir, "flights_clean")
+    use_database(spark, DATABASE)
+    try:
+        table = spark.table("flights_clean")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
     return table.groupBy("op_unique_carrier").agg(
         F.count(F.lit(1)).alias("flight_count"), F.min("fl_date").alias("first_date")
     )

@@ -17,7 +17,8 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     header = reader.csv(path).columns
-    missing = [name for name in RAW_COLUMNS if name not in header]
+    found = {name.lower() for name in header}
+    missing = [name for name in RAW_COLUMNS if name not in found]
     if missing:
         raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])

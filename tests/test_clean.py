@@ -59,6 +59,14 @@ def test_missing_column_is_named(spark, tmp_path):
         read_raw_csv(spark, str(tmp_path / "a.csv"))
 
 
+def test_header_in_capitals(spark, tmp_path):
+    head, *rows = raw_lines()
+    (tmp_path / "a.csv").write_text("\n".join([head.upper(), *rows]) + "\n")
+    table = cleaning.clean(read_raw_csv(spark, str(tmp_path / "a.csv")))
+    assert table.columns == CLEAN_COLUMNS
+    assert table.count() == sum(expected is not None for _, expected in CASES.values())
+
+
 def test_file_with_other_column_order_is_refused(spark, tmp_path):
     lines = raw_lines()
     (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")

@@ -7,6 +7,7 @@ import pytest
 from routeloom.plans import clean as cleaning
 from routeloom.plans import delay_report, route_stats
 from routeloom.operators.compare import compare
+from routeloom.operators.ordering import with_position
 from routeloom.operators.replicate import replicate
 from routeloom.registry.queries import QUERIES
 from routeloom.session import scratch_path, scratch_root
@@ -54,6 +55,17 @@ def test_comparison_is_one_row_shuffle(table):
     assert "Generate" not in text and "CartesianProduct" not in text
 
 
+def test_positions_do_not_shuffle_the_table(spark, tmp_path):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    frame = with_position(spark, str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(frame.select("*"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
 def test_replica_needs_no_shuffle(table):
     text = plan(replicate(table, 4))
     assert "Exchange" not in text and text.count("FileScan") == 1
