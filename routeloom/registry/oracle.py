@@ -181,28 +181,24 @@ _KEYS = "origin, month, departure_delay_band"
 
 
 def _delay_ctes(source: str) -> str:
-    return f"""banded AS (
-    SELECT * FROM {source} WHERE departure_delay_band IN ('low', 'medium', 'high')
-), band_metrics AS (
+    return f"""known AS (
+    SELECT {_KEYS}, dep_delay, arr_delay, nullif(primary_disruption_cause, 'none') AS cause
+    FROM {source} WHERE departure_delay_band <> 'unknown'
+), tally AS (
+    SELECT {_KEYS}, cause AS primary_disruption_cause, count(*) AS cause_count
+    FROM known WHERE cause IS NOT NULL GROUP BY ALL
+), best AS (
+    SELECT {_KEYS}, array_to_string(list(primary_disruption_cause || ':' || cause_count
+               ORDER BY cause_count DESC, primary_disruption_cause)[1:3], ',') AS top_3_causes
+    FROM tally GROUP BY ALL
+), figures AS (
     SELECT {_KEYS}, count(*) AS flight_count,
            {_round('avg(dep_delay)', 2)} AS avg_dep_delay,
            {_round('avg(arr_delay)', 2)} AS avg_arr_delay
-    FROM banded GROUP BY {_KEYS}
-), cause_counts AS (
-    SELECT {_KEYS}, primary_disruption_cause, count(*) AS cause_count
-    FROM banded WHERE primary_disruption_cause <> 'none'
-    GROUP BY {_KEYS}, primary_disruption_cause
-), ranked_causes AS (
-    SELECT *, cast(row_number() OVER (PARTITION BY {_KEYS}
-             ORDER BY cause_count DESC, primary_disruption_cause) AS integer) AS cause_rank
-    FROM cause_counts
-), top_causes AS (
-    SELECT {_KEYS}, string_agg(primary_disruption_cause || ':' || cause_count, ','
-                               ORDER BY cause_rank) AS top_3_causes
-    FROM ranked_causes WHERE cause_rank <= 3 GROUP BY {_KEYS}
+    FROM known GROUP BY {_KEYS}
 ), delay_report AS (
-    SELECT m.*, coalesce(t.top_3_causes, 'none') AS top_3_causes
-    FROM band_metrics m LEFT JOIN top_causes t USING ({_KEYS})
+    SELECT figures.*, coalesce(top_3_causes, 'none') AS top_3_causes
+    FROM figures NATURAL LEFT JOIN best
 )"""
 
 
@@ -324,11 +320,17 @@ ORACLE = {
     "operating_months_padded": f"WITH {CLEAN} {_MONTHS}",
     "route_stats_ordered": _R1_PLACED,
     "preview_top10": f"SELECT * FROM ({_R1_PLACED}) WHERE position <= 10",
-    "band_metrics": f"{_DELAY} SELECT * FROM band_metrics",
-    "cause_counts": f"{_DELAY} SELECT * FROM cause_counts",
-    "ranked_causes": f"{_DELAY} SELECT * FROM ranked_causes",
-    "top_causes_struct": f"{_DELAY} SELECT * FROM top_causes",
-    "top_causes_pivot": f"{_DELAY} SELECT * FROM top_causes",
+    "band_metrics": f"{_DELAY} SELECT * FROM figures",
+    "cause_counts": f"{_DELAY} SELECT * FROM tally",
+    "ranked_causes": f"""{_DELAY}
+        SELECT *, cast(1 + (SELECT count(*) FROM tally o
+                   WHERE (o.origin, o.month, o.departure_delay_band)
+                       = (t.origin, t.month, t.departure_delay_band)
+                     AND (-o.cause_count, o.primary_disruption_cause)
+                       < (-t.cause_count, t.primary_disruption_cause)) AS integer) AS cause_rank
+        FROM tally t""",
+    "top_causes_struct": f"{_DELAY} SELECT * FROM best",
+    "top_causes_pivot": f"{_DELAY} SELECT * FROM best",
     "delay_report_counted": _R2,
     "delay_report_onepass": _R2,
     "delay_report_windowed": _R2,
