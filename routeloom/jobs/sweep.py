@@ -12,7 +12,7 @@ from ..session import open_session
 from ..sinks.runlog import append_run_records, run_record
 from ..sources.files import sizes, variant_path
 from .common import arguments, show
-from .report import WRITERS
+from .report import FORMS, write
 
 # fixed values: the names the reports go by in run records
 RECORD_NAMES = {"route_stats": "analysis_3_1", "delay_report": "analysis_3_2"}
@@ -38,7 +38,7 @@ def run(
         source = variant_path(size, samples_root, scaled_root)
         output = f"{outputs_root}/{place}/{size}"
         start = time.monotonic()
-        rows = WRITERS[form](spark, report, source, f"{output}/parquet", f"{output}/csv")
+        rows = write(spark, form, report, size, source, f"{output}/parquet", f"{output}/csv")
         seconds = time.monotonic() - start
         record = run_record(
             spark, analysis, technology, size, source, output, seconds, rows, environment
@@ -53,7 +53,7 @@ def main() -> None:
     parser = arguments(
         __doc__, "report", "size", "samples-root", "scaled-root", "outputs-root", "logs-root"
     )
-    parser.add_argument("--form", choices=sorted(WRITERS), default="dataframe")
+    parser.add_argument("--form", choices=FORMS, default="dataframe")
     parser.add_argument("--technology", default="spark_sql")
     parser.add_argument("--environment")
     args = parser.parse_args()

@@ -50,4 +50,4 @@ def run_record(
     }
     if environment is not None:
         values["environment"] = F.lit(environment)
-    return spark.range(1).select(*[value.alias(name) for name, value in values.items()])
+    return spark.range(0, 1, 1, 1).select(*[value.alias(name) for name, value in values.items()])
