@@ -92,7 +92,9 @@ def windowed(clean: DataFrame, by_rank: bool = False) -> DataFrame:
 def _top_text(entries: Column) -> Column:
     """Text of the first entries, most frequent first, equal counts by cause."""
     best = F.slice(F.array_sort(entries), 1, TOP)
-    labels = F.transform(best, lambda e: F.concat(e["cause"], F.lit(":"), (-e["minus"]).cast("string")))
+    labels = F.transform(
+        best, lambda entry: F.concat(entry["cause"], F.lit(":"), (-entry["minus"]).cast("string"))
+    )
     return F.coalesce(F.nullif(F.array_join(labels, ","), F.lit("")), F.lit(NO_CAUSE))
 
 

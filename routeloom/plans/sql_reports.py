@@ -36,9 +36,10 @@ SELECT origin, month, band AS departure_delay_band,
        sum(n) AS flight_count,
        round(try_divide(sum(dep_sum), sum(dep_n)), 2) AS avg_dep_delay,
        round(try_divide(sum(arr_sum), sum(arr_n)), 2) AS avg_arr_delay,
-       coalesce(nullif(concat_ws(',', max(label) FILTER (WHERE place = 1),
-                                      max(label) FILTER (WHERE place = 2),
-                                      max(label) FILTER (WHERE place = 3)), ''), 'none') AS top_3_causes
+       coalesce(nullif(concat_ws(',',
+           max(label) FILTER (WHERE place = 1),
+           max(label) FILTER (WHERE place = 2),
+           max(label) FILTER (WHERE place = 3)), ''), 'none') AS top_3_causes
 FROM placed
 GROUP BY origin, month, band
 """

@@ -20,8 +20,8 @@ from ..plans.sql_reports import (
 )
 from ..schemas import (
     CLEAN_SCHEMA,
+    DELAY_CAUSES,
     DELAY_REPORT_SCHEMA,
-    RAW_COLUMNS,
     ROUTE_STATS_SCHEMA,
     RUN_SCHEMA,
     SAMPLE_ORDER,
@@ -250,7 +250,7 @@ def delay_bands(spark, sf_dir):
 
 @query
 def primary_cause(spark, sf_dir):
-    inputs = ["cancelled", "cancellation_code", *(c for c in RAW_COLUMNS if c in cleaning.DELAY_CAUSES)]
+    inputs = ["cancelled", "cancellation_code", *DELAY_CAUSES]
     causes = flights(spark, sf_dir).select(
         *inputs, cleaning.primary_cause().alias("primary_disruption_cause")
     )
