@@ -32,7 +32,7 @@ from routeloom.jobs import clean as clean_job  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-WARM_SECONDS = 6.0
+WARM_SECONDS = 3.0
 
 # registered queries that start from the driver's tables, run to a sink that keeps nothing
 FROM_TABLES = (
