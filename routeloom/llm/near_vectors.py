@@ -277,7 +277,7 @@ def near_duplicates(
     order = ["pass", "label", "size", "key", "node"]
     keyed = map_arrow(
         nodes, lambda batches: _keys(batches, seed, passes),
-        "pass int, label long, size int, key long, node long",
+        "pass long, label long, size long, key long, node long",
     )
     write_ordered(keyed, order, path)
     place = with_position(spark, path).withColumn("position", F.col("position") - 1)
