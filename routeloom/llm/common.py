@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import scratch_path
 
@@ -33,7 +34,7 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def map_arrow(frame: DataFrame, function: Callable, schema: str) -> DataFrame:
+def map_arrow(frame: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path.
 
     The folder the driver found the package in is added to the path of the workers, which
@@ -90,6 +91,15 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-def without(frame: DataFrame, *names: str) -> DataFrame:
-    """The frame without the columns an operator is about to add."""
-    return frame.drop(*[name for name in names if name in frame.columns])
+# Rows of identifiers, about 32 bytes each, that may be sent to every executor: 32 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def matched(frame: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
+    """``frame`` joined with a written table of a few narrow columns.
+
+    The table is counted from its footers. Up to the bound it is broadcast, so that wide
+    rows of the frame are not shuffled; beyond it both sides are shuffled on the key.
+    """
+    small = keys.count() <= BROADCAST_ROWS
+    return frame.join(F.broadcast(keys) if small else keys.hint("shuffle_merge"), on, how)

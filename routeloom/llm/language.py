@@ -9,6 +9,7 @@ piece counts under the present probabilities and sums them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from .common import held_out, map_arrow, pieces_of, stored
-from .word_tokens import REMEMBERED
 
 SPACE = "▁"
 # Texts learnt from in each language, about: the rows of smallest hash. All are scored.
@@ -28,7 +28,8 @@ LEARN_TEXTS, ROUNDS = 500, 3
 WORD_CHARS = 32
 # What a letter that no piece covers counts, and what every piece has beside its share.
 FLOOR = 1e-7
-BATCH_BYTES = 8_000_000
+REMEMBERED = 700_000
+BATCH_BYTES, WORD_BATCH = 8_000_000, 20_000
 UNDETERMINED = "und"
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -54,17 +55,27 @@ class Pieces:
         self.place = {piece: at for at, piece in enumerate(kept)}
         self.longest = max(map(len, kept))
 
-    def lattice(self, word: str) -> list[list[tuple[int, int]]]:
-        """For each end in the marked word, the pieces that end there: (start, place)."""
-        text = SPACE + word
-        ends = [[] for _ in range(len(text) + 1)]
-        for end in range(1, len(text) + 1):
-            for start in range(max(0, end - self.longest), end):
-                if (at := self.place.get(text[start:end])) is not None:
-                    ends[end].append((start, at))
-            if end == 1 or not any(start == end - 1 for start, _ in ends[end]):
-                ends[end].append((end - 1, -1))  # the mark alone, or a letter of no piece
-        return ends
+    def lattices(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Words of equal length together: their places in the list and their lattices.
+
+        A lattice has, for every end and start in the marked word, the row of the piece
+        between them: the last row but one for a letter of no piece, the last for none.
+        """
+        by_length: dict[int, list[int]] = {}
+        for at, word in enumerate(words):
+            by_length.setdefault(len(word) + 1, []).append(at)
+        alone, none, look = len(self.place), len(self.place) + 1, self.place.get
+        for size, rows in by_length.items():
+            spans = [(end, start) for end in range(1, size + 1) for start in range(max(0, end - self.longest), end)]
+            found = np.full((len(rows), size + 1, size), none, np.int32)
+            flat = [look(text[start:end], none) for text in (SPACE + words[at] for at in rows) for end, start in spans]
+            ends, starts = np.array(spans).T
+            found[:, ends, starts] = np.array(flat, np.int32).reshape(len(rows), -1)
+            each = np.arange(size)
+            single = found[:, each + 1, each]
+            single[single == none] = alone
+            found[:, each + 1, each] = single
+            yield np.array(rows), found
 
 
 _vocabularies: dict[str, Pieces] = {}
@@ -74,33 +85,40 @@ def vocabulary(path: str) -> Pieces:
     return _vocabularies.get(path) or _vocabularies.setdefault(path, Pieces(path))
 
 
-def forward(ends: list[list[tuple[int, int]]], chances: np.ndarray) -> np.ndarray:
-    """Per language and character the summed probability of all segmentations up to it."""
-    sums = np.zeros((len(ends), chances.shape[1]))
+def forward(lattice: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """By character, word and language the summed probability of all segmentations up to it."""
+    count, ends, size = lattice.shape
+    sums = np.zeros((ends, count, chances.shape[1]))
     sums[0] = 1
-    for end in range(1, len(ends)):
-        starts = [start for start, _ in ends[end]]
-        sums[end] = (sums[starts] * chances[[at for _, at in ends[end]]]).sum(axis=0)
+    none = len(chances) - 1
+    for end in range(1, ends):
+        for start in range(end):
+            row = lattice[:, end, start]
+            if (row != none).any():
+                sums[end] += sums[start] * chances[row]
     return sums
 
 
 def _expected(batches, path: str, chances, languages: list[str]) -> Iterator[pa.RecordBatch]:
     """Expected piece counts of rows (word, one count per language)."""
     pieces, table = vocabulary(path), chances.value
-    total = np.zeros_like(table)
-    for batch in batches:
-        words = batch.column("word").to_pylist()
-        counts = np.array([np.asarray(batch.column(f"n{at}")) for at in range(len(languages))]).T
-        for word, seen in zip(words, counts):
-            ends = pieces.lattice(word)
-            ahead = forward(ends, table)
-            behind = np.zeros_like(ahead)
-            behind[-1] = seen / ahead[-1]
-            for end in range(len(ends) - 1, 0, -1):
-                for start, at in ends[end]:
-                    flow = behind[end] * table[at]
-                    total[at] += ahead[start] * flow
-                    behind[start] += flow
+    total, none = np.zeros_like(table), len(table) - 1
+    for whole in batches:
+        for low in range(0, whole.num_rows, WORD_BATCH):
+            batch = whole.slice(low, WORD_BATCH)
+            seen = np.array([np.asarray(batch.column(f"n{at}")) for at in range(len(languages))]).T
+            for rows, lattice in pieces.lattices(batch.column("word").to_pylist()):
+                ahead = forward(lattice, table)
+                behind = np.zeros_like(ahead)
+                behind[-1] = seen[rows] / ahead[-1]
+                for end in range(len(ahead) - 1, 0, -1):
+                    for start in range(end):
+                        row = lattice[:, end, start]
+                        used = np.flatnonzero(row != none)
+                        if len(used):
+                            flow = behind[end, used] * table[row[used]]
+                            np.add.at(total, row[used], ahead[start, used] * flow)
+                            behind[start, used] += flow
     row, column = np.nonzero(total)
     yield pa.RecordBatch.from_arrays(
         [pa.array(row, pa.int64()), pa.array(column, pa.int64()), pa.array(total[row, column])],
@@ -119,7 +137,7 @@ def _word_rows(batches) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Piece probabilities (the last row for letters of no piece) and shares of languages."""
+    """Piece probabilities, by row of a lattice and language, and shares of languages."""
 
     def __init__(self, languages: list[str], chances: np.ndarray, shares: np.ndarray):
         self.languages, self.chances, self.shares = languages, chances, shares
@@ -155,7 +173,9 @@ def learn(
         "language_words",
     )
     pieces = vocabulary(path)
-    chances = np.full((len(pieces.place) + 1, len(languages)), 1 / (len(pieces.place) + 1))
+    # the two rows after the pieces: a letter of no piece, and no piece at all
+    chances = np.full((len(pieces.place) + 2, len(languages)), 1 / (len(pieces.place) + 1))
+    chances[-1] = 0
     for _ in range(rounds):
         shared = spark.sparkContext.broadcast(chances)
         summed = (
@@ -168,8 +188,9 @@ def learn(
         total = np.zeros_like(chances)
         for x in summed:
             total[x.piece, x.language] = x.expected
-        total[-1] = 0
+        total[-2] = 0
         chances = total / np.maximum(total.sum(axis=0), 1e-300) + FLOOR
+        chances[-1] = 0
         shared.unpersist()
     shares = np.array([x.n for x in known], float)
     return Model(languages, chances, (shares + 1) / (shares + 1).sum())
@@ -178,7 +199,8 @@ def learn(
 _scores: dict[str, dict[str, np.ndarray]] = {}
 
 
-def _predicted(batches, path: str, model, name: str) -> Iterator[pa.RecordBatch]:
+def _judged(batches, path: str, model, name: str) -> Iterator[tuple[pa.RecordBatch, list, list]]:
+    """Batches with the predicted language and its score of each row."""
     if name not in _scores:
         _scores.clear()
         _scores[name] = {}
@@ -186,28 +208,60 @@ def _predicted(batches, path: str, model, name: str) -> Iterator[pa.RecordBatch]
     chances, shares, languages = model.value.chances, np.log(model.value.shares), model.value.languages
     for whole in batches:
         for batch in pieces_of(whole, "text", BATCH_BYTES):
+            cut = [words_of(text) for text in batch.column("text").to_pylist()]
+            distinct = set().union(*cut)
+            unseen = [x for x in distinct if x not in seen]
+            if len(seen) + len(unseen) > REMEMBERED:
+                seen.clear()
+                unseen = list(distinct)
+            for low in range(0, len(unseen), WORD_BATCH):
+                part = unseen[low : low + WORD_BATCH]
+                for rows, lattice in pieces.lattices(part):
+                    values = np.log(forward(lattice, chances)[-1])
+                    seen.update(zip((part[at] for at in rows), values))
             predicted, scores = [], []
-            for text in batch.column("text").to_pylist():
-                words = words_of(text)
+            for words in cut:
                 if not words:
                     predicted.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
-                for word in words:
-                    if word not in seen:
-                        if len(seen) >= REMEMBERED:
-                            seen.clear()
-                        seen[word] = np.log(forward(pieces.lattice(word), chances)[-1])
-                total = shares.copy()
-                total += np.sum([seen.get(word) if word in seen else np.log(forward(pieces.lattice(word), chances)[-1]) for word in words], axis=0)
+                total = shares + np.array([seen[word] for word in words]).sum(axis=0)
                 odds = np.exp(total - total.max())
                 at = int(odds.argmax())
                 predicted.append(languages[at])
                 scores.append(float(odds[at] / odds.sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
-                ["doc_id", "lang_pred", "score"],
-            )
+            yield batch, predicted, scores
+
+
+def _predicted(batches, path: str, model, name: str) -> Iterator[pa.RecordBatch]:
+    for batch, predicted, scores in _judged(batches, path, model, name):
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
+            ["doc_id", "lang_pred", "score"],
+        )
+
+
+def _accepted(batches, path: str, model, name: str, least: float) -> Iterator[pa.RecordBatch]:
+    for batch, predicted, scores in _judged(batches, path, model, name):
+        kept = [x != UNDETERMINED and y >= least for x, y in zip(predicted, scores)]
+        yield batch.filter(pa.array(kept, pa.bool_()))
+
+
+def _shared(spark: SparkSession, model: Model) -> tuple:
+    """The model for all tasks, and a name under which a worker may keep scores of words."""
+    return spark.sparkContext.broadcast(model), f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+
+
+def accepted(docs: DataFrame, model: Model | None, path: str, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose text is in a learnt language, with all their columns.
+
+    Rejected are texts that are null or hold no letter, and those of which no language has
+    a share of ``least``. Without a model nothing is known, and every row stays.
+    """
+    if model is None:
+        return docs
+    shared, name = _shared(docs.sparkSession, model)
+    return map_arrow(docs, lambda batches: _accepted(batches, path, shared, name, least), docs.schema)
 
 
 def predict(docs: DataFrame, model: Model | None, path: str) -> DataFrame:
@@ -217,13 +271,11 @@ def predict(docs: DataFrame, model: Model | None, path: str) -> DataFrame:
     Texts that are null or hold no letter, and all texts without a model, are ``und`` with
     score 0. Repeated rows are scored each; a null doc_id counts as held out.
     """
-    spark: SparkSession = docs.sparkSession
     source = docs.select("doc_id", "text")
     if model is None:
         found = source.select("doc_id", F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     else:
-        shared = spark.sparkContext.broadcast(model)
-        name = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"
+        shared, name = _shared(docs.sparkSession, model)
         found = map_arrow(
             source, lambda batches: _predicted(batches, path, shared, name),
             "doc_id long, lang_pred string, score double",

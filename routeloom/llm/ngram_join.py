@@ -21,10 +21,10 @@ from math import floor, log
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, pieces_of, runs, stored
+from .common import map_arrow, matched, pieces_of, runs, stored
 from .components import connected
 
 # A candidate group with more members or shingles than this is dealt out in chunks.
@@ -32,6 +32,8 @@ GROUP_MEMBERS, GROUP_SHINGLES = 2_048, 500_000
 # Sample members of a large group against which all its members are compared first.
 HUBS = 8
 BATCH_BYTES = 8_000_000
+# Pairs of a mark and a node, 16 bytes each, that one task holds, about.
+BUCKET_PAIRS = 1_000_000
 
 _ODD1, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S31, _S29, _S32 = np.uint64(31), np.uint64(29), np.uint64(32)
@@ -116,12 +118,12 @@ def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
 
 
 def _marks(
-    batches: Iterator[pa.RecordBatch], width: int, threshold: float
+    batches: Iterator[pa.RecordBatch], width: int, threshold: float, buckets: int
 ) -> Iterator[pa.RecordBatch]:
-    """Rows (mark, node), one per mark and batch.
+    """Rows (bucket, packed), the (mark, node) pairs of a batch whose marks fall in a bucket.
 
-    Nodes of a batch that share a mark are tied to the smallest of them by a mark made
-    from it, so a group that fills the batch sends few rows.
+    A pair comes once per mark and batch: nodes of a batch that share a mark are tied to
+    the smallest of them by a mark made from it, so a group that fills the batch is short.
     """
     for whole in batches:
         for batch in pieces_of(whole, "text", BATCH_BYTES):
@@ -143,15 +145,33 @@ def _marks(
             tied = np.unique(np.stack([lowest, nodes])[:, lowest != nodes], axis=1)
             ends = np.concatenate([tied[1], np.unique(tied[0])])
             made = np.concatenate([tied[0], np.unique(tied[0])]).astype(np.uint64)
+            marks = np.concatenate([marks[first], _mix(made)])
+            pairs = np.stack([marks, np.concatenate([nodes[first], ends]).astype(np.uint64)], axis=1)
+            place = (marks % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(place, kind="stable")
+            pairs, place = pairs[order], place[order]
+            starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+            packed = [x.tobytes() for x in np.split(pairs, starts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([marks[first], _mix(made)]).astype(np.int64)),
-                    pa.array(np.concatenate([nodes[first], ends])),
-                ],
-                ["mark", "node"],
+                [pa.array(place[starts]), pa.array(packed, pa.binary())], ["bucket", "packed"]
             )
 
 
+def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links from each node to the smallest one that shares a mark, over one partition."""
+    packed = [x for batch in batches for x in batch.column("packed").to_pylist()]
+    if not packed:
+        return
+    pairs = np.concatenate([np.frombuffer(x, np.uint64) for x in packed]).reshape(-1, 2)
+    marks, nodes = pairs[:, 0], pairs[:, 1].astype(np.int64)
+    order = np.argsort(marks, kind="stable")
+    marks, nodes = marks[order], nodes[order]
+    starts = np.flatnonzero(np.r_[True, marks[1:] != marks[:-1]])
+    lowest = np.repeat(np.minimum.reduceat(nodes, starts), np.diff(np.r_[starts, len(marks)]))
+    kept = np.unique(np.stack([lowest, nodes])[:, lowest != nodes], axis=1)
+    yield pa.RecordBatch.from_arrays([pa.array(kept[0]), pa.array(kept[1])], ["a", "b"])
+
+
 class _Branch:
     """A run of shingles common to the sets [low, high) of the sorted list."""
 
@@ -352,15 +372,16 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
         ),
         "shingle_counts",
     )
+    total = described.agg(F.sum("n_shingles")).first()[0] or 0
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    expected = 3 * total * (100 - percent) // (100 + percent)
+    buckets = max(partitions, -(-expected // BUCKET_PAIRS))
     marks = map_arrow(
         source.select("text"),
-        lambda batches: _marks(batches, width, percent / 100),
-        "mark long, node long",
+        lambda batches: _marks(batches, width, percent / 100, buckets),
+        "bucket long, packed binary",
     )
-    # A mark comes once from each batch at most; its rows are sorted, never collected.
-    tied = marks.select(
-        F.min("node").over(Window.partitionBy("mark")).alias("a"), F.col("node").alias("b")
-    ).filter("a <> b")
+    tied = map_arrow(marks.repartition(buckets, "bucket"), _ties, "a long, b long")
     clusters = connected(tied).withColumnRenamed("component", "cluster")
     first = described.filter("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles")
@@ -369,7 +390,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     sizes = members.groupBy("cluster").agg(
         F.expr(f"count(1) > {GROUP_MEMBERS} OR sum(n_shingles) > {GROUP_SHINGLES}").alias("large")
     )
-    texts = source.join(members.select("doc_id", "cluster", "node").hint("shuffle_merge"), "doc_id")
+    texts = matched(source, members.select("doc_id", "cluster", "node"), "doc_id", "inner")
     sets = stored(
         map_arrow(
             texts.select("cluster", "node", "text"),
@@ -415,7 +436,7 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
         found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")),
         "kept_documents",
     )
-    single = docs.join(kept.filter("n = 1"), "doc_id", "left_semi")
-    repeated = docs.join(kept.filter("n > 1"), "doc_id", "left_semi").dropDuplicates()
+    single = matched(docs, kept.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
+    repeated = matched(docs, kept.filter("n > 1").select("doc_id"), "doc_id", "left_semi")
     unnamed = docs.filter("doc_id IS NULL")
-    return single.unionByName(repeated).unionByName(unnamed).select(*docs.columns)
+    return single.unionByName(repeated.dropDuplicates()).unionByName(unnamed).select(*docs.columns)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, near_vectors, ngram_join, packing, piece_merges, token_counts, topk
+from . import html_text, language, near_vectors, ngram_join, packing, pii
+from . import piece_merges, token_counts, topk, toxicity
 from .common import table
 
 QUERIES = {}
@@ -31,6 +32,29 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_inner_products(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
 
 
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with surrogates, and how many entities each had."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymized(docs, pii_key(spark))
+
+
+def pii_key(spark: SparkSession) -> str:
+    """The secret of the surrogates; a deployment sets its own."""
+    return spark.conf.get("routeloom.pii.key", "set routeloom.pii.key to a secret")
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
