@@ -6,7 +6,7 @@ ORACLE["op1_ngram_jaccard_join"] = r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, list_filter(
     regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
-    w -> w <> '') AS w
+    lambda w: w <> '') AS w
   FROM documents),
 shingles AS MATERIALIZED (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
@@ -31,8 +31,8 @@ ORACLE["op2_near_vectors"] = """
 WITH RECURSIVE vectors AS MATERIALIZED (
   SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links AS MATERIALIZED (
   SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
   ON x.label = y.label AND len(x.v) = len(y.v) AND x.vec_id <> y.vec_id
@@ -48,11 +48,11 @@ FROM lowest LEFT JOIN degree USING (vec_id)
 
 ORACLE["op3_exact_topk"] = """
 WITH vectors AS MATERIALIZED (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    CAST(list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i])) AS BIGINT) AS score
+    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
   FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
