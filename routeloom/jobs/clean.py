@@ -2,30 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import SparkSession
 
-from ..operators.ordering import row_total
 from ..operators.quality import require_zero
-from ..plans.clean import account, observed_clean
+from ..plans.clean import account, clean
 from ..session import open_session
-from ..sinks.files import write_csv, write_parquet
+from ..sinks.files import write_checked, write_csv, write_parquet
 from ..sources.files import read_raw_csv
 from .common import arguments, show
 
 
 def run(spark: SparkSession, source: str, parquet_path: str, csv_path: str) -> dict:
-    """One pass over the raw text; the counts are taken while it is written.
+    """Count first, and write only when the gates hold, so that earlier output survives.
 
-    The text copy is made from the Parquet copy, and only once the gates have held.
+    What was written is counted against the rows that were to be kept before it takes the
+    place of an earlier table; the text copy is made from the Parquet copy.
     """
     raw = read_raw_csv(spark, source)
-    before, after = Observation("raw"), Observation("clean")
-    write_parquet(observed_clean(raw, before, after), parquet_path)
-    counts = {**before.get, **after.get}
-    counts["removed_rows"] = counts["raw_rows"] - counts["processed_rows"]
-    if row_total(spark, parquet_path) != counts["processed_rows"]:
-        counts = account(raw).first().asDict()
+    counts = account(raw).first().asDict()
     require_zero({name: counts[name] for name in ("null_key_rows", "diverted_rows")})
+    write_checked(
+        spark, lambda path: write_parquet(clean(raw), path), parquet_path, counts["processed_rows"]
+    )
     write_csv(spark.read.parquet(parquet_path), csv_path)
     return counts
 

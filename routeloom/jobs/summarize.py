@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from functools import reduce
 
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.quality import GateFailed
 from ..plans import run_summary
 from ..schemas import SAMPLE_SIZES, SCALE_SIZES
 from ..session import open_session
 from ..sinks.files import write_csv
-from ..sources.runlog import SAMPLE_LOGS, SCALE_LOGS, read_run_records_or_empty
+from ..sources.runlog import SAMPLE_LOGS, SCALE_LOGS, read_run_records_or_empty, read_summary
 from .common import arguments, show
 
 
@@ -16,7 +19,9 @@ def run(spark: SparkSession, logs_root: str, output_root: str, environment: bool
     """Write ``benchmark_summary``, ``scalability_summary`` and ``run_matrix``.
 
     Logs with an environment keep listed sizes only, and every name in them must be
-    listed; logs without keep all their records and list unknown names last.
+    listed; logs without keep all their records and list unknown names last. Without sample
+    logs the job ends with an error, without scale logs that summary is left as it is: an
+    empty or mistyped root never replaces a summary.
     """
     counts, families = {}, []
     for name, pattern, listed in (
@@ -24,6 +29,11 @@ def run(spark: SparkSession, logs_root: str, output_root: str, environment: bool
         ("scalability_summary", SCALE_LOGS, SCALE_SIZES),
     ):
         records = read_run_records_or_empty(spark, f"{logs_root}/{pattern}", environment)
+        if records.isEmpty():
+            if name == "benchmark_summary":
+                raise GateFailed(f"no run records below {logs_root}")
+            counts[name] = 0
+            continue
         if environment:
             records = run_summary.keep_sizes(records, listed)
             run_summary.require_listed(records)
@@ -33,11 +43,20 @@ def run(spark: SparkSession, logs_root: str, output_root: str, environment: bool
         write_csv(run_summary.summary(ordered, environment), path)
         counts[name] = records.count()
         families.append(records)
-    combined = run_summary.combine(*families)
+    combined = reduce(run_summary.combine, families)
     write_csv(run_summary.run_matrix(combined, "log_place"), f"{output_root}/run_matrix")
     return counts
 
 
+def matrix_of_saved(spark: SparkSession, output_root: str, environment: bool = False) -> DataFrame:
+    """The run matrix from saved summaries, listed sizes only."""
+    families = [
+        run_summary.keep_sizes(read_summary(spark, f"{output_root}/{name}", environment), listed)
+        for name, listed in (("benchmark_summary", SAMPLE_SIZES), ("scalability_summary", SCALE_SIZES))
+    ]
+    return run_summary.run_matrix(run_summary.combine(*families), "run_timestamp")
+
+
 def main() -> None:
     parser = arguments(__doc__, "logs-root", "output-root")
     parser.add_argument("--with-environment", action="store_true")

@@ -7,24 +7,34 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.smallsets import mask_text, set_mask
-
 
 def mean(column: str, digits: int = 2) -> Column:
     """Average without nulls, rounded half up; null when there is no value."""
     return F.round(F.avg(column), digits)
 
 
-def distinct_list(column: str) -> Column:
-    """The distinct whole numbers of a group, sorted as numbers, as text."""
-    members = F.array_sort(F.collect_set(column))
-    return F.concat_ws(",", F.transform(members, lambda member: member.cast("string")))
+def member_text(member: str) -> Column:
+    """The whole numbers of a group, sorted, as text, from rows that hold each one once."""
+    members = F.array_sort(F.collect_list(member))
+    return F.array_join(F.transform(members, lambda each: each.cast("string")), ",")
+
+
+def member_text_padded(member: str) -> Column:
+    """The same by sorting zero-padded text, for numbers from 0 of any length."""
+    padded = F.array_sort(F.collect_list(F.lpad(F.col(member).cast("string"), 20, "0")))
+    return F.array_join(F.transform(padded, lambda each: F.regexp_replace(each, "^0+(?=.)", "")), ",")
+
 
+def member_lists(
+    table: DataFrame, keys: Sequence[str], member: str, name: str, padded: bool = False
+) -> DataFrame:
+    """The distinct members of each group as text, empty text if there is none.
 
-def distinct_list_padded(column: str) -> Column:
-    """As ``distinct_list`` for one and two digit numbers, sorted as padded text."""
-    padded = F.collect_set(F.lpad(F.col(column).cast("string"), 2, "0"))
-    return F.regexp_replace(F.concat_ws(",", F.sort_array(padded)), "(^|,)0", "$1")
+    Members are made distinct by a hash aggregation that combines before the shuffle; only
+    the few that are left per group are collected.
+    """
+    text = member_text_padded if padded else member_text
+    return table.select(*keys, member).distinct().groupBy(*keys).agg(text(member).alias(name))
 
 
 def group_stats(
@@ -34,30 +44,31 @@ def group_stats(
     measure: str,
     flag: str,
     member: str,
-    member_range: tuple[int, int],
     names: Sequence[str],
 ) -> DataFrame:
     """Count, min, max and mean of a measure, rate of a 0/1 flag, and a member list.
 
-    ``names`` are the six result columns. One aggregation with fixed-size buffers, so one
-    shuffle of at most one row per group and task, whatever the size of a group.
+    ``names`` are the six result columns. Rows are first added up per group and member, in
+    buffers of fixed size that combine before the shuffle, so a hot group sends one row per
+    member and task; the sums of a group's members are then added up and listed.
     """
     count, least, most, average, rate, members = names
-    low, high = member_range
-    return (
-        table.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias(count),
-            F.min(measure).alias(least),
-            F.max(measure).alias(most),
-            mean(measure).alias(average),
-            mean(flag, 4).alias(rate),
-            set_mask(F.col(member), low, high).alias("_members"),
-        )
-        .select(
-            *keys, count, least, most, average, rate,
-            mask_text(F.col("_members"), low, high).alias(members),
-        )
+    fine = table.groupBy(*keys, member).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.min(measure).alias("_least"),
+        F.max(measure).alias("_most"),
+        F.sum(measure).alias("_sum"),
+        F.count(measure).alias("_known"),
+        F.sum(flag).alias("_flags"),
+        F.count(flag).alias("_flagged"),
+    )
+    return fine.groupBy(*keys).agg(
+        F.sum("_rows").alias(count),
+        F.min("_least").alias(least),
+        F.max("_most").alias(most),
+        F.round(F.try_divide(F.sum("_sum"), F.sum("_known")), 2).alias(average),
+        F.round(F.try_divide(F.sum("_flags"), F.sum("_flagged")), 4).alias(rate),
+        member_text(member).alias(members),
     )
 
 

@@ -20,12 +20,12 @@ _FILE = "_metadata.file_name"
 _ROW = "_metadata.row_index"
 
 
-# File offsets are broadcast up to this many files: about ten megabytes.
-BROADCAST_FILES = 100_000
+# An ordered table has at most so many files, each the work of one sort task; the offsets
+# of all of them, one row per file, are about a megabyte.
+MAX_FILES = 10_000
 
-# A sort task of this many rows fits an executor; only tables too large for the session's
-# shuffle width get more tasks than that.
-ROWS_PER_SORT_TASK = 4_000_000
+# Stored bytes that one sort task is meant to take.
+SORT_TASK_BYTES = 256 << 20
 
 
 def write_ordered(
@@ -33,24 +33,22 @@ def write_ordered(
     order: Sequence[str | Column],
     path: str,
     mode: str = "errorifexists",
-    rows: int | None = None,
+    stored_bytes: int = 0,
 ) -> None:
     """Sort the whole table and write it so that file order is row order.
 
     Keys are column names or expressions; nulls come last. Expressions are computed once
-    per row, before the shuffle, and dropped again after the sort. ``rows``, if known,
-    sets how many sort tasks a large table is cut into.
+    per row, before the shuffle, and dropped again after the sort. ``stored_bytes``, if
+    known, says how many sort tasks are needed; there are at least as many as the
+    session's shuffle width and at most ``MAX_FILES``.
     """
     computed = {f"_key{at}": key for at, key in enumerate(order) if isinstance(key, Column)}
     names = [f"_key{at}" if isinstance(key, Column) else key for at, key in enumerate(order)]
     keys = [F.col(name).asc_nulls_last() for name in names]
     keyed = table.select("*", *[key.alias(name) for name, key in computed.items()])
     width = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = -(-(rows or 0) // ROWS_PER_SORT_TASK)
-    if tasks > width:
-        placed = keyed.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
-    else:
-        placed = keyed.orderBy(*keys)
+    tasks = min(MAX_FILES, max(width, -(-stored_bytes // SORT_TASK_BYTES)))
+    placed = keyed.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
     (
         placed.select(*table.columns)
         .write.mode(mode)
@@ -70,8 +68,13 @@ def sort_table(
     table = spark.read.parquet(source)
     fingerprint = F.unhex(row_fingerprint(table.columns))
     spread = F.xxhash64(F.col(_FILE), F.col(_ROW))
-    rows = row_total(spark, source)
-    write_ordered(table, [*order, fingerprint, spread], path, mode, rows)
+    write_ordered(table, [*order, fingerprint, spread], path, mode, table_bytes(table))
+
+
+def table_bytes(table: DataFrame) -> int:
+    """Bytes of the files a table is read from, by their metadata."""
+    files = table.select(F.col("_metadata.file_path"), F.col("_metadata.file_size")).distinct()
+    return files.agg(F.sum("file_size")).first()[0] or 0
 
 
 def file_offsets(spark: SparkSession, path: str) -> DataFrame:
@@ -95,29 +98,32 @@ def file_offsets(spark: SparkSession, path: str) -> DataFrame:
 def with_position(spark: SparkSession, path: str, name: str = "position") -> DataFrame:
     """The rows of an ordered table with their place in it, from 1.
 
-    The offsets are one row per file. Their size is known from the file listing, so they
-    are broadcast and the table is not shuffled; past the bound they are joined as usual.
+    The offsets are one row per file, and files are at most ``MAX_FILES``, so they are
+    broadcast and the table is not shuffled.
     """
     table = spark.read.parquet(path)
     located = table.select("*", F.col(_FILE).alias("_file"), F.col(_ROW).alias("_row"))
     offsets = file_offsets(spark, path).select(F.col("file").alias("_file"), "offset")
-    if len(table.inputFiles()) <= BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
-    return located.join(offsets, "_file").select(
+    return located.join(F.broadcast(offsets), "_file").select(
         *table.columns, (F.col("offset") + F.col("_row") + 1).alias(name)
     )
 
 
-def prefix(spark: SparkSession, path: str, rows: int) -> DataFrame:
-    """Exactly the first rows of an ordered table; only the files they are in are read."""
+def offset_rows(spark: SparkSession, path: str) -> list:
+    """The offsets of an ordered table's files on the driver: at most ``MAX_FILES`` rows."""
+    return file_offsets(spark, path).collect()
+
+
+def prefix(spark: SparkSession, path: str, rows: int, offsets: list | None = None) -> DataFrame:
+    """Exactly the first rows of an ordered table; only the files they are in are read.
+
+    Several prefixes of one table share the ``offset_rows`` they are given.
+    """
     table = spark.read.parquet(path)
     if rows <= 0:
         return table.filter(F.lit(False))
-    last = (
-        file_offsets(spark, path)
-        .filter((F.col("offset") < rows) & (F.col("offset") + F.col("rows") >= rows))
-        .first()
-    )
+    known = offset_rows(spark, path) if offsets is None else offsets
+    last = next((x for x in known if x["offset"] < rows <= x["offset"] + x["rows"]), None)
     if last is None:
         return table
     file, length = F.col(_FILE), F.length(_FILE)

@@ -2,10 +2,10 @@
 
 Three plans with the same rows:
 
-``counted``    one aggregation that counts each known cause in a column of its own. One
-               shuffle of one fixed-size row per group and task. The default.
 ``one_pass``   counts per group and cause, then one aggregation that adds them up and
-               lists the causes. Two shuffles; any causes, as long as they are few.
+               lists the causes. Two shuffles; causes of any name. The default.
+``counted``    one aggregation that counts each cause of a given list in a column of its
+               own. One shuffle; only for data known to hold no other cause.
 ``windowed``   metrics and ranked causes apart, joined at the end. Any causes at all.
 """
 
@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.labels import list_rank
 from ..operators.grouping import (
     item_counts,
     mean,
@@ -43,11 +44,7 @@ def has_cause() -> Column:
 
 def order() -> list[str | Column]:
     """Origin, month, then bands from low to high."""
-    rank = F.coalesce(
-        *[F.when(F.col("departure_delay_band") == b, F.lit(at)) for at, b in enumerate(BANDS, 1)],
-        F.lit(len(BANDS) + 1),
-    )
-    return ["origin", "month", rank]
+    return ["origin", "month", list_rank(F.col("departure_delay_band"), BANDS)]
 
 
 def band_metrics(clean: DataFrame) -> DataFrame:
@@ -160,8 +157,8 @@ def counted(clean: DataFrame, causes: Sequence[str] = CAUSES) -> DataFrame:
     )
 
 
-PLANS = {"counted": counted, "one_pass": one_pass, "windowed": windowed}
+PLANS = {"one_pass": one_pass, "counted": counted, "windowed": windowed}
 
 
-def delay_report(clean: DataFrame, plan: str = "counted") -> DataFrame:
+def delay_report(clean: DataFrame, plan: str = "one_pass") -> DataFrame:
     return PLANS[plan](clean)

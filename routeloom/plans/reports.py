@@ -64,7 +64,7 @@ def write_report_tables(
 ) -> int:
     """The same by tables: an external table, a table from a query, an ordered export."""
     report = REPORTS[name]
-    clean = external_table(spark, database, "flights_clean", CLEAN_SCHEMA, source)
+    clean = external_table(spark, database, f"flights_clean_{name}_{size}", CLEAN_SCHEMA, source)
     table = create_table_as(
         spark, database, f"{name}_{size}", parquet_path, report.query, flights=clean
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.grouping import distinct_list, distinct_list_padded, group_stats
+from ..operators.grouping import group_stats, member_lists
 
 KEYS = ("op_unique_carrier", "route")
 MEASURES = (
@@ -21,7 +21,6 @@ def route_stats(clean: DataFrame) -> DataFrame:
         measure="arr_delay",
         flag="is_cancelled",
         member="month",
-        member_range=(1, 12),
         names=MEASURES,
     )
 
@@ -31,10 +30,10 @@ def order() -> list[str]:
 
 
 def operating_months(clean: DataFrame) -> DataFrame:
-    """The months flown alone, from a collected set."""
-    return clean.groupBy(*KEYS).agg(distinct_list("month").alias("operating_months"))
+    """The months flown alone."""
+    return member_lists(clean, KEYS, "month", "operating_months")
 
 
 def operating_months_padded(clean: DataFrame) -> DataFrame:
     """The same by sorting zero-padded text."""
-    return clean.groupBy(*KEYS).agg(distinct_list_padded("month").alias("operating_months"))
+    return member_lists(clean, KEYS, "month", "operating_months", padded=True)

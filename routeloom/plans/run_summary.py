@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import list_rank
 from ..functions.text import seconds_text
-from ..operators.quality import require_zero
+from ..operators.quality import holds, require_zero
 from ..schemas import (
     ANALYSES,
     SAMPLE_SIZES,
@@ -36,10 +36,10 @@ def listing_order(sizes: Sequence[str]) -> list[Column]:
 
 
 def require_listed(records: DataFrame) -> None:
-    """Raise if a record names an analysis or technology that is not listed."""
+    """Raise if a record names no analysis or technology, or one that is not listed."""
     counts = records.agg(
-        F.count_if(~F.col("analysis").isin(*ANALYSES)).alias("unknown_analyses"),
-        F.count_if(~F.col("technology").isin(*TECHNOLOGIES)).alias("unknown_technologies"),
+        F.count_if(~holds(F.col("analysis").isin(*ANALYSES))).alias("unknown_analyses"),
+        F.count_if(~holds(F.col("technology").isin(*TECHNOLOGIES))).alias("unknown_technologies"),
     )
     require_zero(counts.first().asDict())
 

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordering import prefix, row_total, sort_table
-from ..operators.quality import require_rows
+from ..operators.ordering import offset_rows, prefix, row_total, sort_table
 from ..operators.replicate import replicate
 from ..schemas import SAMPLE_ORDER, SAMPLE_ROWS, SAMPLE_SIZES, SCALE_FACTORS
-from ..sinks.files import write_parquet, write_parquet_counted
+from ..sinks.files import write_checked, write_parquet
 from ..sources.files import variant_path
 
 
@@ -27,14 +26,15 @@ def write_samples(spark: SparkSession, source: str, root: str) -> list[dict]:
     """Sort the table once as the full sample, and cut the others off its front."""
     total = row_total(spark, source)
     full = variant_path("full", root, root)
-    sort_table(spark, source, SAMPLE_ORDER, full, mode="overwrite")
+    write_checked(spark, lambda path: sort_table(spark, source, SAMPLE_ORDER, path), full, total)
+    offsets = offset_rows(spark, full)  # once for all samples
     made = []
     for size in SAMPLE_SIZES:
         path, target = variant_path(size, root, root), target_rows(size, total)
+        rows = total
         if size != "full":
-            write_parquet(prefix(spark, full, target), path)
-        rows = row_total(spark, path)
-        require_rows(rows, min(target, total))
+            first = prefix(spark, full, target, offsets)
+            rows = write_checked(spark, partial(write_parquet, first), path, min(target, total))
         made.append({"sample": size, "target_rows": target, "rows": rows, "output": path})
     return made
 
@@ -46,8 +46,8 @@ def write_replicas(spark: SparkSession, source: str, root: str) -> list[dict]:
     made = []
     for size, factor in SCALE_FACTORS.items():
         path = variant_path(size, root, root)
-        rows = write_parquet_counted(replicate(table, factor), path)
-        require_rows(rows, total * factor)
+        copies = replicate(table, factor)
+        rows = write_checked(spark, partial(write_parquet, copies), path, total * factor)
         made.append({"scale": size, "factor": factor, "rows": rows, "output": path})
     return made
 

@@ -3,15 +3,22 @@
 ``{flights}`` is the clean table, ``{report}`` a finished report.
 """
 
-ROUTE_STATS_SQL = r"""
+ROUTE_STATS_SQL = """
+WITH fine AS (
+    SELECT op_unique_carrier, route, month, count(*) AS n,
+           min(arr_delay) AS least, max(arr_delay) AS most,
+           sum(arr_delay) AS arr_sum, count(arr_delay) AS arr_n,
+           sum(is_cancelled) AS flags, count(is_cancelled) AS flagged
+    FROM {flights}
+    GROUP BY ALL
+)
 SELECT op_unique_carrier, route,
-       count(*) AS flight_count,
-       min(arr_delay) AS min_arr_delay, max(arr_delay) AS max_arr_delay,
-       round(avg(arr_delay), 2) AS avg_arr_delay,
-       round(avg(is_cancelled), 4) AS cancellation_rate,
-       array_join(transform(array_sort(collect_set(lpad(string(month), 2, '0'))),
-                            m -> trim(LEADING '0' FROM m)), ',') AS operating_months
-FROM {flights}
+       sum(n) AS flight_count,
+       min(least) AS min_arr_delay, max(most) AS max_arr_delay,
+       round(try_divide(sum(arr_sum), sum(arr_n)), 2) AS avg_arr_delay,
+       round(try_divide(sum(flags), sum(flagged)), 4) AS cancellation_rate,
+       array_join(array_sort(collect_list(month)), ',') AS operating_months
+FROM fine
 GROUP BY ALL
 """
 

@@ -259,6 +259,8 @@ _RUN_ORDER = """coalesce(list_position(['analysis_3_1', 'analysis_3_2'], analysi
 
 _WHOLE_CLEAN = f"WITH {CLEAN} SELECT * FROM clean"
 _R1 = f"WITH {CLEAN} {_ROUTE_STATS.format(source='clean')}"
+_WIDE = "wide AS (SELECT * REPLACE (month + month % 3 * 60 AS month) FROM clean)"
+_R1_WIDE = f"WITH {CLEAN}, {_WIDE} {_ROUTE_STATS.format(source='wide')}"
 _R2 = f"{_DELAY} SELECT * FROM delay_report"
 _R1_PLACED = f"""WITH {CLEAN}, stats AS ({_ROUTE_STATS.format(source='clean')})
     SELECT *, row_number() OVER (ORDER BY op_unique_carrier, route) AS position FROM stats"""
@@ -317,6 +319,16 @@ ORACLE = {
         FROM clean""",
     "route_stats_report": _R1,
     "operating_months": f"WITH {CLEAN} {_MONTHS}",
+    "route_stats_wide_months": _R1_WIDE,
+    "ctas_route_stats_wide_months": _R1_WIDE,
+    "operating_months_padded_wide": f"WITH {CLEAN}, {_WIDE} {_MONTHS.replace('FROM clean', 'FROM wide')}",
+    "delay_report_new_cause": f"""WITH {CLEAN}, struck AS (
+        SELECT * REPLACE (CASE WHEN month % 2 = 0 AND primary_disruption_cause <> 'none' THEN 'strike'
+                               ELSE primary_disruption_cause END AS primary_disruption_cause) FROM clean),
+        {_delay_ctes('struck')} SELECT * FROM delay_report""",
+    "replica_variants": f"""WITH {CLEAN}, sized AS (SELECT * FROM (VALUES ('1x', 1), ('2x', 2), ('4x', 4)) t(scale, factor))
+        SELECT scale, factor * (SELECT count(*) FROM clean) AS expected_rows,
+               factor * (SELECT count(*) FROM clean) AS variant_rows FROM sized""",
     "operating_months_padded": f"WITH {CLEAN} {_MONTHS}",
     "route_stats_ordered": _R1_PLACED,
     "preview_top10": f"SELECT * FROM ({_R1_PLACED}) WHERE position <= 10",
@@ -386,6 +398,15 @@ ORACLE = {
                arg_max(execution_time_seconds, event_id)
                    FILTER (WHERE technology = 'hive') AS hive
         FROM records WHERE run_size <> '8x' GROUP BY analysis, run_size""",
+    "run_matrix_from_logs": f"""WITH {RECORDS}
+        SELECT analysis, run_size,
+               arg_max(round(execution_time_seconds, 3), event_id)
+                   FILTER (WHERE technology = 'spark_sql') AS spark_sql,
+               arg_max(round(execution_time_seconds, 3), event_id)
+                   FILTER (WHERE technology = 'spark_core') AS spark_core,
+               arg_max(round(execution_time_seconds, 3), event_id)
+                   FILTER (WHERE technology = 'hive') AS hive
+        FROM records WHERE run_size <> '8x' AND environment IS NULL GROUP BY analysis, run_size""",
     "events_stats": f"""
         SELECT user_id, count(*) AS event_count, min(cents) AS min_cents, max(cents) AS max_cents,
                {_round('avg(cents)', 2)} AS avg_cents,

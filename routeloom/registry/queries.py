@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.fingerprint import row_fingerprint
 from ..operators import grouping
 from ..operators.compare import compare, only_in_left, surplus
-from ..operators.ordering import prefix, row_total, sort_table, with_position, write_ordered
+from ..operators.ordering import offset_rows, prefix, row_total, sort_table, with_position
+from ..operators.ordering import write_ordered
 from ..operators.replicate import replicate, replicate_by_union
 from ..plans import clean as cleaning
 from ..plans import delay_report, route_stats, run_summary, samples
@@ -33,11 +34,12 @@ from ..sinks.files import write_csv, write_parquet
 from ..sinks.runlog import append_run_records
 from ..sinks.tables import create_table_as, export_directory
 from ..sources.adapters import flights, read_table, run_records, write_faulty_csv
-from ..sources.files import read_csv, read_parquet, read_raw_csv
+from ..sources.files import read_csv, read_parquet, read_raw_csv, sizes, variant_path
 from ..sources.runlog import (
     SAMPLE_LOGS,
     SCALE_LOGS,
     read_run_records,
+    read_run_records_or_empty,
     read_summary,
 )
 from ..sources.tables import drop_table, external_table, register_view, use_database
@@ -56,43 +58,25 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.clean(flights(spark, sf_dir))
 
 
-_raw: dict[tuple[str, str], str] = {}
-
-
 def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw flights with faults, from CSV written once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _raw:
-        path = scratch_path(spark, "raw_csv")
-        write_faulty_csv(spark, sf_dir, path)
-        _raw[key] = path
-    return read_raw_csv(spark, _raw[key])
-
-
-_written: dict[tuple[str, str], str] = {}
+    """Raw flights with faults, written as CSV and read back."""
+    path = scratch_path(spark, "raw_csv")
+    write_faulty_csv(spark, sf_dir, path)
+    return read_raw_csv(spark, path)
 
 
 def clean_path(spark: SparkSession, sf_dir: str) -> str:
-    """The clean table as a Parquet folder, written once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        path = scratch_path(spark, "clean")
-        write_parquet(clean(spark, sf_dir), path)
-        _written[key] = path
-    return _written[key]
-
-
-_sorted: dict[tuple[str, str], str] = {}
+    """The clean table, written as a Parquet folder."""
+    path = scratch_path(spark, "clean")
+    write_parquet(clean(spark, sf_dir), path)
+    return path
 
 
 def sorted_path(spark: SparkSession, sf_dir: str) -> str:
-    """The clean table in sample order, written once per application and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _sorted:
-        path = scratch_path(spark, "sorted")
-        sort_table(spark, clean_path(spark, sf_dir), SAMPLE_ORDER, path)
-        _sorted[key] = path
-    return _sorted[key]
+    """The clean table in sample order, written."""
+    path = scratch_path(spark, "sorted")
+    sort_table(spark, clean_path(spark, sf_dir), SAMPLE_ORDER, path)
+    return path
 
 
 def ordered(table: DataFrame, order) -> DataFrame:
@@ -285,6 +269,58 @@ def route_stats_report(spark, sf_dir):
     return route_stats.route_stats(clean(spark, sf_dir))
 
 
+def wide_months(spark, sf_dir):
+    """The clean table with month numbers of one to three digits, some beyond any calendar."""
+    month = F.col("month") + F.col("month") % 3 * 60
+    return clean(spark, sf_dir).withColumn("month", month.cast("int"))
+
+
+@query
+def route_stats_wide_months(spark, sf_dir):
+    return route_stats.route_stats(wide_months(spark, sf_dir))
+
+
+@query
+def ctas_route_stats_wide_months(spark, sf_dir):
+    path = scratch_path(spark, "wide_months")
+    write_parquet(wide_months(spark, sf_dir), path)
+    source = external_table(spark, DATABASE, "flights_clean_wide", CLEAN_SCHEMA, path)
+    target = scratch_path(spark, "ctas_route_stats_wide")
+    return create_table_as(spark, DATABASE, "route_stats_wide", target, ROUTE_STATS_SQL, flights=source)
+
+
+@query
+def operating_months_padded_wide(spark, sf_dir):
+    return route_stats.operating_months_padded(wide_months(spark, sf_dir))
+
+
+@query
+def delay_report_new_cause(spark, sf_dir):
+    """A cause that no list names."""
+    cause = F.when(
+        (F.col("month") % 2 == 0) & (F.col("primary_disruption_cause") != "none"), "strike"
+    ).otherwise(F.col("primary_disruption_cause"))
+    table = clean(spark, sf_dir).withColumn("primary_disruption_cause", cause)
+    return delay_report.delay_report(table)
+
+
+@query
+def replica_variants(spark, sf_dir):
+    """Replicas written, found by size name and counted, beside the rows they should have."""
+    root, source = scratch_path(spark, "scaled"), clean_path(spark, sf_dir)
+    made = {x["scale"]: x for x in samples.write_replicas(spark, source, root)}
+    total = row_total(spark, source)
+    parts = [
+        read_parquet(spark, variant_path(size, root, root)).agg(
+            F.lit(size).alias("scale"),
+            F.lit(total * made[size]["factor"]).cast("long").alias("expected_rows"),
+            F.count(F.lit(1)).alias("variant_rows"),
+        )
+        for size in sizes("scale_all")
+    ]
+    return samples.union_all(parts)
+
+
 @query
 def operating_months(spark, sf_dir):
     return route_stats.operating_months(clean(spark, sf_dir))
@@ -357,7 +393,7 @@ def delay_report_windowed_pivot(spark, sf_dir):
 
 @query
 def delay_report_ordered(spark, sf_dir):
-    return ordered(delay_report_counted(spark, sf_dir), delay_report.order())
+    return ordered(delay_report_onepass(spark, sf_dir), delay_report.order())
 
 
 # --- samples, replicas, comparison -----------------------------------------------------
@@ -387,11 +423,11 @@ def prefix_sample(spark, sf_dir):
 def prefix_variants(spark, sf_dir):
     """Rows and last date of each named sample."""
     path = sorted_path(spark, sf_dir)
-    total = row_total(spark, path)
+    total, offsets = row_total(spark, path), offset_rows(spark, path)
     parts = []
     for size in SAMPLE_SIZES:
         rows = samples.target_rows(size, total)
-        part = prefix(spark, path, rows).agg(
+        part = prefix(spark, path, rows, offsets).agg(
             F.lit(size).alias("sample"),
             F.lit(rows).cast("long").alias("target_rows"),
             F.count(F.lit(1)).alias("sample_rows"),
@@ -423,14 +459,14 @@ def route_stats_scaled(spark, sf_dir):
 
 @query
 def delay_report_scaled(spark, sf_dir):
-    return delay_report.counted(replicate(clean(spark, sf_dir), 4))
+    return delay_report.delay_report(replicate(clean(spark, sf_dir), 4))
 
 
 @query
 def compare_outputs(spark, sf_dir):
     """Two forms of the delay report hold the same rows."""
     table = read_parquet(spark, clean_path(spark, sf_dir))
-    return compare(delay_report.windowed(table, by_rank=True), delay_report.counted(table))
+    return compare(delay_report.windowed(table, by_rank=True), delay_report.one_pass(table))
 
 
 @query
@@ -509,6 +545,20 @@ def consolidate_runs(spark, sf_dir):
     return ordered(run_summary.summary(listed, environment=True), order)
 
 
+@query
+def run_matrix_from_logs(spark, sf_dir):
+    """Records appended to logs at two depths, read back; the latest by time counts."""
+    root = scratch_path(spark, "matrix_logs")
+    stamped = run_records(spark, sf_dir).filter("environment IS NULL").withColumn(
+        "run_timestamp", F.lpad(F.col("event_id").cast("string"), 12, "0")
+    )
+    even = F.col("event_id") % 2 == 0
+    append_run_records(_plain(stamped.filter(even)), f"{root}/analysis_3_x/a/timings.csv")
+    append_run_records(_plain(stamped.filter(~even)), f"{root}/analysis_3_x/a/b/timings.csv")
+    read = read_run_records_or_empty(spark, f"{root}/{SAMPLE_LOGS}")
+    return run_summary.run_matrix(run_summary.keep_sizes(read, run_summary.ALL_SIZES), "log_place")
+
+
 @query
 def run_matrix(spark, sf_dir):
     records = run_records(spark, sf_dir)
@@ -542,7 +592,6 @@ def events_stats(spark, sf_dir):
         measure="cents",
         flag="is_error",
         member="day",
-        member_range=(1, 31),
         names=["event_count", "min_cents", "max_cents", "avg_cents", "error_rate", "days"],
     )
 

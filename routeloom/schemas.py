@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(columns: str) -> T.StructType:
-    """A schema from ``name type`` pairs; ``!`` after a type means never null."""
+def _schema(ddl: str) -> T.StructType:
+    """A schema from DDL of simple types; Spark's own reader of DDL needs a session."""
     schema = T.StructType()
-    for pair in columns.replace("\n", " ").split(","):
-        name, kind = pair.split()
-        schema.add(name, kind.rstrip("!"), not kind.endswith("!"))
+    for column in ddl.split(","):
+        name, kind, *not_null = column.split()
+        schema.add(name, kind, not not_null)
     return schema
 
 
@@ -77,14 +77,14 @@ UNKNOWN_BAND = "unknown"
 
 # fixed values: result columns of the two reports
 ROUTE_STATS_SCHEMA = _schema(
-    "op_unique_carrier string!, route string!, flight_count long!, "
+    "op_unique_carrier string NOT NULL, route string NOT NULL, flight_count long NOT NULL, "
     "min_arr_delay double, max_arr_delay double, avg_arr_delay double, "
-    "cancellation_rate double, operating_months string!"
+    "cancellation_rate double, operating_months string NOT NULL"
 )
 DELAY_REPORT_SCHEMA = _schema(
-    "origin string!, month integer!, departure_delay_band string!, "
-    "flight_count long!, avg_dep_delay double, avg_arr_delay double, "
-    "top_3_causes string!"
+    "origin string NOT NULL, month integer NOT NULL, departure_delay_band string NOT NULL, "
+    "flight_count long NOT NULL, avg_dep_delay double, avg_arr_delay double, "
+    "top_3_causes string NOT NULL"
 )
 
 # fixed values: the order that defines the prefix samples, and the sample and scale names

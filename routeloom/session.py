@@ -62,3 +62,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder; nothing is ever written over."""
     app = spark.sparkContext.applicationId
     return f"{scratch_root(spark)}/routeloom/{app}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has put into the scratch folder.
+
+    For the end of a job: tables made by queries of this application that were not yet
+    read are gone with it.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_root(spark)}/routeloom/{context.applicationId}"
+    )
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

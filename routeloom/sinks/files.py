@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators.quality import GateFailed, require_rows
 
 
 def write_parquet(table: DataFrame, path: str) -> None:
@@ -21,3 +26,26 @@ def write_parquet_counted(table: DataFrame, path: str) -> int:
     """
     write_parquet(table, path)
     return table.sparkSession.read.parquet(path).count()
+
+
+def write_checked(spark: SparkSession, write: Callable[[str], None], path: str, expected: int) -> int:
+    """Write beside ``path``, check the rows that were written, and only then put them there.
+
+    ``write`` is given the place to write to. If the count is not as expected, what was at
+    ``path`` before stays as it was.
+    """
+    made = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    write(made)
+    rows = spark.read.parquet(made).count()
+    jvm = spark.sparkContext._jvm
+    target, source = (jvm.org.apache.hadoop.fs.Path(x) for x in (path, made))
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        require_rows(rows, expected)
+    except GateFailed:
+        system.delete(source, True)
+        raise
+    system.delete(target, True)
+    if not system.rename(source, target):
+        raise OSError(f"{made} could not be moved to {path}")
+    return rows

@@ -20,8 +20,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with both ends.
 
-    The customer side is joined to the orders first, so the large table is shuffled by
-    order once; which sides are small enough to broadcast is left to Spark's statistics.
+    The customer side is joined to the orders first. With every side large, the order lines
+    are shuffled twice, by supplier and by order: the keys differ. Which sides are small
+    enough to broadcast is left to Spark's statistics.
     """
     nation = read_table(spark, sf_dir, "nation")
     here = nation.select(
@@ -155,11 +156,11 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.lit("analysis_3_1"), F.lit("analysis_3_2"), F.lit("analysis_9")),
         (F.col("user_id") % 3 + 1).cast("int"),
     )
-    technology = F.coalesce(
-        F.when(F.col("event_type") == "view", F.lit("spark_sql")),
-        F.when(F.col("event_type") == "click", F.lit("spark_core")),
-        F.when(F.col("event_type") == "purchase", F.lit("hive")),
-        F.col("event_type"),
+    technology = (
+        F.when(F.col("event_type") == "view", "spark_sql")
+        .when(F.col("event_type") == "click", "spark_core")
+        .when(F.col("event_type") == "purchase", "hive")
+        .otherwise(F.col("event_type"))
     )
     size = F.element_at(
         F.array(*[F.lit(s) for s in ("100k", "500k", "half", "full", "1x", "2x", "4x", "8x")]),

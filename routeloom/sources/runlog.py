@@ -18,6 +18,8 @@ from .files import read_csv, read_csv_or_empty
 # fixed values: where logs lie below their root
 SAMPLE_LOGS = "analysis_3_*/*/timings.csv"
 SCALE_LOGS = "scalability/analysis_3_*/*/timings.csv"
+# levels between an analysis' folder and its logs that are searched
+LOG_LEVELS = 4
 
 
 def read_run_records(spark: SparkSession, pattern: str, environment: bool = False) -> DataFrame:
@@ -33,14 +35,18 @@ def read_run_records(spark: SparkSession, pattern: str, environment: bool = Fals
 def read_run_records_or_empty(
     spark: SparkSession, pattern: str, environment: bool = False
 ) -> DataFrame:
-    """As ``read_run_records``, but a family without logs is an empty table."""
-    try:
-        return read_run_records(spark, pattern, environment)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    """The logs of a family at any of ``LOG_LEVELS`` levels; without logs, an empty table."""
     schema = T.StructType([*_schema(environment), T.StructField("log_place", _PLACE)])
-    return spark.createDataFrame([], schema)
+    found = spark.createDataFrame([], schema)
+    for level in range(LOG_LEVELS):
+        try:
+            records = read_run_records(spark, pattern.replace("/*/", "/" + "*/" * level), environment)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        found = found.unionByName(records)
+    return found
 
 
 def _schema(environment: bool) -> T.StructType:
@@ -49,6 +55,7 @@ def _schema(environment: bool) -> T.StructType:
 
 _PLACE = (
     T.StructType()
+    .add("run", T.StringType())
     .add("folder", T.StringType())
     .add("written", T.TimestampType())
     .add("file", T.StringType())
@@ -58,8 +65,10 @@ _PLACE = (
 
 
 def _log_place() -> Column:
-    """Folder, then age, file and line: later records of a log compare greater."""
+    """Later records compare greater: by the time in the record, which survives copying,
+    then by folder, age, file and line."""
     return F.struct(
+        F.col("run_timestamp").alias("run"),
         F.regexp_replace("_metadata.file_path", "[^/]*$", "").alias("folder"),
         F.col("_metadata.file_modification_time").alias("written"),
         F.col("_metadata.file_name").alias("file"),

@@ -8,6 +8,8 @@ import pytest
 
 from routeloom.jobs import clean as clean_job
 from routeloom.jobs import summarize, sweep
+from routeloom.session import remove_scratch, scratch_path
+from routeloom.sinks.files import write_checked
 from routeloom.operators.compare import require_same
 from routeloom.operators.quality import GateFailed
 from routeloom.plans import clean as cleaning
@@ -95,9 +97,27 @@ def test_sizes():
 def test_failed_gate_stops_the_job(spark, made, monkeypatch):
     root = made[0]
     monkeypatch.setattr(cleaning, "kept", lambda: cleaning.F.lit(True))
+    before = sorted(map(str, spark.read.parquet(str(root / "clean")).collect()))
     with pytest.raises(GateFailed):
-        clean_job.run(spark, str(root / "raw"), str(root / "bad"), str(root / "bad_csv"))
+        clean_job.run(spark, str(root / "raw"), str(root / "clean"), str(root / "bad_csv"))
     assert not (root / "bad_csv").exists()
+    assert sorted(map(str, spark.read.parquet(str(root / "clean")).collect())) == before
+
+
+def test_wrong_count_leaves_earlier_output(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_checked(spark, spark.range(3).write.parquet, path, 3)
+    with pytest.raises(GateFailed):
+        write_checked(spark, spark.range(5).write.parquet, path, 4)
+    assert spark.read.parquet(path).count() == 3
+    assert [x.name for x in tmp_path.iterdir()] == ["t"]
+
+
+def test_scratch_is_removed(spark):
+    path = scratch_path(spark, "kept")
+    spark.range(1).write.parquet(path)
+    remove_scratch(spark)
+    assert not os.path.exists(path)
 
 
 def test_submitted_job(made):

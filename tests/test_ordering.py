@@ -87,7 +87,7 @@ def test_many_copies_of_one_row_are_spread(spark, tmp_path, wide):
 
 def test_large_tables_get_more_sort_tasks(spark, sorted_table, tmp_path, monkeypatch):
     source, path = sorted_table
-    monkeypatch.setattr(ordering, "ROWS_PER_SORT_TASK", 500)
+    monkeypatch.setattr(ordering, "SORT_TASK_BYTES", ordering.table_bytes(spark.read.parquet(source)) // 12 + 1)
     sort_table(spark, source, SAMPLE_ORDER, str(tmp_path / "t"))
     assert file_offsets(spark, str(tmp_path / "t")).count() == 12
     places = [with_position(spark, p) for p in (path, str(tmp_path / "t"))]

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from routeloom.functions.smallsets import mask_text, set_mask
+from routeloom.operators.grouping import member_lists
 from routeloom.operators.compare import compare, require_same
 from routeloom.operators.replicate import replicate, replicate_by_union
 from routeloom.plans import clean as cleaning
@@ -86,25 +86,23 @@ def test_ties_nulls_and_groups_without_causes(spark, plan):
 
 
 def test_cause_outside_the_list(spark):
+    """Only the plan that is given a list refuses it."""
     table = spark.createDataFrame([*HAND, ("JFK", 1, "low", 1.0, 1.0, "birds")], COLUMNS)
     with pytest.raises(Exception, match="a cause is not listed"):
         delay_report.counted(table).collect()
     expected = brute_delay_report([*HAND, ("JFK", 1, "low", 1.0, 1.0, "birds")])
-    assert rows(delay_report.one_pass(table)) == expected
+    assert rows(delay_report.delay_report(table)) == expected
     assert rows(delay_report.windowed(table)) == expected
     listed = delay_report.counted(table, (*delay_report.CAUSES, "birds"))
     assert rows(listed) == expected
 
 
-def test_month_mask(spark):
-    table = spark.createDataFrame([("a", 12), ("a", 1), ("a", 1), ("a", None), ("b", None)], "k string, m int")
-    months = table.groupBy("k").agg(set_mask(F.col("m"), 1, 12).alias("m"))
-    shown = months.select("k", mask_text(F.col("m"), 1, 12))
-    assert rows(shown) == [("a", "1,12"), ("b", "")]
-    with pytest.raises(Exception, match="not in 1..12: 13"):
-        spark.createDataFrame([(13,)], "m int").agg(set_mask(F.col("m"), 1, 12)).collect()
-    with pytest.raises(ValueError):
-        set_mask(F.col("m"), 0, 62)
+@pytest.mark.parametrize("padded", [False, True])
+def test_members_of_any_size(spark, padded):
+    rows_in = [("a", 12), ("a", 123), ("a", 1), ("a", 12), ("b", None), ("c", 0), ("c", 1000)]
+    table = spark.createDataFrame(rows_in, "k string, m int")
+    lists = member_lists(table, ["k"], "m", "members", padded)
+    assert rows(lists) == [("a", "1,12,123"), ("b", ""), ("c", "0,1000")]
 
 
 def test_route_stats_by_hand(spark):
