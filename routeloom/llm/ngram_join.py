@@ -29,6 +29,8 @@ from .components import connected
 
 # A candidate group with more members or shingles than this is dealt out in chunks.
 GROUP_MEMBERS, GROUP_SHINGLES = 2_048, 500_000
+# Shingles of a run in a trie that are looked at before the bound is tried again.
+BRANCH_LENGTH = 12
 # Sample members of a large group against which all its members are compared first.
 HUBS = 8
 BATCH_BYTES = 8_000_000
@@ -193,7 +195,8 @@ def build_trie(sets: list[np.ndarray]) -> list[_Branch]:
         low, high, start, above = todo.pop()
         branch = _Branch()
         branch.low, branch.high, branch.below = low, high, []
-        branch.end = int(sizes[low] if high - low == 1 else shared[low + 1 : high].min())
+        common = int(sizes[low] if high - low == 1 else shared[low + 1 : high].min())
+        branch.end = min(common, start + BRANCH_LENGTH)
         own = sets[low][start : branch.end].tolist()
         branch.own, branch.last = frozenset(own), own[-1] if own else None
         branch.shortest = int(sizes[low:high].min())
@@ -201,7 +204,9 @@ def build_trie(sets: list[np.ndarray]) -> list[_Branch]:
         if above is not None:
             above.below.append(branch)
         branches.append(branch)
-        if high - low > 1:
+        if branch.end < common:  # long runs are left as soon as the bound fails
+            todo.append((low, high, branch.end, branch))
+        elif high - low > 1:
             cuts = [low, *(low + 1 + np.flatnonzero(shared[low + 1 : high] == branch.end)), high]
             todo += [(int(a), int(b), branch.end, branch) for a, b in zip(cuts, cuts[1:])]
     return branches
@@ -213,8 +218,14 @@ def trie_links(
     """Links that connect what is connected, as places in ``sets``.
 
     Only sets that are ``asking`` walk the trie; those ``joined`` count as connected from
-    the start. A link is a Jaccard index of ``percent`` hundredths or more.
+    the start. A link is a Jaccard index of ``percent`` hundredths or more. Shingles are
+    ordered from rare to common in the group, so that sets differ where they begin.
     """
+    whole, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(whole), np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(whole))
+    ends = np.cumsum([len(x) for x in sets])[:-1]
+    sets = [np.sort(x) for x in np.split(rank[inverse], ends)]
     order = sorted(range(len(sets)), key=lambda at: sets[at].tobytes())
     placed = [sets[at] for at in order]
     root = build_trie(placed)[0]
@@ -222,6 +233,7 @@ def trie_links(
     together = np.array([joined[at] for at in order])
     if together.any():
         group[together] = group[together][0]
+    silent = np.r_[0, np.cumsum([not asking[at] for at in order])].tolist()
     links = []
     for place, at in enumerate(order):
         if not asking[at]:
@@ -233,13 +245,16 @@ def trie_links(
             branch, overlap = todo.pop()
             if branch.longest * 100 < percent * size or branch.shortest * percent > 100 * size:
                 continue
-            if (group[branch.low : branch.high] == group[place]).all():
-                continue
+            low, high = branch.low, branch.high
+            if low > place and silent[low] == silent[high]:
+                continue  # these sets ask themselves
             overlap += len(members & branch.own)
             rest = size - bisect_right(values, branch.last) if branch.own else size
             most = overlap + min(rest, branch.longest - branch.end)
             if (100 + percent) * most < percent * (size + branch.shortest):
                 continue
+            if (group[low:high] == group[place]).all():
+                continue
             if branch.below:
                 todo += [(below, overlap) for below in branch.below]
             else:
