@@ -29,6 +29,8 @@ from .components import connected
 
 # A candidate group with more members or shingles than this is dealt out in chunks.
 GROUP_MEMBERS, GROUP_SHINGLES = 2_048, 500_000
+# Shingles of one chunk of such a group, so that its comparisons fill many tasks.
+CHUNK_SHINGLES = 50_000
 # Shingles of a run in a trie that are looked at before the bound is tried again.
 BRANCH_LENGTH = 12
 # Sample members of a large group against which all its members are compared first.
@@ -342,8 +344,8 @@ def _large_links(members: DataFrame, percent: int) -> DataFrame:
         "hub_members",
     )
     widths = marked.groupBy("cluster").agg(
-        F.ceil(F.sum("n_shingles") * 2 / GROUP_SHINGLES).cast("int").alias("chunks"),
-        F.ceil(F.sum(F.expr("if(joined, 0, n_shingles)")) * 2 / GROUP_SHINGLES)
+        F.ceil(F.sum("n_shingles") / CHUNK_SHINGLES).cast("int").alias("chunks"),
+        F.ceil(F.sum(F.expr("if(joined, 0, n_shingles)")) / CHUNK_SHINGLES)
         .cast("int").alias("open_chunks"),
     ).filter("open_chunks > 0")
     spread = marked.join(widths, "cluster")

@@ -63,6 +63,7 @@ def test_jaccard_components(spark, monkeypatch, members):
     """Small groups in one task, and groups dealt out in chunks, against brute force."""
     monkeypatch.setattr(ngram_join, "GROUP_MEMBERS", members)
     monkeypatch.setattr(ngram_join, "GROUP_SHINGLES", 100 if members == 4 else 500_000)
+    monkeypatch.setattr(ngram_join, "CHUNK_SHINGLES", 600)
     rng = np.random.default_rng(5)
     base = [f"w{x}" for x in rng.integers(0, 60, 120)]
     texts = []
