@@ -30,12 +30,8 @@ def to_double(column: Column) -> Column:
 
 def to_int(column: Column) -> Column:
     """Whole numbers; a decimal part such as ``3.0`` is cut off, and ``.5`` is 0."""
-    pattern = r"^\s*([+-]?\d*)\.\d*\s*$"
-    digits = F.regexp_extract(column.cast("string"), pattern, 1)
-    whole = F.when(digits.rlike(r"\d"), digits.try_cast("int")).when(
-        column.cast("string").rlike(pattern), F.lit(0)
-    )
-    return F.coalesce(column.try_cast("int"), whole)
+    whole = F.regexp_replace(column.cast("string"), r"^\s*([+-]?)(\d*)\.\d*\s*$", "$10$2")
+    return whole.try_cast("int")
 
 
 def to_int_via_double(column: Column) -> Column:
