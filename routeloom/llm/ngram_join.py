@@ -13,7 +13,6 @@ connected with the set.
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import reduce
 from math import floor, log
@@ -176,42 +175,64 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(kept[0]), pa.array(kept[1])], ["a", "b"])
 
 
-class _Branch:
-    """A run of shingles common to the sets [low, high) of the sorted list."""
-
-    __slots__ = ("low", "high", "end", "own", "last", "shortest", "longest", "below")
-
-
-def build_trie(sets: list[np.ndarray]) -> list[_Branch]:
-    """Branches of the trie of sets that are sorted by their bytes; the first is the root."""
-    count = len(sets)
-    sizes = np.array([len(x) for x in sets])
-    shared = np.zeros(count, np.int64)
-    for at in range(1, count):
-        span = min(sizes[at - 1], sizes[at])
-        unequal = sets[at - 1][:span] != sets[at][:span]
-        shared[at] = np.argmax(unequal) if unequal.any() else span
-    branches: list[_Branch] = []
-    todo = [(0, count, 0, None)]
-    while todo:
-        low, high, start, above = todo.pop()
-        branch = _Branch()
-        branch.low, branch.high, branch.below = low, high, []
-        common = int(sizes[low] if high - low == 1 else shared[low + 1 : high].min())
-        branch.end = min(common, start + BRANCH_LENGTH)
-        own = sets[low][start : branch.end].tolist()
-        branch.own, branch.last = frozenset(own), own[-1] if own else None
-        branch.shortest = int(sizes[low:high].min())
-        branch.longest = int(sizes[low:high].max())
-        if above is not None:
-            above.below.append(branch)
-        branches.append(branch)
-        if branch.end < common:  # long runs are left as soon as the bound fails
-            todo.append((low, high, branch.end, branch))
-        elif high - low > 1:
-            cuts = [low, *(low + 1 + np.flatnonzero(shared[low + 1 : high] == branch.end)), high]
-            todo += [(int(a), int(b), branch.end, branch) for a, b in zip(cuts, cuts[1:])]
-    return branches
+class Trie:
+    """A prefix tree over sets of ranks that are sorted by their bytes, as arrays by branch.
+
+    A branch is a run of ranks common to the sets [low, high) of the list; branch 0 is the
+    root, and the branches below one are neighbours. ``end`` ranks lead to a branch's end,
+    ``last`` is the last of them (-1: none), ``shortest`` and ``longest`` are the sizes of
+    the sets below it.
+    """
+
+    def __init__(self, sets: list[np.ndarray]):
+        count = len(sets)
+        sizes = np.array([len(x) for x in sets])
+        shared = np.zeros(count, np.int64)
+        for at in range(1, count):
+            span = min(sizes[at - 1], sizes[at])
+            unequal = sets[at - 1][:span] != sets[at][:span]
+            shared[at] = np.argmax(unequal) if unequal.any() else span
+        rows, runs_of = [(0, count)], [(0, 0)]
+        ends, below = [], []
+        for at, (low, high) in enumerate(rows):
+            start = runs_of[at][0]
+            common = int(sizes[low] if high - low == 1 else shared[low + 1 : high].min())
+            end = min(common, start + BRANCH_LENGTH)
+            ends.append(end)
+            first = len(rows)
+            if end < common:  # long runs are left as soon as the bound fails
+                rows.append((low, high))
+            elif high - low > 1:
+                cuts = [low, *(low + 1 + np.flatnonzero(shared[low + 1 : high] == end)).tolist(), high]
+                rows += zip(cuts, cuts[1:])
+            below.append((first, len(rows) - first))
+            runs_of += [(end, end)] * (len(rows) - first)
+        self.low, self.high = np.array(rows).T
+        self.end = np.array(ends)
+        starts = np.array([start for start, _ in runs_of])
+        self.first, self.below = np.array(below).T
+        self.length = self.end - starts
+        places = np.cumsum(np.r_[0, sizes])[self.low]
+        self.start, self.ranks = places + starts, np.concatenate(sets)
+        self.last = np.where(self.end > 0, self.ranks[places + np.maximum(self.end, 1) - 1], -1)
+        bounds = np.stack([self.low, self.high], axis=1).ravel()
+        padded = np.r_[sizes, sizes[-1:]]
+        self.shortest = np.minimum.reduceat(padded, bounds)[::2]
+        self.longest = np.maximum.reduceat(padded, bounds)[::2]
+
+    def overlaps(self, branches: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """How many ranks of each branch's own run are marked in ``held``."""
+        lengths = self.length[branches]
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1]) + np.repeat(self.start[branches] - ends + lengths, lengths)
+        counts = np.r_[0, np.cumsum(held[self.ranks[at]], dtype=np.int64)]
+        return counts[ends] - counts[ends - lengths]
+
+    def under(self, branches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The branches right below, and how many each of ``branches`` has."""
+        counts = self.below[branches]
+        ends = np.cumsum(counts)
+        return np.arange(ends[-1]) + np.repeat(self.first[branches] - ends + counts, counts), counts
 
 
 def trie_links(
@@ -221,7 +242,8 @@ def trie_links(
 
     Only sets that are ``asking`` walk the trie; those ``joined`` count as connected from
     the start. A link is a Jaccard index of ``percent`` hundredths or more. Shingles are
-    ordered from rare to common in the group, so that sets differ where they begin.
+    ordered from rare to common in the group, so that sets differ where they begin. A walk
+    goes down one level of branches at a time, all branches of a level at once.
     """
     whole, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     rank = np.empty(len(whole), np.int64)
@@ -230,38 +252,45 @@ def trie_links(
     sets = [np.sort(x) for x in np.split(rank[inverse], ends)]
     order = sorted(range(len(sets)), key=lambda at: sets[at].tobytes())
     placed = [sets[at] for at in order]
-    root = build_trie(placed)[0]
+    trie = Trie(placed)
     group = np.arange(len(order))
     together = np.array([joined[at] for at in order])
     if together.any():
         group[together] = group[together][0]
-    silent = np.r_[0, np.cumsum([not asking[at] for at in order])].tolist()
+    silent = np.r_[0, np.cumsum([not asking[at] for at in order])]
+    alone = silent[trie.low] == silent[trie.high]  # all sets below ask themselves
+    held = np.zeros(len(whole), bool)
     links = []
     for place, at in enumerate(order):
         if not asking[at]:
             continue
-        values = placed[place].tolist()
-        members, size = frozenset(values), len(values)
-        todo = [(root, 0)]
-        while todo:
-            branch, overlap = todo.pop()
-            if branch.longest * 100 < percent * size or branch.shortest * percent > 100 * size:
-                continue
-            low, high = branch.low, branch.high
-            if low > place and silent[low] == silent[high]:
-                continue  # these sets ask themselves
-            overlap += len(members & branch.own)
-            rest = size - bisect_right(values, branch.last) if branch.own else size
-            most = overlap + min(rest, branch.longest - branch.end)
-            if (100 + percent) * most < percent * (size + branch.shortest):
-                continue
-            if (group[low:high] == group[place]).all():
-                continue
-            if branch.below:
-                todo += [(below, overlap) for below in branch.below]
-            else:
-                links.append((at, order[branch.low]))
-                group[group == group[branch.low]] = group[place]
+        values = placed[place]
+        size = len(values)
+        held[values] = True
+        same = np.r_[0, np.cumsum(group == group[place])]
+        branches, overlap = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while len(branches):
+            low, high = trie.low[branches], trie.high[branches]
+            open_ = trie.longest[branches] * 100 >= percent * size
+            open_ &= trie.shortest[branches] * percent <= 100 * size
+            open_ &= ~(alone[branches] & (low > place))
+            open_ &= same[high] - same[low] < high - low
+            branches, overlap = branches[open_], overlap[open_]
+            if not len(branches):
+                break
+            overlap = overlap + trie.overlaps(branches, held)
+            rest = size - np.searchsorted(values, trie.last[branches], side="right")
+            most = overlap + np.minimum(rest, trie.longest[branches] - trie.end[branches])
+            open_ = (100 + percent) * most >= percent * (size + trie.shortest[branches])
+            branches, overlap = branches[open_], overlap[open_]
+            for found in trie.low[branches[trie.below[branches] == 0]].tolist():
+                if group[found] != group[place]:
+                    links.append((at, order[found]))
+                    group[group == group[found]] = group[place]
+            if len(branches):
+                branches, counts = trie.under(branches)
+                overlap = np.repeat(overlap, counts)
+        held[values] = False
     return links
 
 
