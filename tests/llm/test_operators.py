@@ -80,6 +80,39 @@ def test_jaccard_components(spark, monkeypatch, members):
     assert [found[at].n_shingles for at in range(60)] == [len(x) for x in sets]
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_trie_links(percent):
+    """Whoever asks, walks connect exactly what all comparisons with an asking set connect."""
+    rng = np.random.default_rng(percent)
+    for _ in range(60):
+        base = rng.integers(0, 1_000_000, int(rng.integers(1, 80)))
+        made = set()
+        for _ in range(int(rng.integers(2, 40))):
+            values = base.copy()
+            values[rng.integers(0, len(base), 4)] = rng.integers(0, 1_000_000, 4)
+            made.add(np.unique(values[: rng.integers(1, len(base) + 1)]).astype(np.uint64).tobytes())
+        sets = [np.frombuffer(x, np.uint64) for x in sorted(made)]
+        asking = rng.integers(0, 2, len(sets)).astype(bool)
+        for asks in (np.ones(len(sets), bool), asking):
+            links = ngram_join.trie_links(sets, percent, asks.tolist(), [False] * len(sets))
+            wanted = [
+                (a, b)
+                for a in range(len(sets))
+                for b in range(a)
+                if (asks[a] or asks[b])
+                and 100 * len(np.intersect1d(sets[a], sets[b])) >= percent * len(np.union1d(sets[a], sets[b]))
+            ]
+            assert {(max(x), min(x)) for x in links} <= set(wanted)
+            assert joined_by(links, len(sets)) == joined_by(wanted, len(sets))
+
+
+def joined_by(links, count):
+    group = list(range(count))
+    for a, b in links:
+        group = [min(group[a], group[b]) if x in (group[a], group[b]) else x for x in group]
+    return group
+
+
 def test_jaccard_odd_rows(odd, none):
     found = ngram_join.jaccard_components(odd).collect()
     by = {row.doc_id: row for row in found}
