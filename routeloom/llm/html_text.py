@@ -3,14 +3,16 @@
 Every page becomes a tree of elements, and every element's subtree a hash. Spark counts, for
 each host, on how many pages each subtree occurs; subtrees on many pages of a host are its
 template and are deleted. Elements that say what they are (navigation, adverts, forms and
-the like, by tag, class, id or role) go in any case, which serves hosts with few pages. Prose
-inside an article is kept even if it recurs: an article may quote what others say.
+the like, by tag, class, id or role) go in any case, which serves hosts with few pages. An
+article may quote what others say, so paragraphs inside one go only if they recur on a large
+share of the host's pages, or are short and stand at the article's edge. What stands outside
+articles and is neither template nor marked is text of the page like any other.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html import unescape
 
 import pyarrow as pa
@@ -22,6 +24,13 @@ from .common import map_arrow, stored
 
 # A subtree is a template's if it occurs on so many pages of a host and this share of them.
 TEMPLATE_PAGES, TEMPLATE_SHARE = 4, 0.1
+# A paragraph inside an article needs a larger share, and as many pages to be beyond doubt.
+PROSE_SHARE, PROSE_PAGES = 0.3, 20
+# Recurring paragraphs at an article's edge go up to so many words.
+EDGE_WORDS = 25
+# Doubtful paragraphs beyond so many go only if they hold at most half of an article's text:
+# pages that share most of their text are versions of one article.
+DOUBTFUL = 2
 
 # --- fixed values: what HTML elements are -------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -31,6 +40,8 @@ INLINE = frozenset(
     "rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol li dl dt dd table thead tbody tr td th figure figcaption".split())
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre".split())
+GROUPS = frozenset("blockquote ul ol dl table figure".split())  # prose that holds prose; their parts are no blocks
 ROOTS = frozenset("html body article main".split())
 DROPPED = frozenset(
     "head nav footer aside form script style noscript template iframe svg button select input textarea "
@@ -51,6 +62,11 @@ CLOSED_BY = {
 SCOPES = frozenset("ul ol dl table article main section body html div".split())
 # ------------------------------------------------------------------------------------------
 
+# Levels of templates: outside articles and, if short, at their edges; inside articles if the
+# article keeps its text; inside articles in any case.
+OUTSIDE, DOUBTED, EVERYWHERE = 1, 2, 3
+LEVELS = 7  # the bits that hold a level
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -143,7 +159,8 @@ class Tree:
                     parts.append(" ".join(words))
             if parts:
                 text = f"{self.tags[place]}\0{self.named(place)[0]}\0" + "\0".join(parts)
-                out[place] = xxhash.xxh3_64_intdigest(text) or 1
+                # the lowest bits are left for the level of a template
+                out[place] = xxhash.xxh3_64_intdigest(text) & ~LEVELS or LEVELS + 1
         return out
 
     def named(self, place: int) -> tuple[str, bool]:
@@ -164,12 +181,60 @@ class Tree:
                 odd |= key == "hidden" or value == "true"
         return " ".join(names), odd
 
-    def text(self, template: frozenset[int]) -> str:
-        """The page's blocks of text, one per line."""
-        hashes = self.hashes() if template else []
+    def _blocks(self, root: int, gone: list[bool], levels: dict[int, int], hashes: list[int]) -> list[tuple]:
+        """(place, level, words, characters) of an article's paragraphs and other text (place 0)."""
+        out, todo = [], [root]
+        while todo:
+            item = todo.pop()
+            if isinstance(item, str):
+                if words := item.split():
+                    out.append((0, 0, len(words), sum(map(len, words))))
+            elif not gone[item]:
+                tag = self.tags[item]
+                level = levels.get(hashes[item], 0) if tag in PARAGRAPHS or tag in GROUPS else 0
+                if level or tag in PARAGRAPHS:
+                    words = self._words(item, gone)
+                    if words:
+                        out.append((item, level, len(words), sum(map(len, words))))
+                else:
+                    todo += self.items[item][::-1]
+        return out
+
+    def _words(self, place: int, gone: list[bool]) -> list[str]:
+        words, todo = [], [place]
+        while todo:
+            item = todo.pop()
+            if isinstance(item, str):
+                words += item.split()
+            elif not gone[item]:
+                todo += self.items[item]
+        return words
+
+    def _cut(self, root: int, gone: list[bool], levels: dict[int, int], hashes: list[int]) -> None:
+        """Marks the recurring paragraphs of an article as gone."""
+        blocks = self._blocks(root, gone, levels, hashes)
+        cut = {at for at, x in enumerate(blocks) if x[1] == EVERYWHERE}
+        doubtful = {at for at, x in enumerate(blocks) if x[1] == DOUBTED}
+        for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
+            for at in order:
+                if at in cut or at in doubtful:
+                    continue
+                if not blocks[at][1] or blocks[at][2] > EDGE_WORDS:
+                    break
+                doubtful.add(at)
+        size = sum(blocks[at][3] for at in doubtful)
+        whole = sum(x[3] for at, x in enumerate(blocks) if at not in cut)
+        if 2 * size <= whole or len(doubtful) <= DOUBTFUL and size < whole:
+            cut |= doubtful
+        for at in cut:
+            gone[blocks[at][0]] = True
+
+    def text(self, levels: dict[int, int]) -> str:
+        """The page's blocks of text, one per line, without templates of these levels."""
+        hashes = self.hashes() if levels else []
         count = len(self.tags)
         gone, inside = [False] * count, [False] * count
-        roots: dict[str, list[int]] = {"article": [], "main": []}
+        roots = []  # outermost articles
         for place in range(1, count):
             tag, above = self.tags[place], self.parents[place]
             inside[place] = inside[above] or tag in ("article", "main")
@@ -183,13 +248,15 @@ class Tree:
                 gone[place] = True
             elif tag == "header" and not inside[above]:
                 gone[place] = True
-            elif template and hashes[place] in template and tag not in ROOTS and not (
+            elif levels and hashes[place] in levels and tag not in ROOTS and not (
                 inside[above] and (tag in PROSE or tag in INLINE)
             ):
                 gone[place] = True
-            elif tag in roots:
-                roots[tag].append(place)
-        chosen = roots["article"] or roots["main"] or [0]
+            elif inside[place] and not inside[above]:
+                roots.append(place)
+        if levels:
+            for root in roots:
+                self._cut(root, gone, levels, hashes)
         blocks: list[str] = []
         open_block: list[str] = []
 
@@ -198,29 +265,24 @@ class Tree:
                 blocks.append(" ".join(words))
             open_block.clear()
 
-        covered = 0  # nested roots are read with the outermost
-        for root in chosen:
-            if root < covered:
-                continue
-            todo: list = [root]
-            while todo:
-                item = todo.pop()
-                if item is None:
+        todo: list = [0]
+        while todo:
+            item = todo.pop()
+            if item is None:
+                end()
+            elif isinstance(item, str):
+                open_block.append(item)
+            elif not gone[item]:
+                tag = self.tags[item]
+                if tag == "br":
+                    open_block.append(" ")
+                elif tag in INLINE:
+                    todo += self.items[item][::-1]
+                else:
                     end()
-                elif isinstance(item, str):
-                    open_block.append(item)
-                elif not gone[item]:
-                    covered = max(covered, item + 1)
-                    tag = self.tags[item]
-                    if tag == "br":
-                        open_block.append(" ")
-                    elif tag in INLINE:
-                        todo += self.items[item][::-1]
-                    else:
-                        end()
-                        todo.append(None)
-                        todo += self.items[item][::-1]
-            end()
+                    todo.append(None)
+                    todo += self.items[item][::-1]
+        end()
         return "\n".join(blocks)
 
 
@@ -242,15 +304,20 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _levels(marks: Iterable[int]) -> dict[int, int]:
+    """The level of each template from hashes that bear their level."""
+    return {x % 2**64 & ~LEVELS: x & LEVELS for x in marks}
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known: dict[tuple, frozenset] = {}
+    known: dict[tuple, dict[int, int]] = {}
     for batch in batches:
         texts = []
         for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist()):
             key = tuple(template or ())
             if key not in known:
                 known.clear()
-                known[key] = frozenset(x % 2**64 for x in key)
+                known[key] = _levels(key)
             texts.append(Tree(html or "").text(known[key]))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
@@ -264,8 +331,11 @@ def main_texts(
 ) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
-    The text is that of the outermost articles, or of main, or of the whole page where
-    there is neither, without what is deleted; blocks are in page order, one per line.
+    The text is that of the whole page without what is deleted; blocks are in page order,
+    one per line. Outside articles a subtree is deleted that occurs on ``least_pages`` and
+    ``least_share`` of a host's pages. Paragraphs, lists and tables as a whole inside an
+    article are, where they occur on a share of ``PROSE_SHARE``, or as above if they have up
+    to ``EDGE_WORDS`` words and nothing but deleted ones stand between them and the edge.
     A null or empty html gives an empty text. Pages without a host, and a null url, have
     no template. Repeated rows count as pages of their own. Other columns are ignored.
     """
@@ -278,10 +348,13 @@ def main_texts(
     totals = counts.filter("subtree = 0").select("host", F.col("n").alias("pages"))
     # A page has few subtrees and each template covers a share of pages, so lists are short;
     # written out, they have a size by which Spark decides whether to broadcast them.
+    level = F.expr(
+        f"CASE WHEN n < pages * {PROSE_SHARE} THEN {OUTSIDE} WHEN n < {PROSE_PAGES} THEN {DOUBTED} ELSE {EVERYWHERE} END"
+    )
     templates = stored(
         counts.filter("subtree <> 0").join(totals, "host")
         .filter(F.col("n") >= F.col("pages") * least_share)
-        .groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template")),
+        .groupBy("host").agg(F.sort_array(F.collect_list(F.col("subtree").bitwiseOR(level))).alias("template")),
         "templates",
     )
     joined = hosted.join(templates, "host", "left").select("page_id", "url", "html", "template")

@@ -181,6 +181,34 @@ def test_html_text(spark):
     assert html_text.main_texts(table.limit(0)).count() == 0
 
 
+def test_html_text_inside_and_outside_articles(spark):
+    """A notice in every article goes, a quoted paragraph and text beside the article stay."""
+    notice, quote = "<p>Sign up here for our weekly letter</p>", "<p>A quoted line</p>"
+    pages = [
+        (at, "https://site.example/p",
+         f"<main><h1>Headline {at}</h1><p>Lead {at}</p><article><p>Own text {at} says more than others</p>"
+         f"{quote if at < 5 else ''}{notice}<p>And it ends {at}</p><p>{'Short last line' if at % 8 == 0 else at}</p>"
+         f"</article></main><div>Body {at} beside it</div>")
+        for at in range(40)
+    ]
+    # versions of one article keep what they share
+    pages += [
+        (100 + at, "https://versions.example/p",
+         f"<article><p>First part</p><p>Second part</p><p>Third part</p><p>Version {at}</p></article>")
+        for at in range(5)
+    ]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    found = {row.page_id: row.text.split("\n") for row in html_text.main_texts(table).collect()}
+    for at in range(40):
+        assert found[at] == [
+            f"Headline {at}", f"Lead {at}", f"Own text {at} says more than others",
+            *(["A quoted line"] if at < 5 else []), f"And it ends {at}",
+            *([str(at)] if at % 8 else []), f"Body {at} beside it",
+        ]
+    for at in range(5):
+        assert found[100 + at] == ["First part", "Second part", "Third part", f"Version {at}"]
+
+
 def test_toxicity(spark, data, odd, none):
     docs, labels = (spark.read.parquet(f"{data.replace('0.001', '0.1')}/{x}.parquet") for x in ("documents", "labels"))
     model = toxicity.learn(docs, labels)
