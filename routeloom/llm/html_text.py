@@ -1,7 +1,7 @@
 """Main text of web pages by removal of what a site's pages share.
 
 Every page becomes a tree of elements, and every element's subtree a hash. Spark counts, for
-each host, on how many pages each subtree occurs; subtrees on many pages of a host are its
+each host, on how many pages of different content each subtree occurs; subtrees on many pages of a host are its
 template and are deleted. Elements that say what they are (navigation, adverts, forms and
 the like, by tag, class, id or role) go in any case, which serves hosts with few pages. An
 article may quote what others say, so paragraphs inside one go only if they recur on a large
@@ -15,17 +15,21 @@ import re
 from collections.abc import Iterable, Iterator
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stored
+from .common import map_arrow, matched, stored
 
-# A subtree is a template's if it occurs on so many pages of a host and this share of them.
-TEMPLATE_PAGES, TEMPLATE_SHARE = 4, 0.1
+# A subtree is a template's if it occurs on so many pages of a host and this share of them,
+# or on as many pages as are beyond doubt on a host of any size.
+TEMPLATE_PAGES, TEMPLATE_SHARE, MANY_PAGES = 4, 0.1, 50
 # A paragraph inside an article needs a larger share, and as many pages to be beyond doubt.
 PROSE_SHARE, PROSE_PAGES = 0.3, 20
+# Below that share, paragraphs of so many words go if they occur on so many pages.
+LONG_WORDS, LONG_PAGES = 8, 500
 # Recurring paragraphs at an article's edge go up to so many words.
 EDGE_WORDS = 25
 # Doubtful paragraphs beyond so many go only if they hold at most half of an article's text:
@@ -63,8 +67,8 @@ SCOPES = frozenset("ul ol dl table article main section body html div".split())
 # ------------------------------------------------------------------------------------------
 
 # Levels of templates: outside articles and, if short, at their edges; inside articles if the
-# article keeps its text; inside articles in any case.
-OUTSIDE, DOUBTED, EVERYWHERE = 1, 2, 3
+# article keeps its text; inside articles if long; inside articles in any case.
+OUTSIDE, DOUBTED, LONG, EVERYWHERE = 1, 2, 3, 4
 LEVELS = 7  # the bits that hold a level
 
 _TOKEN = re.compile(
@@ -213,7 +217,9 @@ class Tree:
     def _cut(self, root: int, gone: list[bool], levels: dict[int, int], hashes: list[int]) -> None:
         """Marks the recurring paragraphs of an article as gone."""
         blocks = self._blocks(root, gone, levels, hashes)
-        cut = {at for at, x in enumerate(blocks) if x[1] == EVERYWHERE}
+        cut = {
+            at for at, x in enumerate(blocks) if x[1] == EVERYWHERE or x[1] == LONG and x[2] >= LONG_WORDS
+        }
         doubtful = {at for at, x in enumerate(blocks) if x[1] == DOUBTED}
         for order in (range(len(blocks)), range(len(blocks) - 1, -1, -1)):
             for at in order:
@@ -287,20 +293,26 @@ class Tree:
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, subtree) once per page, and one row with subtree 0 per page."""
+    """The sorted subtrees of each page, subtree 0 included, and a hash of its content.
+
+    The content is the text without marked elements, so that mirrors, print views and copies
+    with other adverts are one page.
+    """
     for batch in batches:
-        hosts, found = [], []
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+        pages, found = [], []
+        for html in batch.column("html").to_pylist():
             tree = Tree(html or "")
             own = {
                 value for tag, value in zip(tree.tags, tree.hashes())
                 if value and tag not in INLINE and tag not in ROOTS and tag != "#root"
             }
             own.add(0)
-            hosts += [host] * len(own)
-            found += own
+            pages.append(xxhash.xxh3_64_intdigest(tree.text({})) - 2**63)
+            found.append(np.sort(np.array(list(own), np.uint64).view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(found, pa.uint64()).view(pa.int64())], ["host", "subtree"]
+            [batch.column("host"), batch.column("doc"), pa.array(pages, pa.int64()),
+             pa.array(found, pa.list_(pa.int64()))],
+            ["host", "doc", "page", "subtrees"],
         )
 
 
@@ -313,12 +325,14 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[tuple, dict[int, int]] = {}
     for batch in batches:
         texts = []
-        for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist()):
+        columns = (batch.column(name).to_pylist() for name in ("html", "template", "rare"))
+        for html, template, rare in zip(*columns):
             key = tuple(template or ())
             if key not in known:
                 known.clear()
                 known[key] = _levels(key)
-            texts.append(Tree(html or "").text(known[key]))
+            levels = known[key] | _levels(rare) if rare else known[key]
+            texts.append(Tree(html or "").text(levels))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
              pa.array([len(x) for x in texts], pa.int64())],
@@ -327,35 +341,67 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def main_texts(
-    pages: DataFrame, least_pages: int = TEMPLATE_PAGES, least_share: float = TEMPLATE_SHARE
+    pages: DataFrame,
+    least_pages: int = TEMPLATE_PAGES,
+    least_share: float = TEMPLATE_SHARE,
+    many_pages: int = MANY_PAGES,
 ) -> DataFrame:
     """One row per row of ``pages`` (page_id, url, html): page_id, url, text, n_chars.
 
     The text is that of the whole page without what is deleted; blocks are in page order,
     one per line. Outside articles a subtree is deleted that occurs on ``least_pages`` and
-    ``least_share`` of a host's pages. Paragraphs, lists and tables as a whole inside an
-    article are, where they occur on a share of ``PROSE_SHARE``, or as above if they have up
+    ``least_share`` of a host's pages, or on ``many_pages``. Paragraphs, lists and tables as a whole inside an
+    article are, where they occur on a share of ``PROSE_SHARE`` or are long and on ``LONG_PAGES``, or as above if they have up
     to ``EDGE_WORDS`` words and nothing but deleted ones stand between them and the edge.
     A null or empty html gives an empty text. Pages without a host, and a null url, have
-    no template. Repeated rows count as pages of their own. Other columns are ignored.
+    no template. Pages of a host with equal text beside
+    marked elements count as one page. Other columns are ignored.
     """
     host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]+)", 1))
     hosted = pages.select("page_id", "url", "html", F.coalesce(host, F.lit("")).alias("host"))
-    counted = map_arrow(
-        hosted.filter("host <> ''").select("host", "html"), _subtrees, "host string, subtree long"
-    ).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
+    named = hosted.filter("host <> ''").select("host", "html", F.xxhash64("host", "html").alias("doc"))
+    subtrees = map_arrow(named, _subtrees, "host string, doc long, page long, subtrees array<long>")
+    # of the copies of a page the one with most subtrees counts
+    distinct = subtrees.groupBy("host", "page").agg(
+        F.max(F.struct(F.size("subtrees").alias("size"), "subtrees")).alias("most")
+    )
+    counted = distinct.select("host", F.explode("most.subtrees").alias("subtree")).groupBy("host", "subtree").agg(
+        F.count(F.lit(1)).alias("n")
+    )
     counts = stored(counted.filter(f"subtree = 0 OR n >= {least_pages}"), "subtree_counts")
     totals = counts.filter("subtree = 0").select("host", F.col("n").alias("pages"))
-    # A page has few subtrees and each template covers a share of pages, so lists are short;
-    # written out, they have a size by which Spark decides whether to broadcast them.
     level = F.expr(
-        f"CASE WHEN n < pages * {PROSE_SHARE} THEN {OUTSIDE} WHEN n < {PROSE_PAGES} THEN {DOUBTED} ELSE {EVERYWHERE} END"
+        f"CASE WHEN n >= pages * {PROSE_SHARE} THEN if(n < {PROSE_PAGES}, {DOUBTED}, {EVERYWHERE}) "
+        f"WHEN n >= {LONG_PAGES} THEN {LONG} ELSE {OUTSIDE} END"
     )
+    shares = counts.filter("subtree <> 0").join(totals, "host").select(
+        "host", "subtree", F.col("subtree").bitwiseOR(level).alias("mark"),
+        (F.col("n") >= F.col("pages") * least_share).alias("common"), "n",
+    )
+    # A page has few subtrees and each common template covers a share of pages, so lists are
+    # short; written out, they have a size by which Spark decides whether to broadcast them.
     templates = stored(
-        counts.filter("subtree <> 0").join(totals, "host")
-        .filter(F.col("n") >= F.col("pages") * least_share)
-        .groupBy("host").agg(F.sort_array(F.collect_list(F.col("subtree").bitwiseOR(level))).alias("template")),
+        shares.filter("common").groupBy("host").agg(F.sort_array(F.collect_list("mark")).alias("template")),
         "templates",
     )
-    joined = hosted.join(templates, "host", "left").select("page_id", "url", "html", "template")
+    joined = hosted.join(templates, "host", "left")
+    # Of the others a large host may have any number: a page gets those that it holds.
+    others = stored(
+        shares.filter(f"NOT common AND n >= {many_pages}").select(
+            F.xxhash64("host", "subtree").alias("subtree"), "mark"
+        ),
+        "rare_templates",
+    )
+    if others.isEmpty():
+        joined = joined.withColumn("rare", F.lit(None).cast("array<long>"))
+    else:
+        held = subtrees.select("host", "doc", F.explode("subtrees").alias("subtree")).select(
+            "doc", F.xxhash64("host", "subtree").alias("subtree")
+        )
+        rare = stored(
+            matched(held, others, "subtree", "inner").groupBy("doc").agg(F.collect_set("mark").alias("rare")),
+            "rare_templates_of_pages",
+        )
+        joined = joined.withColumn("doc", F.xxhash64("host", "html")).join(rare, "doc", "left")
+    joined = joined.select("page_id", "url", "html", "template", "rare")
     return map_arrow(joined, _texts, "page_id long, url string, text string, n_chars long")

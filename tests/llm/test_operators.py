@@ -209,6 +209,28 @@ def test_html_text_inside_and_outside_articles(spark):
         assert found[100 + at] == ["First part", "Second part", "Third part", f"Version {at}"]
 
 
+def test_html_text_copies_and_large_hosts(spark):
+    """Copies of a page do not make a template of it; rotating blocks of a large host are one."""
+    def body(at):
+        return f'<div><div class="ad">{at}</div><section><p>Copied story</p><p>Its end</p></section></div>'
+
+    pages = [(at, "https://copies.example/p", body(at % 3)) for at in range(12)]
+    pages += [(20 + at, "https://copies.example/q", f"<p>Page {at}</p>") for at in range(3)]
+    pages += [
+        (1_000 + at, "https://large.example/p", f"<div><p>Rotating block {at % 12}</p></div><p>Own {at}</p>")
+        for at in range(720)
+    ]
+    pages += [  # quoted on few pages of a large host
+        (3_000 + at, "https://large.example/p", f"<div><p>Seldom said</p></div><p>More {at}</p>") for at in range(20)
+    ]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    found = {row.page_id: row.text for row in html_text.main_texts(table).collect()}
+    assert len(found) == len(pages)
+    assert all(found[at] == "Copied story\nIts end" for at in range(12))
+    assert all(found[1_000 + at] == f"Own {at}" for at in range(720))
+    assert all(found[3_000 + at] == f"Seldom said\nMore {at}" for at in range(20))
+
+
 def test_toxicity(spark, data, odd, none):
     docs, labels = (spark.read.parquet(f"{data.replace('0.001', '0.1')}/{x}.parquet") for x in ("documents", "labels"))
     model = toxicity.learn(docs, labels)
