@@ -1,7 +1,9 @@
 """Embedding near-duplicates by sorted projection passes.
 
 A pass orders the vectors of each label by a concatenation of random hyperplane bits, most
-significant first, so that similar vectors tend to lie close. Every vector is compared with
+significant first, so that similar vectors tend to lie close; the label's mean is taken off before, since
+bits that are equal for all order nothing. Each label has as many passes as its size needs for
+the recall aimed at, and beyond a bound all have a wider window. Every vector is compared with
 a bounded window of neighbours in that order, and links that hold are united across passes.
 The order is a global position cut into blocks of equal size with an overlap of one window,
 so neither a hot label nor a partition border changes what is compared.
@@ -14,7 +16,7 @@ other by the triangle inequality; only pairs with a vector outside are computed,
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos
+from math import acos, ceil, log, log1p, log2, pi
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,9 @@ from .common import map_arrow, runs, stored
 from .components import connected
 
 PASSES, WINDOW, BLOCK, SEED = 16, 32, 2_048, 20_240_229
+# Share of the pairs right at the threshold that passes are meant to find at any size, and the
+# number of passes beyond which the window grows instead.
+RECALL, MOST_PASSES = 0.99, 64
 # Members of a component that one task compares with each other.
 GROUP_MEMBERS = 2_048
 
@@ -73,6 +78,27 @@ def _units(raw: list[bytes]) -> np.ndarray:
     return values / np.sqrt(np.einsum("ij,ij->i", values, values))[:, None]
 
 
+def plan(count: int, shared: float, threshold: float, window: int = WINDOW) -> tuple[int, int]:
+    """Passes and window that find a pair at the threshold with the chance ``RECALL``.
+
+    ``count`` is the size of a label and ``shared`` the squared length of the mean of its unit
+    vectors. Without the mean a pair of cosine c has about 1 - (1 - c) / (1 - shared), and one
+    pass finds it if it agrees in the bits that part a label into windows. A window of the
+    whole label, where one pass compares all, bounds the cost.
+    """
+    cosine = max(-1.0, 1 - (1 - threshold) / max(1 - shared, 1e-9))
+    agree = 1 - acos(min(1.0, cosine)) / pi
+    while count > window + 1:
+        chance = agree ** log2(count / window)
+        if chance >= RECALL:
+            return PASSES, window
+        passes = max(PASSES, ceil(log(1 - RECALL) / log1p(-chance))) if chance > 1e-12 else MOST_PASSES + 1
+        if passes <= MOST_PASSES:
+            return passes, window
+        window *= 2
+    return 1, window
+
+
 def projection_keys(units: np.ndarray, seed: int, passes: int) -> np.ndarray:
     """For each row and pass, 64 hyperplane bits as a number that sorts like the bits."""
     rng = np.random.default_rng([seed, units.shape[1]])
@@ -84,27 +110,42 @@ def projection_keys(units: np.ndarray, seed: int, passes: int) -> np.ndarray:
     return keys
 
 
-def _keys(batches: Iterator[pa.RecordBatch], seed: int, passes: int) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        raw = batch.column("vector").to_pylist()
-        nodes = np.asarray(batch.column("node"))
-        labels = np.asarray(batch.column("label"))
-        sizes = np.array([len(x) // 8 for x in raw])
-        for size in np.unique(sizes):
-            rows = np.flatnonzero(sizes == size)
-            keys = projection_keys(_units([raw[at] for at in rows]), seed, passes)
+        raw, means = batch.column("vector").to_pylist(), batch.column("mean").to_pylist()
+        nodes, labels, sizes, passes = (
+            np.asarray(batch.column(name)) for name in ("node", "label", "size", "passes")
+        )
+        for size, count in sorted(set(zip(sizes.tolist(), passes.tolist()))):
+            rows = np.flatnonzero((sizes == size) & (passes == count))
+            centred = _units([raw[at] for at in rows]) - np.array([means[at] for at in rows])
+            keys = projection_keys(centred, seed, count)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.tile(np.arange(passes), len(rows))),
-                    pa.array(np.repeat(labels[rows], passes)),
-                    pa.array(np.full(len(rows) * passes, size)),
+                    pa.array(np.tile(np.arange(count), len(rows))),
+                    pa.array(np.repeat(labels[rows], count)),
+                    pa.array(np.full(len(rows) * count, size)),
                     pa.array(keys.ravel()),
-                    pa.array(np.repeat(nodes[rows], passes)),
+                    pa.array(np.repeat(nodes[rows], count)),
                 ],
                 ["pass", "label", "size", "key", "node"],
             )
 
 
+def _plans(batches, threshold: float, passes: int | None, window: int | None) -> Iterator[pa.RecordBatch]:
+    """Passes and window of each label, where they are not given."""
+    for batch in batches:
+        planned = []
+        for count, mean in zip(batch.column("count").to_pylist(), batch.column("mean").to_pylist()):
+            own = plan(count, float(np.dot(mean, mean)), threshold, window or WINDOW)
+            planned.append((passes or own[0], own[1] if window is None and passes is None else window or WINDOW))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("label"), batch.column("size"), batch.column("mean"),
+             pa.array([x[0] for x in planned], pa.int64()), pa.array([x[1] for x in planned], pa.int64())],
+            ["label", "size", "mean", "passes", "window"],
+        )
+
+
 def spanning(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The smallest place each of ``count`` places reaches by links."""
     lowest = np.arange(count)
@@ -184,21 +225,30 @@ def _angles(batches, limit: float) -> Iterator[pa.RecordBatch]:
         yield batch.drop_columns(["mean"]).append_column("inner", pa.array(inner, pa.bool_()))
 
 
-def _unit_lists(batches) -> Iterator[pa.RecordBatch]:
+def _unit_lists(batches, keys: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         units = [_units([x])[0].tolist() for x in batch.column("vector").to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("component"), pa.array(units, pa.list_(pa.float64()))],
-            ["component", "unit"],
+            [*(batch.column(key) for key in keys), pa.array(units, pa.list_(pa.float64()))],
+            [*keys, "unit"],
         )
 
 
-def _large_counts(members: DataFrame, threshold: float) -> DataFrame:
-    means = (
-        map_arrow(members.select("component", "vector"), _unit_lists, "component long, unit array<double>")
-        .groupBy("component")
-        .agg(vector_to_array(Summarizer.mean(array_to_vector("unit"))).alias("mean"))
+def _means(vectors: DataFrame, keys: list[str]) -> DataFrame:
+    """The mean of the unit vectors of each group, and how many they are."""
+    fields = ", ".join(f"{key} long" for key in keys) + ", unit array<double>"
+    return (
+        map_arrow(vectors.select(*keys, "vector"), lambda batches: _unit_lists(batches, keys), fields)
+        .groupBy(*keys)
+        .agg(
+            vector_to_array(Summarizer.mean(array_to_vector("unit"))).alias("mean"),
+            F.count(F.lit(1)).alias("count"),
+        )
     )
+
+
+def _large_counts(members: DataFrame, threshold: float) -> DataFrame:
+    means = _means(members, ["component"]).drop("count")
     fields = "component long, node long, weight long, vector binary"
     half = float(np.cos(acos(threshold) / 2 - 1e-6))
     placed = stored(
@@ -241,8 +291,8 @@ def _large_counts(members: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(
     vectors: DataFrame,
     threshold: float = 0.93,
-    passes: int = PASSES,
-    window: int = WINDOW,
+    passes: int | None = None,
+    window: int | None = None,
     seed: int = SEED,
 ) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label).
@@ -252,7 +302,10 @@ def near_duplicates(
     the links of a row inside its component, ``component_id`` is the smallest vec_id it
     reaches, its own included, and ``kept`` marks the row that bears it. No link below the
     threshold is made. Chance finds a pair of cosine c in one pass with about
-    (1 - acos(c)/pi)^m, where 2^m rows of a label fill a window.
+    (1 - acos(c)/pi)^m, where a label holds 2^m windows and c is what is left of the cosine
+    without the label's mean. Unless ``passes`` or ``window`` are given, each label has what
+    finds a pair at the threshold with the chance ``RECALL``; labels that fit into a window
+    are compared in full.
 
     Rows with a null label, and vectors that are null, empty, zero or hold null or
     non-finite components, link with nothing. Vectors of different length never link.
@@ -272,16 +325,26 @@ def near_duplicates(
         ),
         "distinct_vectors",
     )
+    sized = nodes.withColumn("size", (F.length("vector") / 8).cast("long"))
+    plans = stored(
+        map_arrow(
+            _means(sized, ["label", "size"]), lambda batches: _plans(batches, threshold, passes, window),
+            "label long, size long, mean array<double>, passes long, window long",
+        ),
+        "label_plans",
+    )
+    window = plans.agg(F.max("window")).first()[0] or WINDOW
+    block_rows = max(BLOCK, window)
     spark = vectors.sparkSession
     path = scratch_path(spark, "projection_passes")
     order = ["pass", "label", "size", "key", "node"]
     keyed = map_arrow(
-        nodes, lambda batches: _keys(batches, seed, passes),
+        sized.join(plans.drop("window"), ["label", "size"]), lambda batches: _keys(batches, seed),
         "pass long, label long, size long, key long, node long",
     )
     write_ordered(keyed, order, path)
     place = with_position(spark, path).withColumn("position", F.col("position") - 1)
-    block, inside = F.floor(F.col("position") / BLOCK), F.col("position") % BLOCK
+    block, inside = F.floor(F.col("position") / block_rows), F.col("position") % block_rows
     blocks = F.when((inside < window) & (block > 0), F.array(block - 1, block)).otherwise(F.array(block))
     compared = place.select("*", F.explode(blocks).alias("block")).join(
         nodes.select("node", "vector"), "node"

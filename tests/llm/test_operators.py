@@ -152,6 +152,54 @@ def test_near_vectors(spark, monkeypatch):
     assert near_vectors.near_duplicates(table.limit(0)).count() == 0
 
 
+def pairs_found(keys, pairs, window):
+    """The share of pairs (row, row + pairs) that a pass brings into one window."""
+    found = np.zeros(pairs, bool)
+    for own in keys.T:
+        place = np.empty(len(keys), int)
+        place[np.argsort(own, kind="stable")] = np.arange(len(keys))
+        found |= abs(place[:pairs] - place[pairs : 2 * pairs]) <= window
+    return found.mean()
+
+
+def planted_pairs(count, pairs, shift, cosine=0.935):
+    """Unit vectors that share a direction, each of the first with a partner of this cosine."""
+    rng = np.random.default_rng(1)
+    unit = rng.standard_normal((count, 64)) / 8
+    unit[:, 0] += shift
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    own, apart = unit[:pairs], rng.standard_normal((pairs, 64))
+    apart -= (apart * own).sum(axis=1)[:, None] * own
+    apart /= np.linalg.norm(apart, axis=1)[:, None]
+    unit[pairs : 2 * pairs] = cosine * own + np.sqrt(1 - cosine**2) * apart
+    return unit
+
+
+@pytest.mark.parametrize("shift", [0, 1.5])
+def test_near_vectors_recall_of_a_large_label(shift):
+    unit = planted_pairs(100_000, 500, shift)
+    mean = unit.mean(axis=0)
+    passes, window = near_vectors.plan(len(unit), mean @ mean, 0.93)
+    keys = near_vectors.projection_keys(unit - mean, near_vectors.SEED, passes)
+    assert pairs_found(keys, 500, window) >= 0.98
+
+
+def test_near_vectors_passes_grow():
+    for count in (10**3, 10**5, 10**7, 10**9):
+        for shared in (0.0, 0.5, 0.9, 1.0):
+            passes, window = near_vectors.plan(count, shared, 0.93)
+            if count > window + 1:
+                agree = 1 - np.arccos(1 - 0.07 / (1 - shared)) / np.pi
+                assert 1 - (1 - agree ** np.log2(count / window)) ** passes >= 0.989
+
+
+def test_near_vectors_sharing_a_direction(spark):
+    unit = planted_pairs(10_000, 500, 1.5)
+    table = spark.createDataFrame([(at, x.tolist(), 1) for at, x in enumerate(unit)], "vec_id long, embedding array<double>, label int")
+    found = {row.vec_id: row.component_id for row in near_vectors.near_duplicates(table).collect()}
+    assert np.mean([found[at] == found[500 + at] for at in range(500)]) >= 0.98
+
+
 def test_top_inner_products(spark):
     rng = np.random.default_rng(4)
     vectors = rng.standard_normal((300, 8)).round(2)
