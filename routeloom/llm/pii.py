@@ -25,10 +25,14 @@ PATTERNS = {
     "secret": r"(?<![A-Za-z0-9])(?:(?i:password|passwd|pwd|secret|token|api[_-]?key)[ \t]*[=:][ \t]*[\"']?)[A-Za-z0-9_+/=.-]{6,}",
     "access_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "card": r"(?<![0-9.-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])",
+    "card": r"(?<![0-9.-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])|(?<![0-9.-])[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}(?![0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
+    "ip6": r"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?!(?:[0-9A-Fa-f]*:){9})(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![0-9A-Za-z:])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{8,15}(?![0-9])",
+    "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{8,15}(?![0-9])"
+    r"|(?<![0-9A-Za-z])\+(?=(?:[ ./-]?[0-9]){8,15}(?![0-9]))[0-9]{1,3}(?:[ ./-]?[0-9]{1,4}){2,6}(?![0-9])"
+    r"|(?<![0-9A-Za-z])0[0-9](?:[ .-][0-9]{2}){4}(?![0-9])|(?<![0-9A-Za-z])[6-9][0-9]{2}(?: [0-9]{2}){3}(?![0-9])"
+    r"|(?<![0-9A-Za-z/])0[0-9]{1,5} ?/ ?(?=(?:[ -]?[0-9]){5})[0-9]{2,4}(?:[ -]?[0-9]{1,4}){1,3}(?![0-9/])",
     "name": r"(?=\p{Lu})(?<=\b(?:Mr|Mrs|Ms|Dr|Mr\.|Mrs\.|Ms\.|Dr\.|Herr|Frau|Monsieur|Madame|Señor|Señora|господин|госпожа) )[\p{Lu}][\p{L}'’-]+(?: [\p{Lu}][\p{L}'’-]+)?",
 }
 # What does not tell entities apart.
@@ -138,6 +142,30 @@ def _address(entity: str, key: str) -> str:
     return _let(moved, "parts", f"concat({first}, '.', {rest})")
 
 
+def _address6(entity: str, key: str) -> str:
+    """An IPv6 address in its long form, all hexadecimal digits moved both ways; spellings
+    of one address have one surrogate."""
+    def groups(text: str) -> str:
+        return f"filter(split({text}, ':'), part -> part <> '')"
+
+    head, rest = (groups(f"substring_index({entity}, '::', {at})") for at in (1, -1))
+    tail = f"if(instr({entity}, '::') > 0, {rest}, cast(array() AS ARRAY<STRING>))"
+    filled = f"concat({head}, array_repeat('0', 8 - size({head}) - size({tail})), {tail})"
+    digits = f"array_join(transform({filled}, part -> lpad(lower(part), 4, '0')), '')"
+
+    def moved(text: str, own: str) -> str:
+        to = f"cast(pmod(instr('0123456789abcdef', char) - 1 + {_draw(own, 'state.seen')}, 16) AS INT) + 1"
+        return (
+            f"aggregate(split({text}, ''), named_struct('seen', '', 'made', ''), (state, char) -> named_struct("
+            f"'seen', concat(state.seen, char), 'made', concat(state.made, substr('0123456789abcdef', {to}, 1))), "
+            "state -> state.made)"
+        )
+
+    ahead = moved(digits, f"concat({key}, 'ahead/')")
+    both = moved(f"reverse({ahead})", f"concat({key}, 'back/')")
+    return _let(both, "nibbles", "array_join(transform(sequence(1, 29, 4), at -> substr(nibbles, at, 4)), ':')")
+
+
 def _card(entity: str, moved: str) -> str:
     """A card number from its moved digits: the check digit is made right, or wrong by as
     much as it was; separators stay where they are."""
@@ -200,8 +228,8 @@ def surrogate_sql(entity: str, key: str) -> str:
     moved = f"transform({parts}, part -> if(part.moved, {_shuffled('part.text', 'part.key')}, part.text))"
     joined = f"array_join({moved}, if(kind = 'name', ' ', ''))"
     made = _let(joined, "made", f"if(kind = 'card', {_card(entity, 'made')}, made)")
-    address = _address(entity, _text(f"{key}/ip/"))
-    return _let(_kind(entity), "kind", f"if(kind = 'ip', {address}, {made})")
+    address, address6 = _address(entity, _text(f"{key}/ip/")), _address6(entity, _text(f"{key}/ip6/"))
+    return _let(_kind(entity), "kind", f"CASE kind WHEN 'ip' THEN {address} WHEN 'ip6' THEN {address6} ELSE {made} END")
 
 
 def entities(text: Column) -> Column:
