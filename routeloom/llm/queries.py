@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, language, near_vectors, ngram_join, packing, pii
+from . import html_text, language, near_vectors, ngram_join, packing, partial_match, pii
 from . import piece_merges, token_counts, topk, toxicity
 from .common import table
 
@@ -78,3 +78,8 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op11_partial_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partial_match.scores(table(spark, sf_dir, "documents"))
