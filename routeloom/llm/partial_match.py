@@ -37,13 +37,17 @@ SYMBOLS = 255  # a text's bytes and its end
 END_WORD = bytes([END])
 
 # Bytes of text in a chunk, and of those whose runs are numbered at a time.
-CHUNK_BYTES, SLICE_BYTES = 12_000_000, 3_000_000
+CHUNK_BYTES, SLICE_BYTES = 12_000_000, 2_000_000
 # Keys of one row of a table of keys.
 ROW_KEYS = 500_000
 # Bytes of text for each bucket that keys are dealt to, and the most buckets.
 BUCKET_BYTES, MAX_BUCKETS = 32_000_000, 10_000
 
 RUNS, WORDS = 0, 1
+NUMBERS = {RUNS: np.int32, WORDS: np.int64}  # costs, counts
+# Costs are whole numbers of this unit, so that sums do not depend on their order; a text's
+# score is off by less than 3e-8 a byte.
+UNIT = 2.0**-24
 
 CHUNKS = "chunk long, split int, ids array<long>, ends array<long>, body binary, n_bytes long"
 ASKED = "bucket long, kind int, chunk long, keys binary, numbers binary"
@@ -57,6 +61,19 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(29))) * _ODD >> np.uint64(32)) % np.uint64(buckets)
 
 
+def packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """An array as bytes that compress well: steps of rising values, equal bytes together."""
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
+
+
+def unpacked(data: bytes, kind: type, rising: bool = False) -> np.ndarray:
+    apart = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    values = np.ascontiguousarray(apart.T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if rising else values
+
+
 def normal(text: str | None) -> bytes:
     """The words of a text, ASCII letters lowered, parted by single spaces."""
     return b" ".join((text or "").encode().lower().split())
@@ -98,7 +115,8 @@ def _chunks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         body = b"".join(x[1] for x in docs)
         values = [
             [(task << 32) + made], [len(held[0])], [[x[0] for x in docs]],
-            [np.cumsum([len(x[1]) for x in docs])], [body], [len(body)],
+            [np.cumsum([len(x[1]) for x in docs])],
+            [pa.compress(body, "zstd", asbytes=True)], [len(body)],
         ]
         kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int64()]
         names = ["chunk", "split", "ids", "ends", "body", "n_bytes"]
@@ -160,21 +178,21 @@ def _run_counts(body: bytes, border: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _dealt(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order by bucket, the borders of its buckets in it, and which buckets these are."""
+    """An order by bucket and key, the borders of its buckets in it, and which buckets these are."""
     bucket = _bucket(keys, buckets)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((keys, bucket))
     bucket = bucket[order]
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(keys) else np.empty(0, np.int64)
     return order, np.r_[starts, len(keys)], bucket[starts].astype(np.int64)
 
 
 def _rows(parts: list[tuple]) -> pa.RecordBatch:
-    """Rows of ASKED from (bucket, kind, chunk, keys, numbers)."""
+    """Rows of ASKED from (bucket, kind, chunk, rising keys or none, numbers)."""
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-    columns = list(zip(*parts)) or [()] * 5
-    made = [[x.tobytes() if isinstance(x, np.ndarray) else x for x in column] for column in columns]
+    made = [(*x[:3], None if x[3] is None else packed(x[3], rising=True), packed(x[4])) for x in parts]
+    columns = list(zip(*made)) or [()] * 5
     return pa.RecordBatch.from_arrays(
-        [pa.array(v, k) for v, k in zip(made, kinds)], ["bucket", "kind", "chunk", "keys", "numbers"]
+        [pa.array(v, k) for v, k in zip(columns, kinds)], ["bucket", "kind", "chunk", "keys", "numbers"]
     )
 
 
@@ -186,7 +204,10 @@ def _asked(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
     """What each chunk holds: its distinct runs and words with their counts, by bucket."""
     for batch in batches:
         for row in range(batch.num_rows):
-            chunk, split, ends, body = (batch.column(x)[row].as_py() for x in ("chunk", "split", "ends", "body"))
+            chunk, split, ends, body, size = (
+                batch.column(x)[row].as_py() for x in ("chunk", "split", "ends", "body", "n_bytes")
+            )
+            body = pa.decompress(body, size, "zstd", asbytes=True)
             border = _border(split, ends)
             words, word_counts = _word_counts(body, border)
             found = ((RUNS, *_run_counts(body, border)), (WORDS, _word_keys(words), word_counts))
@@ -210,8 +231,8 @@ def _combined(rows: Iterable[tuple], kind: type) -> tuple[np.ndarray, np.ndarray
     """Sums by key over packed rows (keys, numbers), folded as they come."""
     keys, numbers = np.empty(0, np.uint64), np.empty(0, np.int64)
     held, size = [], 0
-    for packed_keys, packed in rows:
-        held.append((np.frombuffer(packed_keys, np.uint64), np.frombuffer(packed, kind).astype(np.int64)))
+    for packed_keys, counts in rows:
+        held.append((unpacked(packed_keys, np.uint64, rising=True), unpacked(counts, kind).astype(np.int64)))
         size += len(held[-1][0])
         if size > max(len(keys), 2_000_000):
             keys, numbers = summed(*(np.concatenate(x) for x in zip((keys, numbers), *held)))
@@ -235,8 +256,8 @@ def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found = np.zeros(1 << 16, np.int64)
     for batch in batches:
         for keys, counts in zip(batch.column("keys").to_pylist(), batch.column("numbers").to_pylist()):
-            pair = (np.frombuffer(keys, np.uint64) & np.uint64(0xFFFF)).astype(np.int64)
-            np.add.at(found, pair, np.frombuffer(counts, np.int64))
+            pair = (unpacked(keys, np.uint64, rising=True) & np.uint64(0xFFFF)).astype(np.int64)
+            np.add.at(found, pair, unpacked(counts, np.int64))
     seen = np.flatnonzero(found)
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(found[seen])], ["pair", "n"])
 
@@ -244,14 +265,14 @@ def _pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _to_contexts(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Runs dealt by the last two bytes of their context."""
     for batch in batches:
-        for packed, numbers in zip(batch.column("keys").to_pylist(), batch.column("numbers").to_pylist()):
-            keys, counts = np.frombuffer(packed, np.uint64), np.frombuffer(numbers, np.int64)
+        for held, numbers in zip(batch.column("keys").to_pylist(), batch.column("numbers").to_pylist()):
+            keys, counts = unpacked(held, np.uint64, rising=True), unpacked(numbers, np.int64)
             order, borders, which = _dealt((keys >> np.uint64(8)) & np.uint64(0xFFFF), buckets)
-            keys, counts = keys[order], counts[order]
-            yield _rows(
-                [(bucket, RUNS, -1, keys[borders[at] : borders[at + 1]], counts[borders[at] : borders[at + 1]])
-                 for at, bucket in enumerate(which.tolist())]
-            )
+            parts = []
+            for at, bucket in enumerate(which.tolist()):
+                here = np.sort(order[borders[at] : borders[at + 1]])
+                parts.append((bucket, RUNS, -1, keys[here], counts[here]))
+            yield _rows(parts)
 
 
 class Level:
@@ -314,7 +335,7 @@ def _costs(batches: Iterable[pa.RecordBatch], pairs: dict[int, int], buckets: in
     dense[list(pairs)] = list(pairs.values())
     for _, rows in _by_bucket(batches, ["bucket", "kind", "keys", "numbers"]):
         keys, counts = _combined((row[2:] for row in rows), np.int64)
-        made = costs(keys, counts, dense)
+        made = np.rint(costs(keys, counts, dense) / UNIT).astype(np.int32)
         order, borders, which = _dealt(keys, buckets)
         for at, bucket in enumerate(which.tolist()):
             here = order[borders[at] : borders[at + 1]]
@@ -328,43 +349,44 @@ def _answers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (bucket, kind), rows in _by_bucket(batches, ["bucket", "kind", "chunk", "keys", "numbers"]):
         table, keys = [], None
         for _, _, chunk, asked, numbers in rows:
-            asked = np.frombuffer(asked, np.uint64)
+            asked = unpacked(asked, np.uint64, rising=True)
             if chunk < 0:
-                table.append((asked, np.frombuffer(numbers, np.float64 if kind == RUNS else np.int64)))
+                table.append((asked, unpacked(numbers, NUMBERS[kind])))
                 continue
             if keys is None:
                 keys, values = (np.concatenate(x) for x in zip(*table))
                 order = np.argsort(keys)
-                keys, values = keys[order], values[order].astype(np.float64)
+                keys, values = keys[order], values[order]
             yield _rows([(bucket, kind, chunk, None, values[np.searchsorted(keys, asked)])])
 
 
-def _in_key_order(keys: np.ndarray, buckets: int, answers: list[bytes]) -> np.ndarray:
+def _in_key_order(keys: np.ndarray, buckets: int, answers: list[bytes], kind: int) -> np.ndarray:
     """Answers, which come by bucket, at the places of their keys."""
-    values = np.empty(len(keys))
-    values[_dealt(keys, buckets)[0]] = np.frombuffer(b"".join(answers), np.float64)
+    values = np.empty(len(keys), NUMBERS[kind])
+    values[_dealt(keys, buckets)[0]] = np.concatenate([unpacked(x, NUMBERS[kind]) for x in answers])
     return values
 
 
 def _scored(batches: Iterable[pa.RecordBatch], buckets: int, total: int, distinct: int) -> Iterator[pa.RecordBatch]:
     """Scores of each chunk's texts; a chunk (kind -1) comes before its answers."""
-    names = ["chunk", "kind", "numbers", "split", "ids", "ends", "body"]
+    names = ["chunk", "kind", "numbers", "split", "ids", "ends", "body", "n_bytes"]
     rows = chain.from_iterable(zip(*(batch.column(x).to_pylist() for x in names)) for batch in batches)
     for _, group in groupby(rows, key=lambda row: row[0]):
-        _, _, _, split, ids, ends, body = next(group)
+        _, _, _, split, ids, ends, body, size = next(group)
+        body = pa.decompress(body, size, "zstd", asbytes=True)
         answers: list[list[bytes]] = [[], []]
         for row in group:
             answers[row[1]].append(row[2])
         border = _border(split, ends)
         runs = _run_counts(body, border)[0]
-        logs = _in_key_order(runs, buckets, answers[RUNS])
+        logs = _in_key_order(runs, buckets, answers[RUNS], RUNS)
         data, scores = np.frombuffer(body, np.uint8), np.zeros(len(ids))
         for at in range(0, len(data), SLICE_BYTES):
             keys, places = runs_of(data, at, min(at + SLICE_BYTES, len(data)))
             text = np.searchsorted(ends, places, side="right")
             scores += np.bincount(text, logs[np.searchsorted(runs, keys)], len(ids))
         words, _ = _word_counts(body, border)
-        counts = _in_key_order(_word_keys(words), buckets, answers[WORDS])
+        counts = _in_key_order(_word_keys(words), buckets, answers[WORDS], WORDS)
         smoothed = np.log10((counts + 0.1) / (total + 0.1 * (distinct + 1)))
         number = dict(zip(words, range(len(words))))
         known = counts > 0
@@ -378,7 +400,7 @@ def _scored(batches: Iterable[pa.RecordBatch], buckets: int, total: int, distinc
             [
                 pa.array(ids, pa.int64()), pa.array([at >= split for at in range(len(ids))]),
                 pa.array(tokens, pa.int64()), pa.array(seen, pa.int64()),
-                pa.array([total] * len(ids), pa.int64()), pa.array(base), pa.array(scores),
+                pa.array([total] * len(ids), pa.int64()), pa.array(base), pa.array(scores * UNIT),
                 pa.array(np.diff(np.r_[0, ends]) - ORDER - 1, pa.int64()),
             ],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"],
@@ -426,7 +448,7 @@ def scores(docs: DataFrame, divisor: int = 10, remainder: int = 0) -> DataFrame:
     tables = priced.unionByName(counts.filter(f"kind = {WORDS}").select(*priced.columns))
     requests = asked.withColumn("numbers", F.lit(None).cast("binary"))
     answers = map_arrow(grouped(tables.unionByName(requests), "bucket", "kind", "chunk"), _answers, ASKED)
-    gathered = chunks.drop("n_bytes").withColumns({"kind": F.lit(-1), "bucket": F.lit(-1).cast("long")}).unionByName(
+    gathered = chunks.withColumns({"kind": F.lit(-1), "bucket": F.lit(-1).cast("long")}).unionByName(
         answers.drop("keys"), allowMissingColumns=True
     )
     return map_arrow(

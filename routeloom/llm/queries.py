@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import html_text, language, near_vectors, ngram_join, packing, partial_match, pii
-from . import piece_merges, token_counts, topk, toxicity
+from . import piece_merges, ranked_search, token_counts, topk, toxicity
 from .common import table
 
 QUERIES = {}
@@ -83,3 +83,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_partial_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partial_match.scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
