@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import html_text, language, near_vectors, ngram_join, packing, partial_match, pii
-from . import piece_merges, ranked_search, token_counts, topk, toxicity
+from . import piece_merges, ranked_search, token_counts, topk, toxicity, whitening
 from .common import table
 
 QUERIES = {}
@@ -88,3 +89,10 @@ def op11_partial_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation beyond 64 bits, possible from some million vectors on, is null here."""
+    rows = whitening.whitened(table(spark, sf_dir, "embeddings"), most=32)
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
