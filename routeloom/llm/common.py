@@ -1,10 +1,11 @@
-"""What the operators of this package share: stored steps, runs of a sorted stream, columns."""
+"""What the operators of this package share: stored steps, runs of a sorted stream, packed arrays."""
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -91,15 +92,29 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """An array as bytes that compress well: steps of rising values, equal bytes together."""
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
+
+
+def unpacked(data: bytes, kind: type, rising: bool = False) -> np.ndarray:
+    apart = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    values = np.ascontiguousarray(apart.T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if rising else values
+
+
 # Rows of identifiers, about 32 bytes each, that may be sent to every executor: 32 MB.
 BROADCAST_ROWS = 1_000_000
 
 
-def matched(frame: DataFrame, keys: DataFrame, on: str, how: str) -> DataFrame:
+def matched(frame: DataFrame, keys: DataFrame, on: str, how: str, size: int | None = None) -> DataFrame:
     """``frame`` joined with a written table of a few narrow columns.
 
-    The table is counted from its footers. Up to the bound it is broadcast, so that wide
-    rows of the frame are not shuffled; beyond it both sides are shuffled on the key.
+    The table is counted from its footers; where rows hold lists, ``size`` counts what is in
+    them. Up to the bound it is broadcast, so that wide rows of the frame are not shuffled;
+    beyond it both sides are shuffled on the key.
     """
-    small = keys.count() <= BROADCAST_ROWS
+    small = (keys.count() if size is None else size) <= BROADCAST_ROWS
     return frame.join(F.broadcast(keys) if small else keys.hint("shuffle_merge"), on, how)

@@ -1,21 +1,26 @@
 """N-gram Jaccard join: sets of word shingles linked through prefix trees.
 
 Every text becomes a set of hashed shingles in one global order, that of the hash. Texts
-with the same set are one node. Nodes that may link are brought together without loss by
-the pigeonhole principle: two sets of at most U shingles with a Jaccard index of t or more
-differ in at most D = 2U(1-t)/(1+t) shingles, so of D+1 slices of the hash range at least
-one holds exactly the same shingles in both. Nodes that share a slice form a candidate
-group. In a group, the sets lie in a trie along the global order; each set walks the trie,
-shares the overlap it has counted with everything below a branch, and leaves a branch when
-the lengths that remain cannot reach the threshold, or when all below it is already
-connected with the set.
+with the same set are one node. Nodes that may link are found without loss by the first
+shingles of their sets, and by requiring several of them. A set of n shingles shares at
+least ceil(tn) of them with every set it links with at a Jaccard index of t or more. So if
+each set shows its first n - ceil(tn) + k(n) shingles, with k growing with n, two linked
+sets have as many shown shingles in common as the smaller one's k. Every shown shingle is
+counted over all nodes, and a node may then pass over its most frequent ones, one fewer
+than the least k of the sets it can link with: the rarest common one stays with both. Texts
+that only share a passage, or a phrase that is everywhere, pass it over and do not meet.
+
+Nodes that still share a shown shingle form a candidate group. In a group, the sets lie in a
+trie along an order from rare to common; each set walks the trie, shares the overlap it has
+counted with everything below a branch, and leaves a branch when the lengths that remain
+cannot reach the threshold, or when all below it is already connected with the set.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from math import floor, log
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, matched, pieces_of, runs, stored
+from .common import map_arrow, matched, packed, pieces_of, runs, stored, unpacked
 from .components import connected
 
 # A candidate group with more members or shingles than this is dealt out in chunks.
@@ -35,8 +40,18 @@ BRANCH_LENGTH = 12
 # Sample members of a large group against which all its members are compared first.
 HUBS = 8
 BATCH_BYTES = 8_000_000
-# Pairs of a mark and a node, 16 bytes each, that one task holds, about.
-BUCKET_PAIRS = 1_000_000
+# Shown shingles that one task counts, about, and the most tasks they are dealt to.
+BUCKET_PAIRS, MAX_BUCKETS = 2_000_000, 10_000
+# Of the shingles of a set, one in so many is shown beyond what the threshold asks for.
+SPARE = 5
+# Shingles of the members that one task compares with the hubs of their group.
+SLOT_SHINGLES = 1_000_000
+
+DESCRIBED = (
+    "chunk long, at int, doc_id long, key long, n_shingles long, node long, counts binary, shown binary"
+)
+ASKED = "bucket long, chunk long, shown binary, places binary"
+SHARED = "chunk long, shown binary, places binary, found binary"
 
 _ODD1, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S31, _S29, _S32 = np.uint64(31), np.uint64(29), np.uint64(32)
@@ -83,96 +98,186 @@ def _node(values: np.ndarray) -> int:
     return int(_mix(total + _mix(parity + size)).astype(np.int64)[0])
 
 
-def _slice_marks(values: np.ndarray, threshold: float) -> np.ndarray:
-    """Marks of a set's slices, for its own class of sizes and the next one.
+def least_common(size: int, percent: int) -> int:
+    """Shingles that a set of this size shares at least with any set it links with."""
+    return -(-percent * size // 100)
 
-    Linked sets differ in size by a factor of at most 1/threshold, so their classes are
-    the same or neighbours, and the larger one's class is common to both. Slices hold about
-    nine shingles each; an empty one has a mark as well, or two sets that agree only there
-    would be lost.
+
+def spare(size: int) -> int:
+    """Shown shingles that sets of this size have in common with linked ones, at least."""
+    return 1 + size // SPARE
+
+
+def shown(values: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set, enough to meet every linked set ``spare`` times."""
+    size = len(values)
+    return values[: size - least_common(size, percent) + spare(size)]
+
+
+def passed_over(size: int, percent: int) -> int:
+    """How many of its shown shingles a set may leave out: the most frequent ones.
+
+    A set it links with is no smaller than what they share at least.
     """
-    size, marks = len(values), []
-    own = floor(log(size) / log(1 / threshold) + 1e-9)
-    mixed = _mix(values + _ODD2)
-    for level in (own, own + 1):
-        upper = (1 / threshold) ** (level + 1) + 1e-6
-        count = floor(2 * upper * (1 - threshold) / (1 + threshold) + 1e-6) + 1
-        place = ((values >> _S32) * np.uint64(count)) >> _S32
-        sums = np.zeros(count, np.uint64)
-        starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        sums[place[starts].astype(np.int64)] = np.add.reduceat(mixed, starts)
-        label = np.arange(count, dtype=np.uint64) * _ODD1 + np.uint64(level * 1_000_003)
-        marks.append(_mix(_mix(sums) + label))
-    return np.concatenate(marks)
-
-
-def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    return spare(least_common(size, percent)) - 1
+
+
+def _describe(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows of DESCRIBED: one per text, and one per chunk with the shown shingles of its nodes."""
+    from pyspark import TaskContext
+
+    task, made = TaskContext.get().partitionId(), 0
+    names = ["chunk", "at", "doc_id", "key", "n_shingles", "node", "counts", "shown"]
     for whole in batches:
         for batch in pieces_of(whole, "text", BATCH_BYTES):
-            sizes, nodes = [], []
+            chunk, size = (task << 32) + made, batch.num_rows
+            made += 1
+            places: dict[int, int] = {}
+            sizes, nodes, heads = [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingles(text, width)
                 sizes.append(len(values))
                 nodes.append(_node(values) if len(values) else None)
+                if len(values) and nodes[-1] not in places:
+                    places[nodes[-1]] = len(places)
+                    heads.append(shown(values, percent))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
-                ["doc_id", "n_shingles", "node"],
+                [
+                    pa.array(np.full(size, chunk)), pa.array([places.get(x) for x in nodes], pa.int32()),
+                    batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()),
+                    pa.array(nodes, pa.int64()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()),
+                ],
+                names,
             )
+            if heads:
+                counts = packed(np.array([len(x) for x in heads], np.uint32))
+                columns = [[chunk], [None], [None], [None], [None], [None], [counts]]
+                columns.append([packed(np.concatenate(heads), rising=True)])
+                kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)], names)
 
 
-def _marks(
-    batches: Iterator[pa.RecordBatch], width: int, threshold: float, buckets: int
-) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, packed), the (mark, node) pairs of a batch whose marks fall in a bucket.
-
-    A pair comes once per mark and batch: nodes of a batch that share a mark are tied to
-    the smallest of them by a mark made from it, so a group that fills the batch is short.
-    """
-    for whole in batches:
-        for batch in pieces_of(whole, "text", BATCH_BYTES):
-            found: dict[int, np.ndarray] = {}
-            for text in batch.column("text").to_pylist():
-                values = shingles(text, width)
-                if len(values) and (node := _node(values)) not in found:
-                    found[node] = _slice_marks(values, threshold)
-            if not found:
-                continue
-            marks = np.concatenate(list(found.values()))
-            nodes = np.repeat(
-                np.fromiter(found, np.int64, len(found)), [len(x) for x in found.values()]
-            )
-            order = np.lexsort((nodes, marks))
-            marks, nodes = marks[order], nodes[order]
-            first = np.r_[True, marks[1:] != marks[:-1]]
-            lowest = nodes[first][np.cumsum(first) - 1]
-            tied = np.unique(np.stack([lowest, nodes])[:, lowest != nodes], axis=1)
-            ends = np.concatenate([tied[1], np.unique(tied[0])])
-            made = np.concatenate([tied[0], np.unique(tied[0])]).astype(np.uint64)
-            marks = np.concatenate([marks[first], _mix(made)])
-            pairs = np.stack([marks, np.concatenate([nodes[first], ends]).astype(np.uint64)], axis=1)
-            place = (marks % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(place, kind="stable")
-            pairs, place = pairs[order], place[order]
-            starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-            packed = [x.tobytes() for x in np.split(pairs, starts[1:])]
+def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ASKED: the shown shingles of a chunk's own nodes, dealt by shingle."""
+    for batch in batches:
+        columns = (batch.column(x).to_pylist() for x in ("chunk", "counts", "shown", "own"))
+        for chunk, counts, values, own in zip(*columns):
+            counts, values = unpacked(counts, np.uint32), unpacked(values, np.uint64, rising=True)
+            places = np.repeat(np.arange(len(counts), dtype=np.uint32), counts)
+            asked = np.zeros(len(counts), bool)
+            asked[own] = True
+            values, places = values[asked[places]], places[asked[places]]
+            bucket = ((_mix(values) >> _S32) % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((values, bucket))
+            bucket, values, places = bucket[order], values[order], places[order]
+            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            parts = [slice(a, b) for a, b in zip(starts, [*starts[1:], len(bucket)])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(place[starts]), pa.array(packed, pa.binary())], ["bucket", "packed"]
+                [
+                    pa.array(bucket[starts]), pa.array(np.full(len(parts), chunk)),
+                    pa.array([packed(values[x], rising=True) for x in parts], pa.binary()),
+                    pa.array([packed(places[x]) for x in parts], pa.binary()),
+                ],
+                ["bucket", "chunk", "shown", "places"],
             )
 
 
-def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links from each node to the smallest one that shares a mark, over one partition."""
-    packed = [x for batch in batches for x in batch.column("packed").to_pylist()]
-    if not packed:
-        return
-    pairs = np.concatenate([np.frombuffer(x, np.uint64) for x in packed]).reshape(-1, 2)
-    marks, nodes = pairs[:, 0], pairs[:, 1].astype(np.int64)
-    order = np.argsort(marks, kind="stable")
-    marks, nodes = marks[order], nodes[order]
-    starts = np.flatnonzero(np.r_[True, marks[1:] != marks[:-1]])
-    lowest = np.repeat(np.minimum.reduceat(nodes, starts), np.diff(np.r_[starts, len(marks)]))
-    kept = np.unique(np.stack([lowest, nodes])[:, lowest != nodes], axis=1)
-    yield pa.RecordBatch.from_arrays([pa.array(kept[0]), pa.array(kept[1])], ["a", "b"])
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of SHARED: for each chunk of a bucket the shingles that several nodes show."""
+    names = ["bucket", "chunk", "shown", "places"]
+    rows = chain.from_iterable(zip(*(batch.column(x).to_pylist() for x in names)) for batch in batches)
+    for _, group in groupby(rows, key=lambda row: row[0]):
+        parts = [
+            (chunk, unpacked(a, np.uint64, rising=True), unpacked(b, np.uint32)) for _, chunk, a, b in group
+        ]
+        values = np.concatenate([x[1] for x in parts])
+        places = np.concatenate([x[2] for x in parts])
+        which = np.repeat(np.arange(len(parts)), [len(x[1]) for x in parts])
+        order = np.argsort(values, kind="stable")
+        values = values[order]
+        starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+        lengths = np.diff(np.r_[starts, len(values)])
+        found = np.repeat(lengths, lengths)
+        kept = found > 1
+        values, order, found = values[kept], order[kept], found[kept].astype(np.uint64)
+        by_chunk = np.argsort(which[order], kind="stable")
+        values, order, found = values[by_chunk], order[by_chunk], found[by_chunk]
+        borders = np.searchsorted(which[order], np.arange(len(parts) + 1))
+        spans = [(at, slice(*borders[at : at + 2])) for at in range(len(parts)) if borders[at] < borders[at + 1]]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([parts[at][0] for at, _ in spans], pa.int64()),
+                pa.array([packed(values[x], rising=True) for _, x in spans], pa.binary()),
+                pa.array([packed(places[order[x]]) for _, x in spans], pa.binary()),
+                pa.array([packed(found[x]) for _, x in spans], pa.binary()),
+            ],
+            ["chunk", "shown", "places", "found"],
+        )
+
+
+def _kept(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows (shingle, node): what the nodes of each chunk do not pass over."""
+    names = ["chunk", "own", "nodes", "sizes", "shown", "places", "found"]
+    rows = chain.from_iterable(zip(*(batch.column(x).to_pylist() for x in names)) for batch in batches)
+    for _, group in groupby(rows, key=lambda row: row[0]):
+        _, own, nodes, sizes, *_ = next(group)
+        parts = [
+            (unpacked(a, np.uint64, rising=True), unpacked(b, np.uint32), unpacked(c, np.uint64))
+            for *_, a, b, c in group
+        ]
+        if not parts:
+            continue
+        values, places, found = (np.concatenate(x) for x in zip(*parts))
+        node, size = np.zeros(max(own) + 1, np.int64), np.zeros(max(own) + 1, np.int64)
+        node[own], size[own] = nodes, sizes
+        # per node from the most frequent on, equal ones by shingle
+        order = np.lexsort((values, np.iinfo(np.uint64).max - found, places))
+        places, values = places[order], values[order]
+        starts = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
+        lengths = np.diff(np.r_[starts, len(places)])
+        rank = np.arange(len(places)) - np.repeat(starts, lengths)
+        over = np.array([passed_over(x, percent) for x in size[places[starts]].tolist()])
+        stays = rank >= np.repeat(over, lengths)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(values[stays].view(np.int64)), pa.array(node[places[stays]])], ["shingle", "node"]
+        )
+
+
+def _candidates(described: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between nodes that keep a shingle in common, each to the smallest such."""
+    own = stored(
+        nodes.groupBy(F.col("place.chunk").alias("chunk")).agg(
+            F.collect_list("place.at").alias("own"), F.collect_list("node").alias("nodes"),
+            F.collect_list("n_shingles").alias("sizes"),
+        ),
+        "chunk_nodes",
+    )
+    total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
+    expected = total * (100 - percent) // 100 + total // SPARE
+    width = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MAX_BUCKETS, max(width, -(-expected // BUCKET_PAIRS)))
+    chunks = described.filter("shown IS NOT NULL").select("chunk", "counts", "shown")
+    asked = map_arrow(
+        matched(chunks, own.select("chunk", "own"), "chunk", "inner", nodes.count()).select("chunk", "counts", "shown", "own"),
+        lambda batches: _asked(batches, buckets),
+        ASKED,
+    )
+    shared = map_arrow(asked.repartition(buckets, "bucket").sortWithinPartitions("bucket"), _shared, SHARED)
+    gathered = own.withColumn("order", F.lit(0)).unionByName(
+        shared.withColumn("order", F.lit(1)), allowMissingColumns=True
+    )
+    kept = stored(
+        map_arrow(
+            gathered.repartition(buckets, "chunk").sortWithinPartitions("chunk", "order"),
+            lambda batches: _kept(batches, percent),
+            "shingle long, node long",
+        ),
+        "kept_shingles",
+    )
+    lowest = kept.groupBy("shingle").agg(F.min("node").alias("lowest"), F.count(F.lit(1)).alias("n"))
+    return kept.join(lowest.filter("n > 1").drop("n"), "shingle").select(
+        F.col("node").alias("a"), F.col("lowest").alias("b")
+    )
 
 
 class Trie:
@@ -295,11 +400,22 @@ def trie_links(
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The set of each node, once a task however often its text is there."""
+    seen = set()
     for whole in batches:
         for batch in pieces_of(whole, "text", BATCH_BYTES):
-            made = [shingles(text, width).tobytes() for text in batch.column("text").to_pylist()]
+            made, rows = [], []
+            for row, (text, node) in enumerate(zip(batch.column("text").to_pylist(), batch.column("node").to_pylist())):
+                if node in seen:
+                    continue
+                values = shingles(text, width)
+                if len(values) and _node(values) == node:
+                    seen.add(node)
+                    made.append(values.tobytes())
+                    rows.append(row)
+            which = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cluster"), batch.column("node"), pa.array(made, pa.binary())],
+                [batch.column("cluster").take(which), batch.column("node").take(which), pa.array(made, pa.binary())],
                 ["cluster", "node", "shingles"],
             )
 
@@ -325,17 +441,26 @@ def _links(batches, keys: list[str], percent: int) -> Iterator[pa.RecordBatch]:
 
 
 def _hub_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for cluster, node, raw, hubs in zip(*(batch.column(x).to_pylist() for x in batch.schema.names)):
-            own = frozenset(np.frombuffer(raw, np.uint64).tolist())
-            for hub in hubs:
-                other = np.frombuffer(hub["shingles"], np.uint64).tolist()
-                common = len(own.intersection(other))
-                if (100 + percent) * common >= percent * (len(own) + len(other)):
-                    rows.append((cluster, node, hub["node"]))
+    """Links of members with the hubs of their group; a slot's hubs come before its members."""
+    names = ["cluster", "slot", "member", "node", "shingles"]
+    rows = chain.from_iterable(
+        zip(*(part.column(x).to_pylist() for x in names))
+        for batch in batches for part in pieces_of(batch, "shingles", BATCH_BYTES)
+    )
+    for (cluster, _), group in groupby(rows, key=lambda row: row[:2]):
+        hubs, found = [], []
+        for _, _, member, node, raw in group:
+            values = np.frombuffer(raw, np.uint64)
+            if not member:
+                hubs.append((node, values))
+                continue
+            for hub, other in hubs:
+                at = np.minimum(np.searchsorted(other, values), len(other) - 1)
+                common = int(np.count_nonzero(other[at] == values))
+                if (100 + percent) * common >= percent * (len(values) + len(other)):
+                    found.append((cluster, node, hub))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([row[at] for row in rows], pa.int64()) for at in range(3)],
+            [pa.array([row[at] for row in found], pa.int64()) for at in range(3)],
             ["cluster", "node", "hub"],
         )
 
@@ -350,14 +475,22 @@ def _large_links(members: DataFrame, percent: int) -> DataFrame:
     chosen = members.groupBy("cluster", F.pmod(F.hash("node"), F.lit(HUBS)).alias("part")).agg(
         F.min("node").alias("node")
     )
-    hubs = (
-        members.join(chosen.select("cluster", "node"), ["cluster", "node"])
-        .groupBy("cluster")
-        .agg(F.collect_list(F.struct("node", "shingles")).alias("hubs"))
+    slots = members.groupBy("cluster").agg(
+        F.ceil(F.sum("n_shingles") / SLOT_SHINGLES).cast("int").alias("slots")
+    )
+    placed = members.join(slots, "cluster")
+    hubs = placed.join(chosen.select("cluster", "node"), ["cluster", "node"]).select(
+        "cluster", F.explode(F.expr("sequence(0, slots - 1)")).alias("slot"),
+        F.lit(0).alias("member"), "node", "shingles",
+    )
+    dealt = hubs.unionByName(
+        placed.select(
+            "cluster", F.pmod(F.hash("node"), F.col("slots")).alias("slot"), F.lit(1).alias("member"), "node", "shingles"
+        )
     )
     links = stored(
         map_arrow(
-            members.select("cluster", "node", "shingles").join(hubs, "cluster"),
+            dealt.repartition("cluster", "slot").sortWithinPartitions("cluster", "slot", "member"),
             lambda batches: _hub_links(batches, percent),
             "cluster long, node long, hub long",
         ),
@@ -406,37 +539,29 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     ``component_id`` is the smallest doc_id a row reaches by links, its own included.
 
     Rows without words or with a null text have no shingle and link with nothing. Repeated
-    rows link with each other. A null doc_id stays null when all rows it reaches have none.
-    Other columns of ``docs`` are ignored. Sets are told apart by 64-bit hashes.
+    rows link with each other, and different rows may have one doc_id. A null doc_id stays
+    null when all rows it reaches have none. Other columns of ``docs`` are ignored. Sets are
+    told apart by 64-bit hashes.
     """
-    source = docs.select("doc_id", "text")
+    # a text is found again by this key; its set is checked then, so that keys may meet
+    source = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
     described = stored(
-        map_arrow(
-            source,
-            lambda batches: _describe(batches, width),
-            "doc_id long, n_shingles long, node long",
-        ),
-        "shingle_counts",
+        map_arrow(source, lambda batches: _describe(batches, width, percent), DESCRIBED), "shingle_counts"
     )
-    total = described.agg(F.sum("n_shingles")).first()[0] or 0
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    expected = 3 * total * (100 - percent) // (100 + percent)
-    buckets = max(partitions, -(-expected // BUCKET_PAIRS))
-    marks = map_arrow(
-        source.select("text"),
-        lambda batches: _marks(batches, width, percent / 100, buckets),
-        "bucket long, packed binary",
-    )
-    tied = map_arrow(marks.repartition(buckets, "bucket"), _ties, "a long, b long")
-    clusters = connected(tied).withColumnRenamed("component", "cluster")
-    first = described.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n_shingles")
+    texts_of = described.filter("n_shingles IS NOT NULL").select("doc_id", "n_shingles", "node")
+    nodes = stored(
+        described.filter("node IS NOT NULL").groupBy("node").agg(
+            F.min("key").alias("key"), F.min("n_shingles").alias("n_shingles"),
+            F.min(F.struct("chunk", "at")).alias("place"),
+        ),
+        "nodes",
     )
-    members = stored(first.join(clusters, "node"), "clusters")
+    clusters = connected(_candidates(described, nodes, percent)).withColumnRenamed("component", "cluster")
+    members = stored(nodes.drop("place").join(clusters, "node"), "clusters")
     sizes = members.groupBy("cluster").agg(
         F.expr(f"count(1) > {GROUP_MEMBERS} OR sum(n_shingles) > {GROUP_SHINGLES}").alias("large")
     )
-    texts = matched(source, members.select("doc_id", "cluster", "node"), "doc_id", "inner")
+    texts = matched(source, members.select("key", "cluster", "node"), "key", "inner")
     sets = stored(
         map_arrow(
             texts.select("cluster", "node", "text"),
@@ -459,7 +584,7 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     if not sets.filter("large").isEmpty():
         links = links.unionByName(_large_links(sets.filter("large").drop("large"), percent))
     linked = connected(links)
-    labelled = described.join(linked, "node", "left").withColumn(
+    labelled = texts_of.join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     lowest = labelled.filter("component IS NOT NULL").groupBy("component").agg(

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, pieces_of, stored
+from .common import map_arrow, packed, pieces_of, stored, unpacked
 
 # Bytes of context; a run of ORDER + 1 bytes fits into a 64-bit number.
 ORDER = 5
@@ -61,19 +61,6 @@ def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed ^ (mixed >> np.uint64(29))) * _ODD >> np.uint64(32)) % np.uint64(buckets)
 
 
-def packed(values: np.ndarray, rising: bool = False) -> bytes:
-    """An array as bytes that compress well: steps of rising values, equal bytes together."""
-    if rising:
-        values = np.diff(values, prepend=values.dtype.type(0))
-    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
-
-
-def unpacked(data: bytes, kind: type, rising: bool = False) -> np.ndarray:
-    apart = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    values = np.ascontiguousarray(apart.T).view(kind).ravel()
-    return np.cumsum(values, dtype=kind) if rising else values
-
-
 def normal(text: str | None) -> bytes:
     """The words of a text, ASCII letters lowered, parted by single spaces."""
     return b" ".join((text or "").encode().lower().split())
