@@ -1,16 +1,17 @@
 """N-gram Jaccard join: sets of word shingles linked through prefix trees.
 
 Every text becomes a set of hashed shingles in one global order, that of the hash. Texts
-with the same set are one node. Nodes that may link are found without loss by the first
-shingles of their sets, and by requiring several of them. A set of n shingles shares at
-least ceil(tn) of them with every set it links with at a Jaccard index of t or more. So if
-each set shows its first n - ceil(tn) + k(n) shingles, with k growing with n, two linked
-sets have as many shown shingles in common as the smaller one's k. Every shown shingle is
-counted over all nodes, and a node may then pass over its most frequent ones, one fewer
-than the least k of the sets it can link with: the rarest common one stays with both. Texts
-that only share a passage, or a phrase that is everywhere, pass it over and do not meet.
-
-Nodes that still share a shown shingle form a candidate group. In a group, the sets lie in a
+with the same set are one node. Nodes that may link are found without loss by the
+pigeonhole principle: two sets of at most U shingles with a Jaccard index of t or more differ
+in at most D = 2U(1-t)/(1+t) shingles. So of M slices of the hash range at least M - D hold
+the same shingles in both, and with M about half as large again as D they agree on a third of
+all slices. A set has a mark for each slice that is not empty, and marks are counted over
+all nodes. A node that must agree in A marks with whatever it links with may pass over the
+A - 1 of its marks that are most frequent: the rarest mark that two linked sets have in
+common stays with both. Texts that only share a passage, or a phrase that is everywhere,
+pass its marks over and do not meet.
+
+Nodes that still share a mark form a candidate group. In a group, the sets lie in a
 trie along an order from rare to common; each set walks the trie, shares the overlap it has
 counted with everything below a branch, and leaves a branch when the lengths that remain
 cannot reach the threshold, or when all below it is already connected with the set.
@@ -21,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from itertools import chain, groupby
+from math import floor
 
 import numpy as np
 import pyarrow as pa
@@ -40,21 +42,23 @@ BRANCH_LENGTH = 12
 # Sample members of a large group against which all its members are compared first.
 HUBS = 8
 BATCH_BYTES = 8_000_000
-# Shown shingles that one task counts, about, and the most tasks they are dealt to.
+# Marks that one task counts, about, and the most tasks they are dealt to.
 BUCKET_PAIRS, MAX_BUCKETS = 2_000_000, 10_000
-# Of the shingles of a set, one in so many is shown beyond what the threshold asks for.
-SPARE = 5
+# Ways of slicing that a set gets whose shingles leave too many slices empty.
+MORE_SLICINGS = 6
 # Shingles of the members that one task compares with the hubs of their group.
 SLOT_SHINGLES = 1_000_000
 
 DESCRIBED = (
-    "chunk long, at int, doc_id long, key long, n_shingles long, node long, counts binary, shown binary"
+    "chunk long, at int, doc_id long, key long, n_shingles long, node long, spare array<int>, "
+    "counts binary, marks binary"
 )
-ASKED = "bucket long, chunk long, shown binary, places binary"
-SHARED = "chunk long, shown binary, places binary, found binary"
+ASKED = "bucket long, chunk long, marks binary, places binary"
+SHARED = "chunk long, marks binary, places binary, found binary"
 
 _ODD1, _ODD2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _S31, _S29, _S32 = np.uint64(31), np.uint64(29), np.uint64(32)
+_MARK = np.uint64((1 << 48) - 1)
 
 
 def _mix(values):
@@ -98,76 +102,113 @@ def _node(values: np.ndarray) -> int:
     return int(_mix(total + _mix(parity + size)).astype(np.int64)[0])
 
 
-def least_common(size: int, percent: int) -> int:
-    """Shingles that a set of this size shares at least with any set it links with."""
-    return -(-percent * size // 100)
+def slicing(level: int, percent: int) -> tuple[int, int]:
+    """How many shingles linked sets of a size level may differ in, and into how many slices.
 
+    Level 0 ends at one shingle, and each next one 100/percent times as high.
+    """
+    upper = (100 / percent) ** level * (1 + 1e-9)
+    differ = floor(2 * upper * (100 - percent) / (100 + percent) + 1e-6)
+    return differ, differ + 2 + -(-differ // 2)
 
-def spare(size: int) -> int:
-    """Shown shingles that sets of this size have in common with linked ones, at least."""
-    return 1 + size // SPARE
 
+def _sliced(values: np.ndarray, slices: int, label: int) -> np.ndarray:
+    """Marks of the slices of a set that are not empty, under one way of slicing."""
+    spread = values if not label & 0xFF else _mix(values + np.uint64(label & 0xFF))
+    order = np.argsort(spread) if label & 0xFF else slice(None)
+    place = ((spread[order] >> _S32) * np.uint64(slices)) >> _S32
+    starts = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    sums = np.add.reduceat(_mix(values[order] + _ODD2), starts)
+    return _mix(_mix(sums) + place[starts] * _ODD1 + np.uint64(label * 1_000_003)) & _MARK
 
-def shown(values: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles of a set, enough to meet every linked set ``spare`` times."""
-    size = len(values)
-    return values[: size - least_common(size, percent) + spare(size)]
 
+def marks_of(values: np.ndarray, percent: int) -> tuple[list[np.ndarray], list[int]]:
+    """A set's marks at its own size level and the next, and how many it may pass over at each.
 
-def passed_over(size: int, percent: int) -> int:
-    """How many of its shown shingles a set may leave out: the most frequent ones.
+    Linked sets differ in size by a factor of at most 100/percent, so their levels are the
+    same or neighbours, and the larger one's level is common to both. Where fewer than one
+    shingle may differ only equal sets link, and these are one node.
 
-    A set it links with is no smaller than what they share at least.
+    The marks that two linked sets have in common are at least the slices less D, less the
+    slices empty in either one. A set with so many empty slices that none may be left shows
+    all its marks, and those of other slicings; what it links with is such a set, too, or
+    has a mark in common with it anyway. After the last slicing such sets share one mark.
     """
-    return spare(least_common(size, percent)) - 1
+    size, marks, spare = len(values), [], []
+    own = 0
+    while (100 / percent) ** own * (1 + 1e-9) < size:
+        own += 1
+    for level in (own, own + 1):
+        differ, slices = slicing(level, percent)
+        if not differ:
+            marks.append(values[:0])
+            spare.append(0)
+            continue
+        found = [_sliced(values, slices, level << 8)]
+        common = len(found[0]) - differ
+        spare.append(max(common - 1, 0))
+        for way in range(1, MORE_SLICINGS + 1):
+            if common > 0:
+                break
+            found.append(_sliced(values, slices, (level << 8) + way))
+            common = len(found[-1]) - differ
+        if common <= 0:
+            found.append(_mix(np.array([level], np.uint64)) & _MARK)
+        marks.append(np.concatenate(found))
+    return marks, spare
 
 
 def _describe(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows of DESCRIBED: one per text, and one per chunk with the shown shingles of its nodes."""
+    """Rows of DESCRIBED: one per text, and one per chunk with the marks of its nodes, two levels each."""
     from pyspark import TaskContext
 
     task, made = TaskContext.get().partitionId(), 0
-    names = ["chunk", "at", "doc_id", "key", "n_shingles", "node", "counts", "shown"]
+    names = ["chunk", "at", "doc_id", "key", "n_shingles", "node", "spare", "counts", "marks"]
     for whole in batches:
         for batch in pieces_of(whole, "text", BATCH_BYTES):
             chunk, size = (task << 32) + made, batch.num_rows
             made += 1
             places: dict[int, int] = {}
-            sizes, nodes, heads = [], [], []
+            sizes, nodes, heads, spares = [], [], [], []
             for text in batch.column("text").to_pylist():
                 values = shingles(text, width)
                 sizes.append(len(values))
                 nodes.append(_node(values) if len(values) else None)
                 if len(values) and nodes[-1] not in places:
                     places[nodes[-1]] = len(places)
-                    heads.append(shown(values, percent))
+                    marks, spare = marks_of(values, percent)
+                    heads += marks
+                    spares.append(spare)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(size, chunk)), pa.array([places.get(x) for x in nodes], pa.int32()),
                     batch.column("doc_id"), batch.column("key"), pa.array(sizes, pa.int64()),
-                    pa.array(nodes, pa.int64()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()),
+                    pa.array(nodes, pa.int64()),
+                    pa.array([None if x is None else spares[places[x]] for x in nodes], pa.list_(pa.int32())),
+                    pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary()),
                 ],
                 names,
             )
             if heads:
                 counts = packed(np.array([len(x) for x in heads], np.uint32))
-                columns = [[chunk], [None], [None], [None], [None], [None], [counts]]
-                columns.append([packed(np.concatenate(heads), rising=True)])
-                kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary(), pa.binary()]
+                columns = [[chunk], *[[None]] * 6, [counts], [packed(np.concatenate(heads), rising=True)]]
+                kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.list_(pa.int32()), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)], names)
 
 
 def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of ASKED: the shown shingles of a chunk's own nodes, dealt by shingle."""
+    """Rows of ASKED: the marks of a chunk's own nodes, dealt by mark; a place is a node's level."""
     for batch in batches:
-        columns = (batch.column(x).to_pylist() for x in ("chunk", "counts", "shown", "own"))
+        columns = (batch.column(x).to_pylist() for x in ("chunk", "counts", "marks", "own"))
         for chunk, counts, values, own in zip(*columns):
             counts, values = unpacked(counts, np.uint32), unpacked(values, np.uint64, rising=True)
             places = np.repeat(np.arange(len(counts), dtype=np.uint32), counts)
             asked = np.zeros(len(counts), bool)
-            asked[own] = True
+            asked[2 * np.array(own)] = asked[2 * np.array(own) + 1] = True
             values, places = values[asked[places]], places[asked[places]]
             bucket = ((_mix(values) >> _S32) % np.uint64(buckets)).astype(np.int64)
+            if not len(values):
+                continue
             order = np.lexsort((values, bucket))
             bucket, values, places = bucket[order], values[order], places[order]
             starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
@@ -178,13 +219,13 @@ def _asked(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Recor
                     pa.array([packed(values[x], rising=True) for x in parts], pa.binary()),
                     pa.array([packed(places[x]) for x in parts], pa.binary()),
                 ],
-                ["bucket", "chunk", "shown", "places"],
+                ["bucket", "chunk", "marks", "places"],
             )
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of SHARED: for each chunk of a bucket the shingles that several nodes show."""
-    names = ["bucket", "chunk", "shown", "places"]
+    """Rows of SHARED: for each chunk of a bucket the marks that several nodes have."""
+    names = ["bucket", "chunk", "marks", "places"]
     rows = chain.from_iterable(zip(*(batch.column(x).to_pylist() for x in names)) for batch in batches)
     for _, group in groupby(rows, key=lambda row: row[0]):
         parts = [
@@ -211,16 +252,16 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([packed(places[order[x]]) for _, x in spans], pa.binary()),
                 pa.array([packed(found[x]) for _, x in spans], pa.binary()),
             ],
-            ["chunk", "shown", "places", "found"],
+            ["chunk", "marks", "places", "found"],
         )
 
 
-def _kept(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows (shingle, node): what the nodes of each chunk do not pass over."""
-    names = ["chunk", "own", "nodes", "sizes", "shown", "places", "found"]
+def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (mark, node): what the nodes of each chunk do not pass over."""
+    names = ["chunk", "own", "nodes", "spares", "marks", "places", "found"]
     rows = chain.from_iterable(zip(*(batch.column(x).to_pylist() for x in names)) for batch in batches)
     for _, group in groupby(rows, key=lambda row: row[0]):
-        _, own, nodes, sizes, *_ = next(group)
+        _, own, nodes, spares, *_ = next(group)
         parts = [
             (unpacked(a, np.uint64, rising=True), unpacked(b, np.uint32), unpacked(c, np.uint64))
             for *_, a, b, c in group
@@ -228,37 +269,36 @@ def _kept(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
         if not parts:
             continue
         values, places, found = (np.concatenate(x) for x in zip(*parts))
-        node, size = np.zeros(max(own) + 1, np.int64), np.zeros(max(own) + 1, np.int64)
-        node[own], size[own] = nodes, sizes
-        # per node from the most frequent on, equal ones by shingle
+        node, spare = np.zeros(max(own) + 1, np.int64), np.zeros((max(own) + 1, 2), np.int64)
+        node[own], spare[own] = nodes, spares
+        # per place from the most frequent on, equal ones by mark
         order = np.lexsort((values, np.iinfo(np.uint64).max - found, places))
         places, values = places[order], values[order]
         starts = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])
         lengths = np.diff(np.r_[starts, len(places)])
         rank = np.arange(len(places)) - np.repeat(starts, lengths)
-        over = np.array([passed_over(x, percent) for x in size[places[starts]].tolist()])
-        stays = rank >= np.repeat(over, lengths)
+        stays = rank >= np.repeat(spare.ravel()[places[starts]], lengths)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(values[stays].view(np.int64)), pa.array(node[places[stays]])], ["shingle", "node"]
+            [pa.array(values[stays].view(np.int64)), pa.array(node[places[stays] // 2])], ["mark", "node"]
         )
 
 
 def _candidates(described: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between nodes that keep a shingle in common, each to the smallest such."""
+    """Links (a, b) between nodes that keep a mark in common, each to the smallest such."""
     own = stored(
         nodes.groupBy(F.col("place.chunk").alias("chunk")).agg(
             F.collect_list("place.at").alias("own"), F.collect_list("node").alias("nodes"),
-            F.collect_list("n_shingles").alias("sizes"),
+            F.collect_list("spare").alias("spares"),
         ),
         "chunk_nodes",
     )
     total = nodes.agg(F.sum("n_shingles")).first()[0] or 0
-    expected = total * (100 - percent) // 100 + total // SPARE
+    expected = 6 * total * (100 - percent) // (100 + percent)
     width = int(described.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(MAX_BUCKETS, max(width, -(-expected // BUCKET_PAIRS)))
-    chunks = described.filter("shown IS NOT NULL").select("chunk", "counts", "shown")
+    chunks = described.filter("marks IS NOT NULL").select("chunk", "counts", "marks")
     asked = map_arrow(
-        matched(chunks, own.select("chunk", "own"), "chunk", "inner", nodes.count()).select("chunk", "counts", "shown", "own"),
+        matched(chunks, own.select("chunk", "own"), "chunk", "inner", nodes.count()).select("chunk", "counts", "marks", "own"),
         lambda batches: _asked(batches, buckets),
         ASKED,
     )
@@ -269,13 +309,13 @@ def _candidates(described: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     kept = stored(
         map_arrow(
             gathered.repartition(buckets, "chunk").sortWithinPartitions("chunk", "order"),
-            lambda batches: _kept(batches, percent),
-            "shingle long, node long",
+            _kept,
+            "mark long, node long",
         ),
-        "kept_shingles",
+        "kept_marks",
     )
-    lowest = kept.groupBy("shingle").agg(F.min("node").alias("lowest"), F.count(F.lit(1)).alias("n"))
-    return kept.join(lowest.filter("n > 1").drop("n"), "shingle").select(
+    lowest = kept.groupBy("mark").agg(F.min("node").alias("lowest"), F.count(F.lit(1)).alias("n"))
+    return kept.join(lowest.filter("n > 1").drop("n"), "mark").select(
         F.col("node").alias("a"), F.col("lowest").alias("b")
     )
 
@@ -552,12 +592,12 @@ def jaccard_components(docs: DataFrame, width: int = 3, percent: int = 90) -> Da
     nodes = stored(
         described.filter("node IS NOT NULL").groupBy("node").agg(
             F.min("key").alias("key"), F.min("n_shingles").alias("n_shingles"),
-            F.min(F.struct("chunk", "at")).alias("place"),
+            F.min("spare").alias("spare"), F.min(F.struct("chunk", "at")).alias("place"),
         ),
         "nodes",
     )
     clusters = connected(_candidates(described, nodes, percent)).withColumnRenamed("component", "cluster")
-    members = stored(nodes.drop("place").join(clusters, "node"), "clusters")
+    members = stored(nodes.drop("place", "spare").join(clusters, "node"), "clusters")
     sizes = members.groupBy("cluster").agg(
         F.expr(f"count(1) > {GROUP_MEMBERS} OR sum(n_shingles) > {GROUP_SHINGLES}").alias("large")
     )

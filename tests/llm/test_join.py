@@ -12,19 +12,22 @@ from routeloom.llm import ngram_join
 from routeloom.llm.components import connected
 
 
-def kept_shingles(sets, percent):
-    """What each set keeps of its shown shingles, spelled out."""
-    shows = [set(ngram_join.shown(x, percent).tolist()) for x in sets]
-    found = Counter(s for x in shows for s in x)
+def kept_marks(sets, percent):
+    """What each set keeps of its marks, level by level, spelled out."""
+    marked = [ngram_join.marks_of(x, percent) for x in sets]
+    found = Counter(m for marks, _ in marked for level in marks for m in set(level.tolist()))
     kept = []
-    for values, show in zip(sets, shows):
-        shared = sorted((s for s in show if found[s] > 1), key=lambda s: (-found[s], s))
-        kept.append(set(shared[ngram_join.passed_over(len(values), percent) :]))
+    for marks, spares in marked:
+        mine = set()
+        for level, spare in zip(marks, spares):
+            shared = sorted((m for m in set(level.tolist()) if found[m] > 1), key=lambda m: (-found[m], m))
+            mine.update(shared[spare:])
+        kept.append(mine)
     return kept
 
 
 @pytest.mark.parametrize("percent", [50, 80, 90])
-def test_linked_sets_keep_a_shingle_in_common(percent):
+def test_linked_sets_keep_a_mark_in_common(percent):
     rng = np.random.default_rng(percent)
     links = 0
     for _ in range(150):
@@ -38,7 +41,7 @@ def test_linked_sets_keep_a_shingle_in_common(percent):
                 values[spots] = rng.integers(0, 1 << 62, len(spots))
                 sets.append(np.unique(values[: rng.integers(max(1, 9 * len(values) // 10), len(values) + 1)]).astype(np.uint64))
         sets = [np.frombuffer(x, np.uint64) for x in {x.tobytes() for x in sets}]
-        kept = kept_shingles(sets, percent)
+        kept = kept_marks(sets, percent)
         for a in range(len(sets)):
             for b in range(a):
                 both = len(np.intersect1d(sets[a], sets[b]))
@@ -56,7 +59,8 @@ def groups(docs, width, percent):
     )
     nodes = ngram_join.stored(
         described.filter("node IS NOT NULL").groupBy("node").agg(
-            F.min("n_shingles").alias("n_shingles"), F.min(F.struct("chunk", "at")).alias("place")
+            F.min("n_shingles").alias("n_shingles"), F.min("spare").alias("spare"),
+            F.min(F.struct("chunk", "at")).alias("place"),
         ),
         "nodes",
     )
@@ -64,6 +68,26 @@ def groups(docs, width, percent):
     return sorted((row["n"] for row in found.groupBy("component").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sets_with_empty_slices_keep_a_mark_in_common(percent):
+    """Small sets, and sets whose shingles lie close together, leave most slices empty."""
+    rng = np.random.default_rng(percent)
+    odd = 0
+    for _ in range(400):
+        size = int(rng.integers(4, 60))
+        base = np.unique(rng.integers(0, 1 << int(rng.integers(20, 62)), size)).astype(np.uint64)
+        other = np.r_[base[: len(base) - len(base) // 20], rng.integers(0, 1 << 62, len(base) // 20).astype(np.uint64)]
+        pair = [base, np.unique(other), base[1:]]
+        kept = kept_marks(pair, percent)
+        odd += any(ngram_join.marks_of(x, percent)[1] == [0, 0] for x in pair)
+        for a, b in ((0, 1), (0, 2)):
+            both = len(np.intersect1d(pair[a], pair[b]))
+            union = len(pair[a]) + len(pair[b]) - both
+            if 100 * both >= percent * union and both < union:
+                assert kept[a] & kept[b]
+    assert odd > 50
+
+
 @pytest.mark.parametrize("width, percent", [(5, 80), (3, 90)])
 def test_strangers_do_not_meet(spark, monkeypatch, width, percent):
     """5,000 texts without a shingle in common, then the same with passages many of them share."""
