@@ -27,6 +27,7 @@ from routeloom.plans.samples import write_replicas, write_samples  # noqa: E402
 from routeloom.registry.queries import QUERIES  # noqa: E402
 from routeloom.sinks.files import write_csv, write_parquet  # noqa: E402
 from routeloom.sources.adapters import flights  # noqa: E402
+from routeloom.sources.files import read_parquet  # noqa: E402
 from routeloom.jobs import clean as clean_job  # noqa: E402
 from routeloom.session import SETTINGS, remove_scratch  # noqa: E402
 
@@ -59,10 +60,10 @@ def workload(spark: SparkSession, root: str) -> dict:
         return lambda: write(spark, name, source, f"{out}/parquet", f"{out}/csv")
 
     def over_clean(build):
-        return lambda: discard(build(spark.read.parquet(clean)))
+        return lambda: discard(build(read_parquet(spark, clean)))
 
     def same_forms():
-        table = spark.read.parquet(clean)
+        table = read_parquet(spark, clean)
         require_same(delay_report.windowed(table), delay_report.one_pass(table))
 
     todo = {
@@ -80,7 +81,7 @@ def workload(spark: SparkSession, root: str) -> dict:
     for size, factor in LARGE.items():
         scaled[size] = f"{root}/scaled/flights_clean_{size}.parquet"
         todo[f"write_{size}"] = lambda factor=factor, path=scaled[size]: write_parquet(
-            replicate(spark.read.parquet(clean), factor), path
+            replicate(read_parquet(spark, clean), factor), path
         )
     for size, path in scaled.items():
         todo[f"job_route_stats_{size}"] = report("route_stats", path, f"r1_{size}")

@@ -5,26 +5,39 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from ..operators.quality import require_zero
-from ..plans.clean import account, clean
+from ..plans.clean import KEPT, PART, account_parts, parted
+from ..schemas import CLEAN_SCHEMA
 from ..session import open_session
-from ..sinks.files import write_checked, write_csv, write_parquet
-from ..sources.files import read_raw_csv
+from ..sinks.files import publish_csv
+from ..sources.files import read_parquet, read_raw_csv
+from ..sources.published import Folder, publish
 from .common import arguments, show
 
+# the folder of the rows that are kept
+KEPT_FOLDER = f"{PART}={KEPT}"
+
 
 def run(spark: SparkSession, source: str, parquet_path: str, csv_path: str) -> dict:
-    """Count first, and write only when the gates hold, so that earlier output survives.
+    """Read the text once: write all typed rows in a folder per part, count them, publish.
 
-    What was written is counted against the rows that were to be kept before it takes the
-    place of an earlier table; the text copy is made from the Parquet copy.
+    The counts come from the footers of what was written. The folder of the kept rows counts
+    only when the gates hold, so that earlier output survives. The text copy is made from
+    the Parquet copy.
     """
-    raw = read_raw_csv(spark, source)
-    counts = account(raw).first().asDict()
-    require_zero({name: counts[name] for name in ("null_key_rows", "diverted_rows")})
-    write_checked(
-        spark, lambda path: write_parquet(clean(raw), path), parquet_path, counts["processed_rows"]
-    )
-    write_csv(spark.read.parquet(parquet_path), csv_path)
+    counts = {}
+
+    def write(place: str) -> None:
+        rows = parted(read_raw_csv(spark, source))
+        rows.write.partitionBy(PART).parquet(place)
+        if KEPT_FOLDER not in Folder(spark, place).names():
+            spark.createDataFrame([], CLEAN_SCHEMA).write.parquet(f"{place}/{KEPT_FOLDER}")
+        counts.update(account_parts(spark.read.schema(rows.schema).parquet(place)).first().asDict())
+
+    def check(_: str) -> None:
+        require_zero({name: counts[name] for name in ("null_key_rows", "diverted_rows")})
+
+    publish(spark, parquet_path, write, check, inner=KEPT_FOLDER)
+    publish_csv(read_parquet(spark, parquet_path), csv_path)
     return counts
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from ..operators.compare import require_same
+from ..operators.compare import compare_by_digest, require_same
 from ..session import open_session
+from ..sources.files import read_parquet
 from .common import arguments, show
 
 
@@ -13,8 +14,8 @@ def main() -> None:
     parser.add_argument("--right-label", default="right")
     args = parser.parse_args()
     spark = open_session("routeloom-compare")
-    left, right = spark.read.parquet(args.left), spark.read.parquet(args.right)
-    show(require_same(left, right, args.left_label, args.right_label))
+    left, right = read_parquet(spark, args.left), read_parquet(spark, args.right)
+    show(require_same(left, right, args.left_label, args.right_label, compare_by_digest))
     spark.stop()
 
 

@@ -44,7 +44,7 @@ def run(
             spark, analysis, technology, size, source, output, seconds, rows, environment
         )
         reset = at == 0 and choice in ("all", "scale_all")
-        append_run_records(record, f"{logs_root}/{place}/timings.csv", reset=reset)
+        append_run_records(record, f"{logs_root}/{place}/timings.csv", reset, logs_root)
         done.append({"run_size": size, "seconds": round(seconds, 3), "output_rows": rows})
     return done
 

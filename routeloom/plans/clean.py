@@ -87,6 +87,37 @@ def derived(typed_rows: DataFrame) -> DataFrame:
     )
 
 
+# where a row of a cleaning run belongs; a kept row that breaks a gate is faulty
+PART, KEPT, REMOVED, NULL_KEY, DIVERTED = "part", "kept", "removed", "null_key", "diverted"
+BOTH = f"{NULL_KEY}_{DIVERTED}"
+
+
+def parted(raw: DataFrame) -> DataFrame:
+    """Every row typed and derived, the 27 columns and the part it belongs to."""
+    null_key, diverted = any_null(KEY_COLUMNS), holds(F.col("diverted") == 1)
+    part = (
+        F.when(~holds(kept()), REMOVED)
+        .when(null_key & diverted, BOTH)
+        .when(null_key, NULL_KEY)
+        .when(diverted, DIVERTED)
+        .otherwise(KEPT)
+    )
+    return derived(typed(raw).withColumn(PART, part)).select(*CLEAN_COLUMNS, PART)
+
+
+def account_parts(rows: DataFrame) -> DataFrame:
+    """The counts of a cleaning run from parted rows; where they lie in a folder per part,
+    file footers are all that is read."""
+    part = F.col(PART)
+    return rows.agg(
+        F.count(F.lit(1)).alias("raw_rows"),
+        F.count_if(part != REMOVED).alias("processed_rows"),
+        F.count_if(part == REMOVED).alias("removed_rows"),
+        F.count_if(part.isin(NULL_KEY, BOTH)).alias("null_key_rows"),
+        F.count_if(part.isin(DIVERTED, BOTH)).alias("diverted_rows"),
+    )
+
+
 def clean(raw: DataFrame) -> DataFrame:
     """Type, filter and derive; the 27 columns of the clean table."""
     return derived(typed(raw).filter(kept())).select(*CLEAN_COLUMNS)

@@ -2,8 +2,8 @@
 
 Three plans with the same rows:
 
-``one_pass``   counts per group and cause, then one aggregation that adds them up and
-               lists the causes. Two shuffles; causes of any name. The default.
+``one_pass``   counts per group and cause, ranks a group's counts, then adds them up and
+               lists the first three. Two shuffles; causes of any name and number. The default.
 ``counted``    one aggregation that counts each cause of a given list in a column of its
                own. One shuffle; only for data known to hold no other cause.
 ``windowed``   metrics and ranked causes apart, joined at the end. Any causes at all.
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import list_rank
@@ -100,7 +100,10 @@ def _entry(cause: Column, count: Column) -> Column:
 
 
 def one_pass(clean: DataFrame) -> DataFrame:
-    """Partial sums per group and cause; causes of a group are few once counted."""
+    """Partial sums per group and cause, ranked in a sort that may spill.
+
+    However many causes a group has, no more than three are collected.
+    """
     fine = (
         banded(clean)
         .groupBy(*KEYS, CAUSE)
@@ -112,7 +115,9 @@ def one_pass(clean: DataFrame) -> DataFrame:
             F.count("arr_delay").alias("arr_n"),
         )
     )
-    entry = F.when(has_cause(), _entry(F.col(CAUSE), F.col("n")))
+    best_first = Window.partitionBy(*KEYS).orderBy(has_cause().desc(), F.desc("n"), F.asc(CAUSE))
+    fine = fine.withColumn("_rank", F.row_number().over(best_first))
+    entry = F.when(has_cause() & (F.col("_rank") <= TOP), _entry(F.col(CAUSE), F.col("n")))
 
     def merged_mean(part: str) -> Column:
         return F.round(F.try_divide(F.sum(f"{part}_sum"), F.sum(f"{part}_n")), 2)

@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..sinks.files import write_csv, write_parquet_counted
+from ..sinks.files import publish_csv, publish_parquet
 from ..sinks.tables import create_table_as, export_directory
+from ..sources.files import read_parquet
 from ..sources.tables import external_table
 from ..schemas import CLEAN_SCHEMA
 from . import delay_report, route_stats, samples
@@ -47,9 +48,9 @@ def write_report(
     input is read once.
     """
     report = REPORTS[name]
-    result = report.build(spark.read.parquet(source)).orderBy(*report.order())
-    rows = write_parquet_counted(result, parquet_path)
-    write_csv(spark.read.parquet(parquet_path).orderBy(*report.order()), csv_path)
+    result = report.build(read_parquet(spark, source)).orderBy(*report.order())
+    rows = publish_parquet(result, parquet_path)
+    publish_csv(read_parquet(spark, parquet_path).orderBy(*report.order()), csv_path)
     return rows
 
 
@@ -73,4 +74,4 @@ def write_report_tables(
 
 
 def preview_report(spark: SparkSession, name: str, parquet_path: str, rows: int = 10) -> DataFrame:
-    return samples.preview(spark.read.parquet(parquet_path), REPORTS[name].order(), rows)
+    return samples.preview(read_parquet(spark, parquet_path), REPORTS[name].order(), rows)

@@ -67,3 +67,8 @@ def run_matrix(records: DataFrame, place: str) -> DataFrame:
         .agg(F.max_by("execution_time_seconds", place))
     )
 
+
+def matrix_of_summary(records: DataFrame) -> DataFrame:
+    """The matrix of records that only carry their time: the latest counts."""
+    place = F.struct("run_timestamp", "output_rows", "execution_time_seconds")
+    return run_matrix(records.withColumn("_place", place), "_place")

@@ -13,6 +13,7 @@ from ..operators.replicate import replicate
 from ..schemas import SAMPLE_ORDER, SAMPLE_ROWS, SAMPLE_SIZES, SCALE_FACTORS
 from ..sinks.files import write_checked, write_parquet
 from ..sources.files import variant_path
+from ..sources.published import published
 
 
 def target_rows(size: str, total: int) -> int:
@@ -24,16 +25,18 @@ def target_rows(size: str, total: int) -> int:
 
 def write_samples(spark: SparkSession, source: str, root: str) -> list[dict]:
     """Sort the table once as the full sample, and cut the others off its front."""
+    source = published(spark, source)
     total = row_total(spark, source)
     full = variant_path("full", root, root)
     write_checked(spark, lambda path: sort_table(spark, source, SAMPLE_ORDER, path), full, total)
-    offsets = offset_rows(spark, full)  # once for all samples
+    ordered = published(spark, full)
+    offsets = offset_rows(spark, ordered)  # once for all samples
     made = []
     for size in SAMPLE_SIZES:
         path, target = variant_path(size, root, root), target_rows(size, total)
         rows = total
         if size != "full":
-            first = prefix(spark, full, target, offsets)
+            first = prefix(spark, ordered, target, offsets)
             rows = write_checked(spark, partial(write_parquet, first), path, min(target, total))
         made.append({"sample": size, "target_rows": target, "rows": rows, "output": path})
     return made
@@ -41,6 +44,7 @@ def write_samples(spark: SparkSession, source: str, root: str) -> list[dict]:
 
 def write_replicas(spark: SparkSession, source: str, root: str) -> list[dict]:
     """Write the table once, twice and four times over, and check the row counts."""
+    source = published(spark, source)
     table = spark.read.parquet(source)
     total = row_total(spark, source)
     made = []

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fingerprint import row_fingerprint
+from ..jobs import clean as clean_job
+from ..jobs import summarize
+from ..plans import consolidation
 from ..operators import grouping
-from ..operators.compare import compare, only_in_left, surplus
+from ..operators.compare import compare, compare_by_digest, only_in_left, surplus
 from ..operators.ordering import offset_rows, prefix, row_total, sort_table, with_position
 from ..operators.ordering import write_ordered
 from ..operators.replicate import replicate, replicate_by_union
@@ -33,15 +36,16 @@ from ..session import scratch_path
 from ..sinks.files import write_csv, write_parquet
 from ..sinks.runlog import append_run_records
 from ..sinks.tables import create_table_as, export_directory
-from ..sources.adapters import flights, read_table, run_records, write_faulty_csv
-from ..sources.files import read_csv, read_parquet, read_raw_csv, sizes, variant_path
-from ..sources.runlog import (
-    SAMPLE_LOGS,
-    SCALE_LOGS,
-    read_run_records,
-    read_run_records_or_empty,
-    read_summary,
+from ..sources.adapters import (
+    faulty_flights,
+    flights,
+    read_table,
+    run_records,
+    write_faulty_csv,
+    write_raw_csv,
 )
+from ..sources.files import read_csv, read_parquet, read_raw_csv, sizes, variant_path
+from ..sources.runlog import SAMPLE_LOGS, SCALE_LOGS, read_logs, read_run_records, read_summary
 from ..sources.tables import drop_table, external_table, register_view, use_database
 
 DATABASE = "routeloom"
@@ -97,8 +101,13 @@ def scan_parquet(spark, sf_dir):
 
 @query
 def scan_csv(spark, sf_dir):
-    """Raw text read by its header, every column as text."""
-    return raw_text(spark, sf_dir)
+    """Raw text in files of two column orders, read by their headers, every column as text."""
+    path = scratch_path(spark, "two_headers")
+    rows = faulty_flights(spark, sf_dir)
+    first = F.pmod(F.xxhash64(*rows.columns), F.lit(2)) == 0
+    write_raw_csv(rows.filter(first), path)
+    write_raw_csv(rows.filter(~first).select(*reversed(rows.columns)), path, "append")
+    return read_raw_csv(spark, path).select(*rows.columns)
 
 
 @query
@@ -261,6 +270,22 @@ def quality_metrics(spark, sf_dir):
     return cleaning.account(raw_text(spark, sf_dir))
 
 
+@query
+def clean_job_published(spark, sf_dir):
+    """The cleaning job over raw text, twice to one path: its published rows."""
+    raw, path = scratch_path(spark, "raw_csv"), scratch_path(spark, "published")
+    write_faulty_csv(spark, sf_dir, raw)
+    for _ in range(2):
+        clean_job.run(spark, raw, path, f"{path}_csv")
+    return read_parquet(spark, path)
+
+
+@query
+def quality_metrics_parts(spark, sf_dir):
+    """The counts of a cleaning run from its parts."""
+    return cleaning.account_parts(cleaning.parted(raw_text(spark, sf_dir)))
+
+
 # --- route statistics ------------------------------------------------------------------
 
 
@@ -477,6 +502,21 @@ def compare_outputs_differing(spark, sf_dir):
     return compare(rows.filter("month <= 8"), rows.filter("month >= 5"))
 
 
+@query
+def compare_outputs_digest(spark, sf_dir):
+    """As ``compare_outputs``; equal digests leave no full row to shuffle."""
+    table = read_parquet(spark, clean_path(spark, sf_dir))
+    return compare_by_digest(delay_report.windowed(table, by_rank=True), delay_report.one_pass(table))
+
+
+@query
+def compare_outputs_digest_differing(spark, sf_dir):
+    """As ``compare_outputs_differing``, where the buckets of both differ."""
+    table = read_parquet(spark, clean_path(spark, sf_dir))
+    rows = table.select("origin", "month", "departure_delay_band")
+    return compare_by_digest(rows.filter("month <= 8"), rows.filter("month >= 5"))
+
+
 def _halves(spark, sf_dir):
     table = read_parquet(spark, clean_path(spark, sf_dir))
     names = ["origin", "dest", "departure_delay_band"]
@@ -529,11 +569,11 @@ def consolidate_runs(spark, sf_dir):
     )
     read = run_summary.combine(
         run_summary.combine(
-            read_run_records(spark, f"{root}/local/{SAMPLE_LOGS}"),
-            read_run_records(spark, f"{root}/local/{SCALE_LOGS}"),
+            read_logs(spark, f"{root}/local", SAMPLE_LOGS),
+            read_logs(spark, f"{root}/local", SCALE_LOGS),
         ),
         run_summary.keep_sizes(
-            read_run_records(spark, f"{root}/cluster/{SAMPLE_LOGS}", environment=True),
+            read_logs(spark, f"{root}/cluster", SAMPLE_LOGS, environment=True),
             run_summary.ALL_SIZES,
         ),
     )
@@ -545,20 +585,57 @@ def consolidate_runs(spark, sf_dir):
     return ordered(run_summary.summary(listed, environment=True), order)
 
 
+@query
+def consolidate_runs_incremental(spark, sf_dir):
+    """Logs consolidated when half of them were there, after one was started anew, and at the end."""
+    root = scratch_path(spark, "growing_logs")
+    records = run_records(spark, sf_dir)
+    local, cluster = records.filter("environment IS NULL"), records.filter("environment IS NOT NULL")
+    early = F.col("event_id") % 2 == 0
+    place = "analysis_3_x/engine"
+
+    def bring_up() -> list[DataFrame]:
+        for name, environment, sizes in (("local", False, None), ("cluster", True, run_summary.ALL_SIZES)):
+            consolidation.consolidate(spark, f"{root}/{name}", SAMPLE_LOGS, f"{root}/{name}_store", environment, sizes)
+        return [consolidation.stored_records(spark, f"{root}/{name}_store") for name in ("local", "cluster")]
+
+    append_run_records(_plain(local.filter(early)), f"{root}/local/{place}/timings.csv")
+    append_run_records(_plain(local), f"{root}/local/{place}/late/timings.csv")
+    append_run_records(cluster.filter(early).drop("event_id"), f"{root}/cluster/{place}/timings.csv")
+    bring_up()
+    append_run_records(_plain(local.filter(~early)), f"{root}/local/{place}/late/timings.csv", reset=True)
+    append_run_records(cluster.filter(~early).drop("event_id"), f"{root}/cluster/{place}/timings.csv")
+    read = run_summary.combine(*bring_up())
+    order = [*run_summary.listing_order(run_summary.ALL_SIZES), "run_timestamp", "output_rows"]
+    return ordered(run_summary.summary(read, environment=True), order)
+
+
 @query
 def run_matrix_from_logs(spark, sf_dir):
-    """Records appended to logs at two depths, read back; the latest by time counts."""
+    """Records appended to logs at one, two and seven levels; the last append counts."""
     root = scratch_path(spark, "matrix_logs")
     stamped = run_records(spark, sf_dir).filter("environment IS NULL").withColumn(
         "run_timestamp", F.lpad(F.col("event_id").cast("string"), 12, "0")
     )
-    even = F.col("event_id") % 2 == 0
-    append_run_records(_plain(stamped.filter(even)), f"{root}/analysis_3_x/a/timings.csv")
-    append_run_records(_plain(stamped.filter(~even)), f"{root}/analysis_3_x/a/b/timings.csv")
-    read = read_run_records_or_empty(spark, f"{root}/{SAMPLE_LOGS}")
+    for turn, place in enumerate(("z/y/x/w/v/u/t", "a", "m/n")):
+        part = stamped.filter(F.col("event_id") % 3 == turn)
+        append_run_records(_plain(part), f"{root}/analysis_3_x/{place}/timings.csv", root=root)
+    read = read_logs(spark, root, SAMPLE_LOGS)
     return run_summary.run_matrix(run_summary.keep_sizes(read, run_summary.ALL_SIZES), "log_place")
 
 
+@query
+def run_matrix_of_saved(spark, sf_dir):
+    """The matrix of summaries that the summary job has saved from logs of both families."""
+    root = scratch_path(spark, "saved")
+    local = _plain(run_records(spark, sf_dir).filter("environment IS NULL"))
+    is_scale = F.col("run_size").isin(*SCALE_SIZES)
+    append_run_records(local.filter(~is_scale), f"{root}/logs/analysis_3_x/timings.csv")
+    append_run_records(local.filter(is_scale), f"{root}/logs/scalability/analysis_3_x/timings.csv")
+    summarize.run(spark, f"{root}/logs", f"{root}/out")
+    return summarize.matrix_of_saved(spark, f"{root}/out")
+
+
 @query
 def run_matrix(spark, sf_dir):
     records = run_records(spark, sf_dir)

@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.files.maxPartitionBytes": "512m",
+    # the few parts of a cleaning run are written side by side instead of being sorted first
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # the JVM interprets longer methods; beyond this Spark splits the stage's code instead
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
@@ -53,9 +55,9 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return _local_roots.setdefault(
-        context.applicationId, tempfile.mkdtemp(prefix="routeloom-", dir="/tmp")
-    )
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="routeloom-", dir="/tmp")
+    return _local_roots[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

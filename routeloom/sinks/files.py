@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.quality import GateFailed, require_rows
+from ..operators.quality import require_rows
+from ..sources.published import publish
 
 
 def write_parquet(table: DataFrame, path: str) -> None:
@@ -18,34 +18,29 @@ def write_csv(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_parquet_counted(table: DataFrame, path: str) -> int:
-    """Write and give the row count, read back from the footers of what was written.
+def publish_parquet(table: DataFrame, path: str) -> int:
+    """A new version of a Parquet output; gives its row count, from its footers.
 
     An observed count would be free, but a stage run again after an executor is lost can
     count its rows twice.
     """
-    write_parquet(table, path)
-    return table.sparkSession.read.parquet(path).count()
+    rows = publish(table.sparkSession, path, lambda place: write_parquet(table, place))
+    return table.sparkSession.read.parquet(rows).count()
+
+
+def publish_csv(table: DataFrame, path: str) -> None:
+    publish(table.sparkSession, path, lambda place: write_csv(table, place))
 
 
 def write_checked(spark: SparkSession, write: Callable[[str], None], path: str, expected: int) -> int:
-    """Write beside ``path``, check the rows that were written, and only then put them there.
+    """Write a new version, check the rows that were written, and only then let it count.
 
     ``write`` is given the place to write to. If the count is not as expected, what was at
     ``path`` before stays as it was.
     """
-    made = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    write(made)
-    rows = spark.read.parquet(made).count()
-    jvm = spark.sparkContext._jvm
-    target, source = (jvm.org.apache.hadoop.fs.Path(x) for x in (path, made))
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    try:
-        require_rows(rows, expected)
-    except GateFailed:
-        system.delete(source, True)
-        raise
-    system.delete(target, True)
-    if not system.rename(source, target):
-        raise OSError(f"{made} could not be moved to {path}")
-    return rows
+
+    def check(place: str) -> None:
+        require_rows(spark.read.parquet(place).count(), expected)
+
+    publish(spark, path, write, check)
+    return expected

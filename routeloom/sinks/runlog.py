@@ -7,10 +7,41 @@ from pyspark.sql import functions as F
 
 from ..functions.text import seconds_text
 from ..schemas import RUN_SCHEMA, RUN_SCHEMA_WITH_ENVIRONMENT
+from ..sources.published import Folder
+from ..sources.runlog import log_files, part_name, part_number
 
+# numbers that have been given out below a root of logs, as names of empty files
+_NUMBERS = "_appends"
 
-def append_run_records(records: DataFrame, path: str, reset: bool = False) -> None:
-    """Add records to a log, or start it anew with them."""
+
+def next_append(spark: SparkSession, root: str) -> int:
+    """A number greater than that of every append below a root.
+
+    It is taken by making an empty file of that name, which only one writer can do; the
+    numbers in the names of the logs count as well, so copied logs are followed on.
+    """
+    folder = Folder(spark, root)
+    given = [int(name) for name in folder.names(_NUMBERS) if name.isdigit()]
+    written = [part_number(file.path) for file in log_files(spark, root)]
+    number = max([0, *given, *[x[0] for x in written if x]]) + 1
+    while not folder.make(f"{_NUMBERS}/{number:020d}"):
+        number += 1
+    for name in folder.names(_NUMBERS):
+        if name.isdigit() and int(name) < number:
+            folder.delete(f"{_NUMBERS}/{name}")
+    return number
+
+
+def append_run_records(
+    records: DataFrame, path: str, reset: bool = False, root: str | None = None
+) -> None:
+    """Add records to a log, or start it anew with them.
+
+    Appends to any log below ``root`` (the log itself, if not given) are numbered one after
+    the other. A reset counts from the moment its rows are there; what it puts away is
+    deleted after that.
+    """
+    spark = records.sparkSession
     schema = RUN_SCHEMA_WITH_ENVIRONMENT if "environment" in records.columns else RUN_SCHEMA
     rows = records.select(
         *[
@@ -20,8 +51,14 @@ def append_run_records(records: DataFrame, path: str, reset: bool = False) -> No
             for name in schema.names
         ]
     )
-    mode = "overwrite" if reset else "append"
-    rows.write.mode(mode).option("header", True).option("quoteAll", True).csv(path)
+    number = next_append(spark, root or path)
+    rows.write.option("header", True).option("quoteAll", True).csv(f"{path}/{part_name(number, reset)}")
+    if reset:
+        folder = Folder(spark, path)
+        for name in folder.names():
+            part = part_number(f"/{name}/file")
+            if not name.startswith("_") and (part is None or part[0] < number):
+                folder.delete(name)
 
 
 def run_record(

@@ -144,9 +144,13 @@ def faulty_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_faulty_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Write ``faulty_flights`` as a headed CSV, blanks kept."""
+    write_raw_csv(faulty_flights(spark, sf_dir), path)
+
+
+def write_raw_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Rows of text as headed CSV, blanks kept."""
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows = faulty_flights(spark, sf_dir)
-    rows.write.mode("overwrite").option("header", True).options(**keep).csv(path)
+    rows.write.mode(mode).option("header", True).options(**keep).csv(path)
 
 
 def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .published import published
+
 
 def _name(*parts: str) -> str:
     for part in parts:
@@ -47,6 +49,6 @@ def external_table(
     drop_table(spark, database, table)
     spark.sql(
         f"CREATE TABLE {_name(database, table)} ({columns_ddl(schema)}) "
-        f"USING PARQUET LOCATION {location(path)}"
+        f"USING PARQUET LOCATION {location(published(spark, path))}"
     )
     return spark.table(_name(database, table))

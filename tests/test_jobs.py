@@ -17,7 +17,7 @@ from routeloom.plans.reports import preview_report, write_report, write_report_t
 from routeloom.plans.samples import write_replicas, write_samples
 from routeloom.schemas import CLEAN_SCHEMA, DELAY_REPORT_SCHEMA, ROUTE_STATS_SCHEMA
 from routeloom.sources.adapters import write_faulty_csv
-from routeloom.sources.files import read_csv, read_raw_csv, sizes, variant_path
+from routeloom.sources.files import read_csv, read_parquet, read_raw_csv, sizes, variant_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -38,7 +38,7 @@ def test_clean_job(spark, made, data):
     assert counts["raw_rows"] == 6000
     assert counts["processed_rows"] + counts["removed_rows"] == 6000
     assert counts["null_key_rows"] == counts["diverted_rows"] == 0
-    parquet = spark.read.parquet(str(root / "clean"))
+    parquet = read_parquet(spark, str(root / "clean"))
     require_same(parquet, cleaning.clean(read_raw_csv(spark, str(root / "raw"))))
     require_same(parquet, read_csv(spark, str(root / "clean_csv"), CLEAN_SCHEMA))
 
@@ -48,8 +48,8 @@ def test_samples_and_replicas(spark, made):
     total = counts["processed_rows"]
     assert [s["rows"] for s in samples] == [total, total, total // 2, total]
     assert [r["rows"] for r in replicas] == [total, 2 * total, 4 * total]
-    full = spark.read.parquet(variant_path("full", str(root / "samples"), ""))
-    require_same(full, spark.read.parquet(str(root / "clean")))
+    full = read_parquet(spark, variant_path("full", str(root / "samples"), ""))
+    require_same(full, read_parquet(spark, str(root / "clean")))
 
 
 @pytest.mark.parametrize(
@@ -63,8 +63,8 @@ def test_both_forms_of_a_report(spark, made, name, schema):
             spark, name, source, str(root / name / "tp"), str(root / name / "tc")
         )
     assert rows == again > 0
-    frame = spark.read.parquet(str(root / name / "p"))
-    require_same(frame, spark.read.parquet(str(root / name / "tp")))
+    frame = read_parquet(spark, str(root / name / "p"))
+    require_same(frame, read_parquet(spark, str(root / name / "tp")))
     for text in ("c", "tc"):
         read = read_csv(spark, str(root / name / text), schema)
         require_same(frame.select(*schema.names), read)
@@ -97,11 +97,11 @@ def test_sizes():
 def test_failed_gate_stops_the_job(spark, made, monkeypatch):
     root = made[0]
     monkeypatch.setattr(cleaning, "kept", lambda: cleaning.F.lit(True))
-    before = sorted(map(str, spark.read.parquet(str(root / "clean")).collect()))
+    before = sorted(map(str, read_parquet(spark, str(root / "clean")).collect()))
     with pytest.raises(GateFailed):
         clean_job.run(spark, str(root / "raw"), str(root / "clean"), str(root / "bad_csv"))
     assert not (root / "bad_csv").exists()
-    assert sorted(map(str, spark.read.parquet(str(root / "clean")).collect())) == before
+    assert sorted(map(str, read_parquet(spark, str(root / "clean")).collect())) == before
 
 
 def test_wrong_count_leaves_earlier_output(spark, tmp_path):
@@ -109,7 +109,7 @@ def test_wrong_count_leaves_earlier_output(spark, tmp_path):
     write_checked(spark, spark.range(3).write.parquet, path, 3)
     with pytest.raises(GateFailed):
         write_checked(spark, spark.range(5).write.parquet, path, 4)
-    assert spark.read.parquet(path).count() == 3
+    assert read_parquet(spark, path).count() == 3
     assert [x.name for x in tmp_path.iterdir()] == ["t"]
 
 

@@ -143,3 +143,16 @@ def test_replicate_needs_a_copy(table):
     for build in (replicate, replicate_by_union):
         with pytest.raises(ValueError):
             build(table, 0)
+
+
+def test_one_pass_collects_three_of_very_many_causes(spark):
+    """A group with 100,000 causes: three reach the list, whatever the others are."""
+    rows = spark.range(300_000).selectExpr(
+        "'A' AS origin", "1 AS month", "'low' AS departure_delay_band", "1.0 AS dep_delay", "2.0 AS arr_delay",
+        "if(id < 200000, concat('c', lpad(id % 100000, 6, '0')), if(id < 299990, 'none', 'd')) AS primary_disruption_cause",
+    )
+    more = rows.filter("primary_disruption_cause IN ('c000007', 'c000003')")
+    report = delay_report.one_pass(rows.unionByName(more).unionByName(rows.limit(0)))
+    found = report.first()
+    assert (found.flight_count, found.top_3_causes) == (300_004, "d:10,c000003:4,c000007:4")
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Window") == 1
