@@ -169,7 +169,7 @@ def test_files_of_several_column_orders(spark, tmp_path):
     found = read_raw_csv(spark, str(tmp_path)).orderBy("year").collect()
     assert [row.year for row in found] == ["year1", "year2", "year3"]
     assert all(row[name] == f"{name}{at + 1}" for at, row in enumerate(found) for name in names)
-    assert [row.extra for row in found] == [None, "extra2", None]
+    assert [row.EXTRA for row in found] == [None, "extra2", None]
     put_text(tmp_path / "d.csv", [",".join(names[1:]), ",".join(names[1:])])
     with pytest.raises(ValueError, match=f"columns missing in .*d.csv: {names[0]}"):
         read_raw_csv(spark, str(tmp_path))
