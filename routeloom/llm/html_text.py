@@ -52,6 +52,9 @@ DROPPED = frozenset(
     "dialog menu object canvas audio video title option datalist noembed xmp".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|respond|replies)(?:$|[\s_-])")
+# Names that say that a page has, lacks or is about something, not that an element is it.
+ABOUT = re.compile(r"(?:^|\s)(?:has|have|no|not|with|without|is|category|tag|post|page|type|format|style|layout|theme|section|container)[_-]\S*")
 SIGNS = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu|breadcrumbs?|"
     r"sidebar|footer|header|masthead|cookies?|consent|gdpr|notices?|alerts?|popup|modal|overlay|newsletter|"
@@ -85,6 +88,7 @@ class Tree:
 
     def __init__(self, html: str):
         self.tags, self.attributes, self.parents, self.items = ["#root"], [""], [-1], [[]]
+        self.measured: tuple[list[int], list[bool]] | None = None
         opened = [0]
         at, size = 0, len(html)
         while at < size:
@@ -185,6 +189,27 @@ class Tree:
                 odd |= key == "hidden" or value == "true"
         return " ".join(names), odd
 
+    def _weights(self) -> tuple[list[int], list[bool]]:
+        """Characters of text below each element, and whether an article or main is there."""
+        count = len(self.tags)
+        weights, holds = [0] * count, [False] * count
+        for place in range(count - 1, -1, -1):
+            tag = self.tags[place]
+            weights[place] += sum(len(x) for x in self.items[place] if isinstance(x, str) and not x.isspace())
+            holds[place] |= tag in ("article", "main")
+            if place and tag not in RAW and tag not in ("head", "nav", "footer", "aside"):
+                weights[self.parents[place]] += weights[place]
+                holds[self.parents[place]] |= holds[place]
+        return weights, holds
+
+    def _is_page(self, place: int, names: str) -> bool:
+        """Whether what is marked as boilerplate holds the page itself: most of its text, and
+        for comments, which may be longer than what they are about, an article as well."""
+        if self.measured is None:
+            self.measured = self._weights()
+        weights, holds = self.measured
+        return 2 * weights[place] > weights[0] and (holds[place] or not COMMENTS.search(names))
+
     def _blocks(self, root: int, gone: list[bool], levels: dict[int, int], hashes: list[int]) -> list[tuple]:
         """(place, level, words, characters) of an article's paragraphs and other text (place 0)."""
         out, todo = [], [root]
@@ -248,9 +273,13 @@ class Tree:
                 gone[place] = True
                 continue
             names, odd = self.named(place)
-            if tag in DROPPED or odd:
+            own = ABOUT.sub(" ", names)
+            if odd or tag in DROPPED and not (tag == "form" and self._is_page(place, own)):
                 gone[place] = True
-            elif tag not in ("html", "body", "main") and SIGNS.search(names):
+            elif (
+                tag not in ROOTS and not (tag == "header" and inside[above])
+                and SIGNS.search(own) and not self._is_page(place, own)
+            ):
                 gone[place] = True
             elif tag == "header" and not inside[above]:
                 gone[place] = True

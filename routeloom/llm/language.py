@@ -26,6 +26,9 @@ SPACE = "▁"
 LEARN_TEXTS, ROUNDS = 500, 3
 # Longer runs of letters are scored in parts of this many characters.
 WORD_CHARS = 32
+# A text whose letters are so many times as surprising as usual is in no learnt language;
+# so many letters more, divided by its own, are allowed to short texts.
+FOREIGN, SHORT = 2.4, 5
 # What a letter that no piece covers counts, and what every piece has beside its share.
 FLOOR = 1e-7
 REMEMBERED = 700_000
@@ -199,8 +202,8 @@ def learn(
 _scores: dict[str, dict[str, np.ndarray]] = {}
 
 
-def _judged(batches, path: str, model, name: str) -> Iterator[tuple[pa.RecordBatch, list, list]]:
-    """Batches with the predicted language and its score of each row."""
+def _judged(batches, path: str, model, name: str) -> Iterator[tuple[pa.RecordBatch, list, list, list]]:
+    """Batches with the predicted language, its score, and the logarithm and letters of each row."""
     if name not in _scores:
         _scores.clear()
         _scores[name] = {}
@@ -219,31 +222,65 @@ def _judged(batches, path: str, model, name: str) -> Iterator[tuple[pa.RecordBat
                 for rows, lattice in pieces.lattices(part):
                     values = np.log(forward(lattice, chances)[-1])
                     seen.update(zip((part[at] for at in rows), values))
-            predicted, scores = [], []
+            predicted, scores, rates = [], [], []
             for words in cut:
                 if not words:
                     predicted.append(UNDETERMINED)
                     scores.append(0.0)
+                    rates.append((0.0, 0))
                     continue
-                total = shares + np.array([seen[word] for word in words]).sum(axis=0)
+                whole = np.array([seen[word] for word in words]).sum(axis=0)
+                total = shares + whole
                 odds = np.exp(total - total.max())
                 at = int(odds.argmax())
                 predicted.append(languages[at])
                 scores.append(float(odds[at] / odds.sum()))
-            yield batch, predicted, scores
+                rates.append((float(whole[at]), sum(map(len, words))))
+            yield batch, predicted, scores, rates
 
 
 def _predicted(batches, path: str, model, name: str) -> Iterator[pa.RecordBatch]:
-    for batch, predicted, scores in _judged(batches, path, model, name):
+    for batch, predicted, scores, _ in _judged(batches, path, model, name):
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(predicted, pa.string()), pa.array(scores, pa.float64())],
             ["doc_id", "lang_pred", "score"],
         )
 
 
-def _accepted(batches, path: str, model, name: str, least: float) -> Iterator[pa.RecordBatch]:
-    for batch, predicted, scores in _judged(batches, path, model, name):
-        kept = [x != UNDETERMINED and y >= least for x, y in zip(predicted, scores)]
+def _rates(batches, path: str, model, name: str) -> Iterator[pa.RecordBatch]:
+    for batch, predicted, _, rates in _judged(batches, path, model, name):
+        right = [x if x == y else None for x, y in zip(predicted, batch.column("lang").to_pylist())]
+        yield pa.RecordBatch.from_arrays([pa.array(right, pa.string()), pa.array([x / y if y else None for x, y in rates], pa.float64())], ["lang", "rate"])
+
+
+def usual_rates(docs: DataFrame, model: Model, path: str, texts: int = LEARN_TEXTS) -> dict[str, float]:
+    """The mean logarithm a letter that each language gives its own texts, one number each.
+
+    It is taken over a like number of texts as were learnt from, and over others than these:
+    those a language was learnt from are nearer to it than new ones.
+    """
+    rows = docs.select("doc_id", "text", "lang").filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = rows.filter(~held_out(F.col("doc_id")))
+    known = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    if not known:
+        return {}
+    share = F.create_map(*[F.lit(y) for x in known for y in (x.lang, min(1.0, texts / x.n))])
+    place = 1 - F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) / 1_000_003  # from the other end
+    shared, name = _shared(docs.sparkSession, model)
+    found = map_arrow(
+        rows.filter(place < share[F.col("lang")]).select("lang", "text"),
+        lambda batches: _rates(batches, path, shared, name), "lang string, rate double",
+    )
+    means = found.filter("lang IS NOT NULL AND rate IS NOT NULL").groupBy("lang").agg(F.avg("rate").alias("rate"))
+    return {x.lang: x.rate for x in means.collect()}
+
+
+def _accepted(batches, path: str, model, name: str, least: float, floors: dict[str, float]) -> Iterator[pa.RecordBatch]:
+    for batch, predicted, scores, rates in _judged(batches, path, model, name):
+        kept = [
+            x != UNDETERMINED and y >= least and z >= floors.get(x, -np.inf) * (letters + SHORT)
+            for x, y, (z, letters) in zip(predicted, scores, rates)
+        ]
         yield batch.filter(pa.array(kept, pa.bool_()))
 
 
@@ -252,16 +289,26 @@ def _shared(spark: SparkSession, model: Model) -> tuple:
     return spark.sparkContext.broadcast(model), f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
-def accepted(docs: DataFrame, model: Model | None, path: str, least: float = 0.5) -> DataFrame:
+def accepted(
+    docs: DataFrame,
+    model: Model | None,
+    path: str,
+    least: float = 0.5,
+    usual: dict[str, float] | None = None,
+    times: float = FOREIGN,
+) -> DataFrame:
     """The rows of ``docs`` whose text is in a learnt language, with all their columns.
 
     Rejected are texts that are null or hold no letter, and those of which no language has
-    a share of ``least``. Without a model nothing is known, and every row stays.
+    a share of ``least``. With the ``usual`` rates of the languages, so are texts that their
+    language explains too badly to be in it: by less than ``times`` its usual logarithm a
+    letter, which is a negative number. Without a model nothing is known, and every row stays.
     """
     if model is None:
         return docs
     shared, name = _shared(docs.sparkSession, model)
-    return map_arrow(docs, lambda batches: _accepted(batches, path, shared, name, least), docs.schema)
+    floors = {lang: times * rate for lang, rate in (usual or {}).items()}
+    return map_arrow(docs, lambda batches: _accepted(batches, path, shared, name, least, floors), docs.schema)
 
 
 def predict(docs: DataFrame, model: Model | None, path: str) -> DataFrame:
