@@ -40,13 +40,35 @@ def map_arrow(frame: DataFrame, function: Callable, schema: str | StructType) ->
 
     The folder the driver found the package in is added to the path of the workers, which
     serves local runs and shared installations; elsewhere the package comes by --py-files.
+    A worker that goes on with another operator forgets what it remembered for the last.
     """
     environment = frame.sparkSession.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
-    return frame.mapInArrow(function, schema)
+    owner = function.__module__
+
+    def owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(owner)
+        return function(batches)
+
+    return frame.mapInArrow(owned, schema)
+
+
+_forgetting: list[tuple[tuple[str, ...], Callable[[], None]]] = []
+
+
+def remembers(forget: Callable[[], None], *owners: str) -> None:
+    """Registers how a worker forgets what it remembers for the operators of some modules."""
+    _forgetting.append((owners, forget))
+
+
+def claim(owner: str) -> None:
+    """Forget what is remembered for others than the module whose operator runs now."""
+    for owners, forget in _forgetting:
+        if owner not in owners:
+            forget()
 
 
 def held_out(identifier: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from .common import held_out, map_arrow, pieces_of, stored
+from .common import held_out, map_arrow, pieces_of, remembers, stored
 
 SPACE = "▁"
 # Texts learnt from in each language, about: the rows of smallest hash. All are scored.
@@ -144,6 +144,7 @@ class Model:
 
     def __init__(self, languages: list[str], chances: np.ndarray, shares: np.ndarray):
         self.languages, self.chances, self.shares = languages, chances, shares
+        self.handle: tuple | None = None
 
 
 def learn(
@@ -199,29 +200,48 @@ def learn(
     return Model(languages, chances, (shares + 1) / (shares + 1).sum())
 
 
-_scores: dict[str, dict[str, np.ndarray]] = {}
+class Seen:
+    """Logarithms of words in all languages, a row of a table for each word that was seen."""
+
+    def __init__(self, languages: int):
+        self.row: dict[str, int] = {}
+        self.values = np.empty((1024, languages))
+
+    def add(self, words: list[str], values: np.ndarray) -> None:
+        start = len(self.row)
+        if start + len(words) > len(self.values):
+            grown = np.empty((max(2 * len(self.values), start + len(words)), self.values.shape[1]))
+            grown[:start] = self.values[:start]
+            self.values = grown
+        self.values[start : start + len(words)] = values
+        self.row.update(zip(words, range(start, start + len(words))))
+
+
+# The words of one model at a time.
+_scores: dict[str, Seen] = {}
+remembers(_scores.clear, __name__)
 
 
 def _judged(batches, path: str, model, name: str) -> Iterator[tuple[pa.RecordBatch, list, list, list]]:
     """Batches with the predicted language, its score, and the logarithm and letters of each row."""
+    pieces = vocabulary(path)
+    chances, shares, languages = model.value.chances, np.log(model.value.shares), model.value.languages
     if name not in _scores:
         _scores.clear()
-        _scores[name] = {}
-    seen, pieces = _scores[name], vocabulary(path)
-    chances, shares, languages = model.value.chances, np.log(model.value.shares), model.value.languages
+        _scores[name] = Seen(len(languages))
+    seen = _scores[name]
     for whole in batches:
         for batch in pieces_of(whole, "text", BATCH_BYTES):
             cut = [words_of(text) for text in batch.column("text").to_pylist()]
             distinct = set().union(*cut)
-            unseen = [x for x in distinct if x not in seen]
-            if len(seen) + len(unseen) > REMEMBERED:
-                seen.clear()
+            unseen = [x for x in distinct if x not in seen.row]
+            if len(seen.row) + len(unseen) > REMEMBERED:
+                seen = _scores[name] = Seen(len(languages))
                 unseen = list(distinct)
             for low in range(0, len(unseen), WORD_BATCH):
                 part = unseen[low : low + WORD_BATCH]
                 for rows, lattice in pieces.lattices(part):
-                    values = np.log(forward(lattice, chances)[-1])
-                    seen.update(zip((part[at] for at in rows), values))
+                    seen.add([part[at] for at in rows], np.log(forward(lattice, chances)[-1]))
             predicted, scores, rates = [], [], []
             for words in cut:
                 if not words:
@@ -229,7 +249,7 @@ def _judged(batches, path: str, model, name: str) -> Iterator[tuple[pa.RecordBat
                     scores.append(0.0)
                     rates.append((0.0, 0))
                     continue
-                whole = np.array([seen[word] for word in words]).sum(axis=0)
+                whole = seen.values[[seen.row[word] for word in words]].sum(axis=0)
                 total = shares + whole
                 odds = np.exp(total - total.max())
                 at = int(odds.argmax())
@@ -286,7 +306,10 @@ def _accepted(batches, path: str, model, name: str, least: float, floors: dict[s
 
 def _shared(spark: SparkSession, model: Model) -> tuple:
     """The model for all tasks, and a name under which a worker may keep scores of words."""
-    return spark.sparkContext.broadcast(model), f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    if model.handle is None:
+        name = f"{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+        model.handle = spark.sparkContext.broadcast(model), name
+    return model.handle
 
 
 def accepted(

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, matched, packed, pieces_of, runs, stored, unpacked
+from .common import map_arrow, matched, packed, pieces_of, remembers, runs, stored, unpacked
 from .components import connected
 
 # A candidate group with more members or shingles than this is dealt out in chunks.
@@ -80,6 +80,7 @@ class _Words(dict):
 
 
 _words = _Words()
+remembers(_words.clear, __name__)
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:

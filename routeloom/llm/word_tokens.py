@@ -16,6 +16,8 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
+from .common import remembers
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Remembered pieces of one worker, and the longest piece that is remembered.
@@ -161,6 +163,10 @@ def _drops_white_space(plan: dict) -> bool:
 
 
 _encoders: dict[tuple, PieceEncoder] = {}
+remembers(
+    lambda: [encoder.seen.clear() for encoder in _encoders.values()],
+    *[f"{__package__}.{name}" for name in ("packing", "token_counts", "piece_merges")],
+)
 
 
 def encoder(path: str, kind: str) -> PieceEncoder:
