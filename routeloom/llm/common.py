@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -64,11 +66,27 @@ def remembers(forget: Callable[[], None], *owners: str) -> None:
     _forgetting.append((owners, forget))
 
 
+_last_owner: list[str] = []
+
+
 def claim(owner: str) -> None:
-    """Forget what is remembered for others than the module whose operator runs now."""
+    """Forget what is remembered for others than the module whose operator runs now.
+
+    When that changes, freed memory is given back, which allocators otherwise keep.
+    """
+    if _last_owner == [owner]:
+        return
     for owners, forget in _forgetting:
         if owner not in owners:
             forget()
+    if _last_owner:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not the GNU library
+            pass
+    _last_owner[:] = [owner]
 
 
 def held_out(identifier: Column) -> Column:
