@@ -9,6 +9,10 @@ has the same surrogate wherever it stands. Only what identifies counts for the a
 case, and the marks between digits, are kept but not drawn from, so spellings of one
 entity stay spellings of one surrogate. Numbers with a check digit get a right one; parts
 of an address stay below 256; names move within a list of their script and gender.
+
+A name found once in a text is replaced wherever else its words stand in that text. What
+the passes cannot promise, such as a listed and an unlisted name that meet, is looked for
+over the distinct entities of the whole table, and drawn again until all are told apart.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 # --- fixed values: patterns and alphabets -------------------------------------------------
 # Kinds in the order in which they are tried at a place in the text.
 PATTERNS = {
@@ -33,7 +39,7 @@ PATTERNS = {
     r"|(?<![0-9A-Za-z])\+(?=(?:[ ./-]?[0-9]){8,15}(?![0-9]))[0-9]{1,3}(?:[ ./-]?[0-9]{1,4}){2,6}(?![0-9])"
     r"|(?<![0-9A-Za-z])0[0-9](?:[ .-][0-9]{2}){4}(?![0-9])|(?<![0-9A-Za-z])[6-9][0-9]{2}(?: [0-9]{2}){3}(?![0-9])"
     r"|(?<![0-9A-Za-z/])0[0-9]{1,5} ?/ ?(?=(?:[ -]?[0-9]){5})[0-9]{2,4}(?:[ -]?[0-9]{1,4}){1,3}(?![0-9/])",
-    "name": r"(?=\p{Lu})(?<=\b(?:Mr|Mrs|Ms|Dr|Mr\.|Mrs\.|Ms\.|Dr\.|Herr|Frau|Monsieur|Madame|Señor|Señora|господин|госпожа) )[\p{Lu}][\p{L}'’-]+(?: [\p{Lu}][\p{L}'’-]+){0,2}",
+    "name": r"(?=\p{Lu})(?<=\b(?:Mr|Mrs|Ms|Dr|Mr\.|Mrs\.|Ms\.|Dr\.|Herr|Frau|Monsieur|Madame|Señor|Señora|господин|госпожа) )\p{Lu}(?:\p{L}|['’-](?=\p{L})(?!s(?!\p{L})))+(?: \p{Lu}(?:\p{L}|['’-](?=\p{L})(?!s(?!\p{L})))+){0,2}",
 }
 # What does not tell entities apart.
 MARKS = r"[^\p{L}\p{N}]"
@@ -53,6 +59,9 @@ NAMES = (
 )
 # ------------------------------------------------------------------------------------------
 
+# Draws for entities whose surrogates meet, and for those that equal theirs, the first included.
+DRAWS, SAME_DRAWS = 16, 4
+
 _ANY = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 # Every text with an entity holds this, which is quickly looked for.
 _HINT = "[0-9@=:]|Mrs?|Ms|Dr|Herr|Frau|Monsieur|Madame|Señor|господин|госпожа"
@@ -128,9 +137,15 @@ def _kind(entity: str) -> str:
     return f"CASE {' '.join(cases)} ELSE 'name' END"
 
 
+def _plain(address: str) -> str:
+    """An IPv4 address without leading zeros."""
+    return f"array_join(transform(split({address}, '[.]'), part -> cast(cast(part AS BIGINT) AS STRING)), '.')"
+
+
 def _address(entity: str, key: str) -> str:
-    """An IPv4 address: each part moved below 256 by what stands before it, and the first
-    once more by the others, so that the whole can be undone."""
+    """An IPv4 address without leading zeros: each part moved below 256 by what stands before
+    it, and the first once more by the others, so that the whole can be undone."""
+    entity = _plain(entity)
     one = f"cast(pmod(cast(part AS BIGINT) + {_draw(key, 'state.seen')}, 256) AS STRING)"
     moved = (
         f"aggregate(split({entity}, '[.]'), named_struct('seen', '', 'made', cast(array() AS ARRAY<STRING>)), "
@@ -260,32 +275,70 @@ def entities(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(_ANY), F.lit(0))
 
 
-def replaced(text: Column, found: Column, made: Column) -> Column:
-    """The text with each found entity replaced by what was made of it."""
-    between = F.split(text, _ANY, -1)
+def _named(found: Column) -> Column:
+    """The pattern of all entities of a text: names among ``found`` also where their words
+    stand without a title."""
+    names = F.filter(found, lambda entity: entity.rlike(r"^\p{Lu}[\p{L}'’ -]+$"))
+    words = F.array_distinct(F.flatten(F.transform(names, lambda name: F.split(name, " "))))
+    # words hold letters, apostrophes and hyphens only, none of which means something here
+    again = F.concat(
+        F.lit(_ANY + r"|(?<![\p{L}\p{N}])(?:"), F.array_join(words, "|"), F.lit(r")(?![\p{L}\p{N}])")
+    )
+    return F.when(F.size(words) > 0, again).otherwise(F.lit(_ANY))
+
+
+def replaced(text: Column, pattern: Column, made: Column) -> Column:
+    """The text with each match of the pattern replaced by what was made of it."""
+    between = F.split(text, pattern, -1)
     return F.array_join(
         F.transform(between, lambda part, at: F.concat(part, F.coalesce(F.get(made, at), F.lit("")))), ""
     )
 
 
+def _found(docs: DataFrame, column: str, pattern: str, own: str) -> DataFrame:
+    """``docs`` with the pattern of each text in a column and its entities in another, both
+    null where there are none."""
+    text = F.col(column)
+    titled = F.when(text.rlike(_HINT), entities(text))
+    return (
+        docs.select("*", titled.alias(own))
+        .withColumn(pattern, F.when(F.size(own) > 0, _named(F.col(own))))
+        .withColumn(own, F.regexp_extract_all(text, F.col(pattern), F.lit(0)))
+    )
+
+
 def pseudonymized(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """``docs`` with the personal data in ``column`` replaced, all other columns as they are.
 
     Null and empty texts stay as they are; texts without entities do not change. Equal
-    entities have equal surrogates in every row. Nothing is shuffled.
+    entities have equal surrogates in every row, and different ones different surrogates (see
+    ``redrawn``). The distinct entities of all texts are shuffled; texts are only where they
+    hold an entity that was drawn again.
     """
-    own = f"_entities_{uuid.uuid4().hex}"  # no column of the table has this name
-    found = F.when(F.col(column).rlike(_HINT), entities(F.col(column)))
-    made = F.expr(f"transform({own}, entity -> {surrogate_sql('entity', key)})")
-    text = F.when(F.size(own) > 0, replaced(F.col(column), F.col(own), made)).otherwise(F.col(column))
-    marked = docs.select("*", found.alias(own))
+    pattern, own, again, mark = (f"_{name}_{uuid.uuid4().hex}" for name in ("pattern", "entities", "again", "mark"))
+    others = redrawn(surrogates(docs, key, column), key)
+    marked = _found(docs, column, pattern, own)
+    made = surrogate_sql("entity", key)
+    if others is not None:
+        changed = F.sha2(F.col(column), 256)
+        texts = (
+            marked.filter(F.size(own) > 0).select(changed.alias(mark), F.explode(F.array_distinct(own)).alias("entity"))
+            .distinct().join(others, "entity")
+            .groupBy(mark).agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias(again))
+        )
+        marked = marked.withColumn(mark, F.when(F.size(own) > 0, changed)).join(texts, mark, "left")
+        made = f"coalesce({again}[entity], {made})"
+    text = F.when(
+        F.size(own) > 0, replaced(F.col(column), F.col(pattern), F.expr(f"transform({own}, entity -> {made})"))
+    ).otherwise(F.col(column))
     return marked.select(*[text.alias(name) if name == column else F.col(name) for name in docs.columns])
 
 
 def surrogates(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """The distinct entities of ``docs`` with kind and surrogate."""
+    texts = docs.select(F.col(column).alias("text"))
     return (
-        docs.select(F.explode(entities(F.col(column))).alias("entity")).distinct()
+        _found(texts, "text", "pattern", "found").select(F.explode("found").alias("entity")).distinct()
         .select(
             F.expr(_kind("entity")).alias("kind"), "entity",
             F.expr(surrogate_sql("entity", key)).alias("surrogate"),
@@ -293,12 +346,49 @@ def surrogates(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     )
 
 
+def _identity() -> str:
+    """What spellings of one address have in common; other entities as they stand."""
+    # all spellings of an IPv6 address share one surrogate, and no other address has it
+    return f"CASE kind WHEN 'ip' THEN {_plain('entity')} WHEN 'ip6' THEN concat('ip6/', surrogate) ELSE entity END"
+
+
 def collisions(pairs: DataFrame) -> DataFrame:
     """Surrogates that two different entities of ``pairs`` share, or that equal their entity.
 
-    Spellings are told apart as they stand, so an empty result proves distinctness.
+    Spellings of one IP address are one entity; others are told apart as they stand, so an
+    empty result proves distinctness. ``entity`` is the smallest, ``n`` the number of all.
     """
-    shared = pairs.groupBy("kind", "surrogate").agg(
-        F.count_distinct("entity").alias("n"), F.min("entity").alias("entity")
+    shared = pairs.withColumn("identity", F.expr(_identity())).groupBy("surrogate").agg(
+        F.count_distinct("identity").alias("n"), F.min("identity").alias("first"),
+        F.min("entity").alias("entity"), F.bool_or(F.col("entity") == F.col("surrogate")).alias("same"),
     )
-    return shared.filter((F.col("n") > 1) | (F.col("entity") == F.col("surrogate")))
+    return shared.filter((F.col("n") > 1) | F.col("same"))
+
+
+def redrawn(pairs: DataFrame, key: str) -> DataFrame | None:
+    """Entity and surrogate of those of ``pairs`` (see ``surrogates``) that needed another
+    draw; none if all are told apart at once.
+
+    Of the entities that share a surrogate the smallest keeps it; the others, and those that
+    equal their surrogate, are drawn again under a key with the number of the draw, until
+    nothing meets. Where a kind has so few surrogates that ``DRAWS`` draws do not part the
+    entities (two-letter names that are nearly all taken), the last draw stays. What equals its
+    surrogate after ``SAME_DRAWS`` has no letter or digit that moves, and stays too.
+    """
+    pairs = stored(pairs.withColumn("drawn", F.lit(False)), "surrogates")
+    for draw in range(1, DRAWS):
+        same = (F.col("entity") == F.col("surrogate")) & F.lit(draw < SAME_DRAWS)
+        shared = collisions(pairs).filter((F.col("n") > 1) | F.lit(draw < SAME_DRAWS))
+        if shared.isEmpty():
+            break
+        other = same | F.coalesce(F.expr(_identity()) != F.col("first"), F.lit(False))
+        made = F.when(F.col("other"), F.expr(surrogate_sql("entity", f"{key}/draw {draw}")))
+        pairs = stored(
+            pairs.join(shared.select("surrogate", "first"), "surrogate", "left").withColumn("other", other).select(
+                "kind", "entity", made.otherwise(F.col("surrogate")).alias("surrogate"),
+                (F.col("drawn") | F.col("other")).alias("drawn"),
+            ),
+            "surrogates_drawn",
+        )
+    drawn = pairs.filter("drawn").select("entity", "surrogate")
+    return None if drawn.isEmpty() else drawn
