@@ -32,7 +32,7 @@ FOREIGN, SHORT = 2.4, 5
 # What a letter that no piece covers counts, and what every piece has beside its share.
 FLOOR = 1e-7
 REMEMBERED = 700_000
-BATCH_BYTES, WORD_BATCH = 8_000_000, 20_000
+BATCH_BYTES, WORD_BATCH = 2_000_000, 20_000
 UNDETERMINED = "und"
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
