@@ -43,7 +43,7 @@ BRANCH_LENGTH = 12
 HUBS = 8
 BATCH_BYTES = 8_000_000
 # Marks that one task counts, about, and the most tasks they are dealt to.
-BUCKET_PAIRS, MAX_BUCKETS = 2_000_000, 10_000
+BUCKET_PAIRS, MAX_BUCKETS = 500_000, 10_000
 # Ways of slicing that a set gets whose shingles leave too many slices empty.
 MORE_SLICINGS = 6
 # Shingles of the members that one task compares with the hubs of their group.
