@@ -2,11 +2,18 @@
 
 A pass orders the vectors of each label by a concatenation of random hyperplane bits, most
 significant first, so that similar vectors tend to lie close; the label's mean is taken off before, since
-bits that are equal for all order nothing. Each label has as many passes as its size needs for
-the recall aimed at, and beyond a bound all have a wider window. Every vector is compared with
-a bounded window of neighbours in that order, and links that hold are united across passes.
-The order is a global position cut into blocks of equal size with an overlap of one window,
-so neither a hot label nor a partition border changes what is compared.
+bits that are equal for all order nothing. Every vector is compared with a bounded window of
+neighbours in that order, and links that hold are united across passes. The order is a global
+position cut into blocks of equal size with an overlap of one window, so neither a hot label
+nor a partition border changes what is compared.
+
+Passes are run in rounds, and how much they find is measured, not assumed. With the vectors of
+a label go probes: partners of some of them at the threshold, turned towards another of the label.
+A probe is found when it links with the component of the vector it was made from; it never
+links others. Labels whose probes are found too seldom go through another round of other
+hyperplanes, with more passes or a wider window, until they are. So tight groups inside a wide
+label get what they need, and a label of one tight group, where chains unite all that links,
+needs no more than any other.
 
 Links inside a component found this way are then counted in full. In a component too large
 for one task, vectors within half the threshold angle of its mean direction link with each
@@ -23,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ordering import with_position, write_ordered
@@ -32,9 +39,16 @@ from .common import map_arrow, runs, stored
 from .components import connected
 
 PASSES, WINDOW, BLOCK, SEED = 16, 32, 2_048, 20_240_229
-# Share of the pairs right at the threshold that passes are meant to find at any size, and the
-# number of passes beyond which the window grows instead.
+# Share of the pairs right at the threshold that passes are meant to find in a label spread
+# evenly, and the most passes of one round.
 RECALL, MOST_PASSES = 0.99, 64
+# Labels up to this size are compared in full in one pass, which costs no more than the others.
+FULL = PASSES * WINDOW
+# Probes of a label, about one in 16 vectors up to some 256, the share of them to be found, and
+# the widest window of a round that is not compared in full.
+PROBE_SHARE, PROBES, MEASURED, MOST_WINDOW = 16, 256, 0.95, 1_024
+# Bytes that a row of the passes' order takes in a sort.
+ROW_BYTES = 64
 # Members of a component that one task compares with each other.
 GROUP_MEMBERS = 2_048
 
@@ -59,12 +73,12 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             values = np.asarray(vector, np.float64) + 0.0
             vectors.append(values.tobytes())
             # labels part the nodes; equal vectors under one label are one node
-            nodes.append(xxhash.xxh3_64_intdigest(vectors[-1], seed=hash(label) & 0xFFFF_FFFF) - 2**63)
+            nodes.append(xxhash.xxh3_64_intdigest(vectors[-1], seed=label % 2**64) - 2**63)
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("vec_id"),
                 pa.array(nodes, pa.int64()),
-                batch.column("label").cast(pa.int64()),
+                batch.column("label"),
                 pa.array(vectors, pa.binary()),
             ],
             ["vec_id", "node", "label", "vector"],
@@ -110,12 +124,51 @@ def projection_keys(units: np.ndarray, seed: int, passes: int) -> np.ndarray:
     return keys
 
 
-def _keys(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
+def partners(units: np.ndarray, mates: np.ndarray, threshold: float) -> np.ndarray:
+    """For each unit vector one just above the threshold from it, towards its mate; NaN if that is no direction."""
+    cosine = threshold + (1 - threshold) / 1_000
+    away = mates - np.einsum("ij,ij->i", mates, units)[:, None] * units
+    length = np.sqrt(np.einsum("ij,ij->i", away, away))
+    away = away / np.where(length > 1e-6, length, np.nan)[:, None]
+    return cosine * units + np.sqrt(1 - cosine**2) * away
+
+
+def _turned(batches, threshold: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        raw, mates = batch.column("vector").to_pylist(), batch.column("mate").to_pylist()
+        made = [partners(_units([x]), _units([y]), threshold)[0] for x, y in zip(raw, mates)]
+        kept = pa.array([not np.isnan(x).any() for x in made], pa.bool_())
+        yield batch.drop_columns(["vector", "mate"]).append_column(
+            "vector", pa.array([x.tobytes() for x in made], pa.binary())
+        ).filter(kept)
+
+
+def _probes(sized: DataFrame, plans: DataFrame, threshold: float) -> DataFrame:
+    """Probes of the labels that are not compared in full, under the nodes they are made from.
+
+    A label's hash-chosen vectors, some ``PROBES`` to twice as many, are taken in order of another
+    hash, and each is turned towards the next.
+    """
+    own = sized.join(plans.select("label", "size", "count"), ["label", "size"]).filter(
+        f"size > 1 AND count > {FULL} AND pmod(xxhash64(node), greatest({PROBE_SHARE}, count DIV {PROBES})) = 0"
+    )
+    following = F.lead("vector").over(Window.partitionBy("label", "size").orderBy(F.hash("node"), "node"))
+    paired = own.select("node", "label", "size", "vector", following.alias("mate")).filter("mate IS NOT NULL")
+    return stored(
+        map_arrow(
+            paired, lambda batches: _turned(batches, threshold), "node long, label long, size long, vector binary"
+        ),
+        "probes",
+    )
+
+
+def _keys(batches, seed: int) -> Iterator[pa.RecordBatch]:
+    """The keys of all passes of a round."""
     for batch in batches:
         raw, means = batch.column("vector").to_pylist(), batch.column("mean").to_pylist()
-        nodes, labels, sizes, passes = (
-            np.asarray(batch.column(name)) for name in ("node", "label", "size", "passes")
-        )
+        names = ["node", "label", "size", "passes", "window"]
+        nodes, labels, sizes, passes, windows = (np.asarray(batch.column(name)) for name in names)
+        probes = np.asarray(batch.column("probe").to_pylist(), bool)
         for size, count in sorted(set(zip(sizes.tolist(), passes.tolist()))):
             rows = np.flatnonzero((sizes == size) & (passes == count))
             centred = _units([raw[at] for at in rows]) - np.array([means[at] for at in rows])
@@ -127,22 +180,30 @@ def _keys(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBat
                     pa.array(np.full(len(rows) * count, size)),
                     pa.array(keys.ravel()),
                     pa.array(np.repeat(nodes[rows], count)),
+                    pa.array(np.repeat(probes[rows], count)),
+                    pa.array(np.repeat(windows[rows], count)),
                 ],
-                ["pass", "label", "size", "key", "node"],
+                ["pass", "label", "size", "key", "node", "probe", "window"],
             )
 
 
 def _plans(batches, threshold: float, passes: int | None, window: int | None) -> Iterator[pa.RecordBatch]:
-    """Passes and window of each label, where they are not given."""
+    """Passes and window of each label in the first round, where they are not given."""
     for batch in batches:
         planned = []
         for count, mean in zip(batch.column("count").to_pylist(), batch.column("mean").to_pylist()):
-            own = plan(count, float(np.dot(mean, mean)), threshold, window or WINDOW)
-            planned.append((passes or own[0], own[1] if window is None and passes is None else window or WINDOW))
+            if passes or window:
+                planned.append((passes or plan(count, float(np.dot(mean, mean)), threshold, window)[0], window or WINDOW))
+            elif count <= FULL:
+                planned.append((1, count))
+            else:
+                own = plan(count, float(np.dot(mean, mean)), threshold)
+                # where the estimate asks for a wider window, probes decide what is needed
+                planned.append((own[0] if own[1] == WINDOW else PASSES, WINDOW))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), batch.column("size"), batch.column("mean"),
+            [*(batch.column(name) for name in ("label", "size", "mean", "count")),
              pa.array([x[0] for x in planned], pa.int64()), pa.array([x[1] for x in planned], pa.int64())],
-            ["label", "size", "mean", "passes", "window"],
+            ["label", "size", "mean", "count", "passes", "window"],
         )
 
 
@@ -158,28 +219,39 @@ def spanning(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             return lowest
 
 
-def _window_links(batches, window: int, threshold: float) -> Iterator[pa.RecordBatch]:
+def _window_links(batches, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links between vectors, and those of probes with what they meet, marked as such."""
     for rows in runs(batches, ["block"]):
         lanes = list(zip(*(rows[name].to_pylist() for name in ("pass", "label", "size"))))
         starts = [at for at in range(len(lanes)) if at == 0 or lanes[at] != lanes[at - 1]]
-        nodes = np.asarray(rows["node"])
+        nodes, windows = np.asarray(rows["node"]), np.asarray(rows["window"])
+        probes = np.asarray(rows["probe"].to_pylist(), bool)
         raw = rows["vector"].to_pylist()
         ends = []
         for low, high in zip(starts, [*starts[1:], len(lanes)]):
-            units = _units(raw[low:high])
-            left, right = [], []
-            for step in range(1, min(window, high - low - 1) + 1):
-                near = np.einsum("ij,ij->i", units[:-step], units[step:]) >= threshold
-                left.append(np.flatnonzero(near))
-                right.append(left[-1] + step)
-            if left:
-                root = spanning(high - low, np.concatenate(left), np.concatenate(right))
-                moved = np.flatnonzero(root != np.arange(high - low))
-                ends.append((nodes[low + moved], nodes[low + root[moved]]))
-        if ends:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([x[side] for x in ends])) for side in (0, 1)], ["a", "b"]
+            units, probe = _units(raw[low:high]), probes[low:high]
+            if high - low <= windows[low] + 1:
+                left, right = np.nonzero(np.triu(units @ units.T >= threshold, 1))
+            else:
+                left, right = [], []
+                for step in range(1, windows[low] + 1):
+                    near = np.einsum("ij,ij->i", units[:-step], units[step:]) >= threshold
+                    left.append(np.flatnonzero(near))
+                    right.append(left[-1] + step)
+                left, right = np.concatenate(left), np.concatenate(right)
+            real = ~(probe[left] | probe[right])
+            root = spanning(high - low, left[real], right[real])
+            moved = np.flatnonzero(root != np.arange(high - low))
+            ends.append((nodes[low + moved], nodes[low + root[moved]], np.zeros(len(moved), bool)))
+            mixed = probe[left] != probe[right]
+            left, right = left[mixed], right[mixed]
+            met = np.unique(
+                np.stack([np.where(probe[left], left, right), root[np.where(probe[left], right, left)]]), axis=1
             )
+            ends.append((nodes[low + met[0]], nodes[low + met[1]], np.ones(met.shape[1], bool)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([x[side] for x in ends])) for side in (0, 1, 2)], ["a", "b", "probe"]
+        )
 
 
 def _group_counts(batches, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -288,6 +360,73 @@ def _large_counts(members: DataFrame, threshold: float) -> DataFrame:
     return sure.unionByName(computed)
 
 
+def _round(rows: DataFrame, plans: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """What the passes of one round find over the labels of ``plans``; ``rows`` are vectors and probes."""
+    spark = rows.sparkSession
+    keys, window = plans.agg(F.sum(F.expr("count * passes")), F.max("window")).first()
+    block_rows = max(BLOCK, window or WINDOW)
+    keyed = map_arrow(
+        rows.join(plans.drop("count"), ["label", "size"]),
+        lambda batches: _keys(batches, seed),
+        "pass long, label long, size long, key long, node long, probe boolean, window long",
+    )
+    path = scratch_path(spark, "projection_passes")
+    order = ["pass", "label", "size", "key", "node", "probe"]
+    write_ordered(keyed, order, path, stored_bytes=ROW_BYTES * (keys or 0))
+    place = with_position(spark, path).withColumn("position", F.col("position") - 1)
+    block, inside = F.floor(F.col("position") / block_rows), F.col("position") % block_rows
+    blocks = F.when((inside < F.col("window")) & (block > 0), F.array(block - 1, block)).otherwise(F.array(block))
+    compared = place.select("*", F.explode(blocks).alias("block")).join(
+        rows.select("node", "probe", "vector"), ["node", "probe"]
+    )
+    return stored(
+        map_arrow(
+            compared.repartition("block").sortWithinPartitions("block", "position"),
+            lambda batches: _window_links(batches, threshold),
+            "a long, b long, probe boolean",
+        ),
+        "window_links",
+    )
+
+
+def _measured(probes: DataFrame, met: DataFrame, joined: DataFrame) -> DataFrame:
+    """For each label with probes, how many it has and how many of them are found."""
+    place = joined.select(F.col("node").alias("met"), F.col("component").alias("reached"))
+    own = probes.select("label", "size", F.col("node").alias("a")).join(
+        joined.select(F.col("node").alias("a"), "component"), "a", "left"
+    ).select("label", "size", "a", F.coalesce("component", "a").alias("own"))
+    reached = met.select("a", F.col("b").alias("met")).distinct().join(place, "met", "left").select(
+        "a", F.coalesce("reached", "met").alias("own")
+    )
+    found = own.join(reached.distinct().withColumn("found", F.lit(1)), ["a", "own"], "left")
+    return found.groupBy("label", "size").agg(
+        F.count(F.lit(1)).alias("probes"), F.count("found").alias("found")
+    )
+
+
+def _passes(sized: DataFrame, plans: DataFrame, probes: DataFrame | None, threshold: float, seed: int) -> DataFrame:
+    """Components of the links found in all rounds."""
+    rows = sized.select("node", "label", "size", "vector", F.lit(False).alias("probe"))
+    if probes is None:
+        return connected(_round(rows, plans, threshold, seed))
+    rows = rows.unionByName(probes.withColumn("probe", F.lit(True)))
+    links = _round(rows, plans, threshold, seed)
+    while True:
+        joined = stored(connected(links.filter("NOT probe")), "components")
+        rates = _measured(probes, links.filter("probe"), joined)
+        lacking = rates.filter(F.col("found") < MEASURED * F.col("probes")).select("label", "size")
+        plans = stored(
+            plans.join(lacking, ["label", "size"])
+            .withColumn("passes", F.expr(f"if(window < {MOST_WINDOW}, {PASSES}L, least({MOST_PASSES}L, 2 * passes))"))
+            .withColumn("window", F.expr(f"least({MOST_WINDOW}L, 4 * window)")),
+            "label_plans",
+        )
+        if plans.isEmpty():
+            return joined
+        seed += 1
+        links = links.unionByName(_round(rows, plans, threshold, seed))
+
+
 def near_duplicates(
     vectors: DataFrame,
     threshold: float = 0.93,
@@ -301,11 +440,11 @@ def near_duplicates(
     when a pass brings them, or a chain between them, into one window; ``n_links`` counts
     the links of a row inside its component, ``component_id`` is the smallest vec_id it
     reaches, its own included, and ``kept`` marks the row that bears it. No link below the
-    threshold is made. Chance finds a pair of cosine c in one pass with about
-    (1 - acos(c)/pi)^m, where a label holds 2^m windows and c is what is left of the cosine
-    without the label's mean. Unless ``passes`` or ``window`` are given, each label has what
-    finds a pair at the threshold with the chance ``RECALL``; labels that fit into a window
-    are compared in full.
+    threshold is made. Labels of up to ``FULL`` different vectors are compared in full. Others
+    begin with the passes that find a pair at the threshold with the chance ``RECALL`` if the
+    label is spread evenly, and go on until the share ``MEASURED`` of their probes is found.
+    ``passes`` or ``window``, if given, hold for one round that is not measured.
+    Labels may be of any type that Spark can hash.
 
     Rows with a null label, and vectors that are null, empty, zero or hold null or
     non-finite components, link with nothing. Vectors of different length never link.
@@ -313,7 +452,8 @@ def near_duplicates(
     """
     described = stored(
         map_arrow(
-            vectors.select("vec_id", "label", "embedding"), _describe,
+            vectors.select("vec_id", F.expr("if(label IS NULL, NULL, xxhash64(label))").alias("label"), "embedding"),
+            _describe,
             "vec_id long, node long, label long, vector binary",
         ),
         "described_vectors",
@@ -329,32 +469,16 @@ def near_duplicates(
     plans = stored(
         map_arrow(
             _means(sized, ["label", "size"]), lambda batches: _plans(batches, threshold, passes, window),
-            "label long, size long, mean array<double>, passes long, window long",
+            "label long, size long, mean array<double>, count long, passes long, window long",
         ),
         "label_plans",
     )
-    window = plans.agg(F.max("window")).first()[0] or WINDOW
-    block_rows = max(BLOCK, window)
-    spark = vectors.sparkSession
-    path = scratch_path(spark, "projection_passes")
-    order = ["pass", "label", "size", "key", "node"]
-    keyed = map_arrow(
-        sized.join(plans.drop("window"), ["label", "size"]), lambda batches: _keys(batches, seed),
-        "pass long, label long, size long, key long, node long",
-    )
-    write_ordered(keyed, order, path)
-    place = with_position(spark, path).withColumn("position", F.col("position") - 1)
-    block, inside = F.floor(F.col("position") / block_rows), F.col("position") % block_rows
-    blocks = F.when((inside < window) & (block > 0), F.array(block - 1, block)).otherwise(F.array(block))
-    compared = place.select("*", F.explode(blocks).alias("block")).join(
-        nodes.select("node", "vector"), "node"
-    )
-    links = map_arrow(
-        compared.repartition("block").sortWithinPartitions("block", "position"),
-        lambda batches: _window_links(batches, window, threshold),
-        "a long, b long",
-    )
-    members = stored(nodes.join(connected(links), "node"), "vector_components")
+    probes = None
+    if passes is None and window is None and threshold < 1 - 1e-9:
+        probes = _probes(sized, plans, threshold)
+        probes = None if probes.isEmpty() else probes
+    joined = _passes(sized, plans, probes, threshold, seed)
+    members = stored(nodes.join(joined, "node"), "vector_components")
     sizes = members.groupBy("component").agg((F.count(F.lit(1)) > GROUP_MEMBERS).alias("large"))
     sized = members.join(sizes, "component")
     small = sized.filter("NOT large").select("component", "node", "weight", "vector")
