@@ -13,9 +13,7 @@ from routeloom.llm.queries import pii_key
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the corpus' languages."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    model = language.learn(docs, path)
-    usual = language.usual_rates(docs, model, path) if model else {}
-    return language.accepted(docs, model, path, usual=usual)
+    return language.accepted(docs, language.learn(docs, path), path, times=language.FOREIGN)
 
 
 def ordinary(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
