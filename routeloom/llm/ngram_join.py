@@ -70,7 +70,7 @@ def _mix(values):
 class _Words(dict):
     """64-bit numbers of words, remembered up to a bound."""
 
-    BOUND = 500_000
+    BOUND = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.BOUND:
@@ -303,7 +303,9 @@ def _candidates(described: DataFrame, nodes: DataFrame, percent: int) -> DataFra
         lambda batches: _asked(batches, buckets),
         ASKED,
     )
-    shared = map_arrow(asked.repartition(buckets, "bucket").sortWithinPartitions("bucket"), _shared, SHARED)
+    # a bucket a task: by a hash several buckets would meet in one task and in its Arrow batch
+    dealt = asked.repartitionById(buckets, F.col("bucket").cast("int"))
+    shared = map_arrow(dealt.sortWithinPartitions("bucket"), _shared, SHARED)
     gathered = own.withColumn("order", F.lit(0)).unionByName(
         shared.withColumn("order", F.lit(1)), allowMissingColumns=True
     )

@@ -22,6 +22,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Remembered pieces of one worker, and the longest piece that is remembered.
 REMEMBERED, LONGEST = 700_000, 48
+# Words that go to the library as one text.
+JOINED = 64
 
 
 def byte_table(chars: str) -> np.ndarray:
@@ -90,9 +92,8 @@ class PieceEncoder:
                 self.starts = _words
                 self.prepare = lambda piece, first: piece.strip(" \t\r\n")
                 self.parts_marks = len(tokenizer.pre_tokenizer.pre_tokenize_str("ab,")) == 2
-            self.encode = lambda parts: [
-                x.ids for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-            ]
+            ends = _word_ends(tokenizer, plan) if self.starts is _words else None
+            self.encode = lambda parts: _library_ids(tokenizer, parts, ends)
         else:
             from sentencepiece import SentencePieceProcessor
 
@@ -162,6 +163,44 @@ def _drops_white_space(plan: dict) -> bool:
     ) or first.get("type") in ("Whitespace", "WhitespaceSplit")
 
 
+_BYTES = "".join(map(chr, [*range(33, 127), *range(161, 173), *range(174, 324)]))
+
+
+def _word_ends(tokenizer, plan: dict) -> np.ndarray | None:
+    """By id, whether a token ends a word; null if the file does not mark all its words' ends.
+
+    Words of letters end in a marked token if every byte has one of its own.
+    """
+    last, known = "</w>", tokenizer.get_vocab()
+    steps = [step.get("type") for step in plan.get("pretokenizers", [plan])]
+    if steps != ["Split", "ByteLevel"] or not all(x in known and x + last in known for x in _BYTES):
+        return None
+    ends = np.zeros(max(known.values()) + 1, bool)
+    ends[[at for token, at in known.items() if token.endswith(last)]] = True
+    return ends
+
+
+def _library_ids(tokenizer, parts: list[str], ends: np.ndarray | None = None) -> list[list[int]]:
+    """The library's ids of each part.
+
+    Where tokens mark ends of words, words of letters are encoded some at a time, with a
+    space between them, and their ids are taken apart at the ends. A word has at least one
+    end, so if there are as many ends as words, each has its own; else they go one by one.
+    """
+    found: dict[str, list[int]] = {}
+    if ends is not None:
+        words = [x for x in parts if x.isalpha()]
+        groups = [words[at : at + JOINED] for at in range(0, len(words), JOINED)]
+        for group, coded in zip(groups, tokenizer.encode_batch_fast([" ".join(x) for x in groups], add_special_tokens=False)):
+            ids = coded.ids
+            cuts = (np.flatnonzero(ends[ids]) + 1).tolist()
+            if len(cuts) == len(group) and cuts[-1] == len(ids):
+                found.update(zip(group, map(ids.__getitem__, map(slice, [0, *cuts], cuts))))
+    rest = [x for x in parts if x not in found]
+    found.update(zip(rest, (x.ids for x in tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
+    return [found[x] for x in parts]
+
+
 _encoders: dict[tuple, PieceEncoder] = {}
 remembers(
     lambda: [encoder.seen.clear() for encoder in _encoders.values()],

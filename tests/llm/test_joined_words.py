@@ -1,0 +1,48 @@
+"""Words that go to the library together, and buckets of marks dealt one to a task."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
+from routeloom.llm import ngram_join, word_tokens
+
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def test_words_together_have_the_ids_they_have_alone(monkeypatch):
+    letters = [chr(at) for at in range(0x41, 0x3000) if chr(at).isalpha()]
+    words = [x for y in letters for x in (y, f"a{y}b", f"{y}s")]
+    words += ["İstanbul", "ΣΑΣ", "don't", "x,", "42", "<|endoftext|>", "<|startoftext|>a", "東京", ""]
+    tokenizer, calls = Tokenizer.from_file(WORDS), []
+    alone = [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    tool = word_tokens.PieceEncoder(WORDS, len)
+    assert tool.encode(words) == alone
+
+    class Counting:
+        def encode_batch_fast(self, parts, **given):
+            calls.extend(parts)
+            return tokenizer.encode_batch_fast(parts, **given)
+
+    ends = word_tokens._word_ends(tokenizer, {"pretokenizers": [{"type": "Split"}, {"type": "ByteLevel"}]})
+    plain = [f"word{chr(97 + at % 26)}{chr(97 + at // 26)}" for at in range(640)]
+    assert word_tokens._library_ids(Counting(), plain, ends) == [
+        x.ids for x in tokenizer.encode_batch_fast(plain, add_special_tokens=False)
+    ]
+    assert len(calls) == 640 // word_tokens.JOINED
+
+
+def test_no_two_buckets_of_marks_meet_in_a_task(spark, monkeypatch):
+    found, mapped = [], ngram_join.map_arrow
+
+    def watched(frame, function, schema):
+        if function is ngram_join._shared:
+            found.append(frame.groupBy("bucket", ngram_join.F.spark_partition_id().alias("task")).count().collect())
+        return mapped(frame, function, schema)
+
+    monkeypatch.setattr(ngram_join, "map_arrow", watched)
+    texts = [" ".join(f"w{at * 7 + step % 40}" for step in range(90)) for at in range(60)]
+    docs = spark.createDataFrame([(at, x) for at, x in enumerate(texts + texts)], "doc_id long, text string")
+    assert ngram_join.keep_first(docs, width=5, percent=80).count() == 60
+    rows = [row for part in found for row in part]
+    assert rows and len({row.task for row in rows}) == len({row.bucket for row in rows}) == len(rows)
