@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,17 +44,25 @@ def write_samples(spark: SparkSession, source: str, root: str) -> list[dict]:
 
 
 def write_replicas(spark: SparkSession, source: str, root: str) -> list[dict]:
-    """Write the table once, twice and four times over, and check the row counts."""
+    """Write the table once, twice and four times over, and check the row counts.
+
+    The replicas are written at the same time, the largest first, so that the tasks of one
+    fill the places that the last tasks of another leave idle.
+    """
     source = published(spark, source)
     table = spark.read.parquet(source)
     total = row_total(spark, source)
-    made = []
-    for size, factor in SCALE_FACTORS.items():
-        path = variant_path(size, root, root)
+
+    def write(size: str) -> dict:
+        factor, path = SCALE_FACTORS[size], variant_path(size, root, root)
         copies = replicate(table, factor)
         rows = write_checked(spark, partial(write_parquet, copies), path, total * factor)
-        made.append({"scale": size, "factor": factor, "rows": rows, "output": path})
-    return made
+        return {"scale": size, "factor": factor, "rows": rows, "output": path}
+
+    largest_first = sorted(SCALE_FACTORS, key=SCALE_FACTORS.get, reverse=True)
+    with ThreadPoolExecutor(len(largest_first)) as writers:
+        made = dict(zip(largest_first, writers.map(write, largest_first)))
+    return [made[size] for size in SCALE_FACTORS]
 
 
 def preview(table: DataFrame, order: Sequence[str | Column], rows: int) -> DataFrame:
