@@ -14,8 +14,13 @@ def write_parquet(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").parquet(path)
 
 
-def write_csv(table: DataFrame, path: str) -> None:
-    table.write.mode("overwrite").option("header", True).csv(path)
+def packed_text(codec: str) -> dict[str, str]:
+    """Options of a text writer: a codec that text readers know by the files' names, or ``none``."""
+    return {"compression": codec, "zlib.compress.level": "BEST_SPEED"}
+
+
+def write_csv(table: DataFrame, path: str, codec: str = "none") -> None:
+    table.write.mode("overwrite").options(header=True, **packed_text(codec)).csv(path)
 
 
 def publish_parquet(table: DataFrame, path: str) -> int:
@@ -28,8 +33,8 @@ def publish_parquet(table: DataFrame, path: str) -> int:
     return table.sparkSession.read.parquet(rows).count()
 
 
-def publish_csv(table: DataFrame, path: str) -> None:
-    publish(table.sparkSession, path, lambda place: write_csv(table, place))
+def publish_csv(table: DataFrame, path: str, codec: str = "none") -> None:
+    publish(table.sparkSession, path, lambda place: write_csv(table, place, codec))
 
 
 def write_checked(spark: SparkSession, write: Callable[[str], None], path: str, expected: int) -> int:

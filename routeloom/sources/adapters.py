@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS
+from ..sinks.files import packed_text
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +21,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with both ends.
 
-    The customer side is joined to the orders first. With every side large, the order lines
-    are shuffled twice, by supplier and by order: the keys differ. Which sides are small
-    enough to broadcast is left to Spark's statistics.
+    Nations are joined last: before that each side is a table as it is stored, whose size
+    Spark knows, so a small one is broadcast and the order lines are not shuffled for it.
+    With every side large, they are shuffled twice, by supplier and by order.
     """
     nation = read_table(spark, sf_dir, "nation")
     here = nation.select(
@@ -31,19 +32,21 @@ def _legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     there = nation.select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("dest_name")
     )
-    customer = read_table(spark, sf_dir, "customer").join(there, "c_nationkey")
+    customer = read_table(spark, sf_dir, "customer")
     orders = (
         read_table(spark, sf_dir, "orders")
         .select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("c_custkey"))
-        .join(customer.select("c_custkey", "c_mktsegment", "c_nationkey", "dest_name"), "c_custkey")
+        .join(customer.select("c_custkey", "c_mktsegment", "c_nationkey"), "c_custkey")
     )
-    supplier = (
-        read_table(spark, sf_dir, "supplier")
-        .select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
-        .join(here, "s_nationkey")
+    supplier = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
     )
     return (
-        read_table(spark, sf_dir, "lineitem").join(supplier, "l_suppkey").join(orders, "l_orderkey")
+        read_table(spark, sf_dir, "lineitem")
+        .join(supplier, "l_suppkey")
+        .join(orders, "l_orderkey")
+        .join(here, "s_nationkey")
+        .join(there, "c_nationkey")
     )
 
 
@@ -142,15 +145,15 @@ def faulty_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _legs(spark, sf_dir).select(*[c.alias(name) for name, c in columns.items()])
 
 
-def write_faulty_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+def write_faulty_csv(spark: SparkSession, sf_dir: str, path: str, codec: str = "none") -> None:
     """Write ``faulty_flights`` as a headed CSV, blanks kept."""
-    write_raw_csv(faulty_flights(spark, sf_dir), path)
+    write_raw_csv(faulty_flights(spark, sf_dir), path, codec=codec)
 
 
-def write_raw_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_raw_csv(rows: DataFrame, path: str, mode: str = "overwrite", codec: str = "none") -> None:
     """Rows of text as headed CSV, blanks kept."""
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.write.mode(mode).option("header", True).options(**keep).csv(path)
+    rows.write.mode(mode).options(header=True, **keep, **packed_text(codec)).csv(path)
 
 
 def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
