@@ -278,7 +278,7 @@ def quality_metrics(spark, sf_dir):
 def clean_job_published(spark, sf_dir):
     """The cleaning job over raw text, twice to one path: its published rows."""
     raw, path = scratch_path(spark, "raw_csv"), scratch_path(spark, "published")
-    write_faulty_csv(spark, sf_dir, raw)
+    write_faulty_csv(spark, sf_dir, raw, clean_job.TEXT_CODEC)
     for _ in range(2):
         clean_job.run(spark, raw, path, f"{path}_csv")
     return read_parquet(spark, path)
