@@ -10,6 +10,7 @@ storage is the only thing later steps depend on, so losing an executor changes n
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,10 @@ MAX_FILES = 10_000
 # Stored bytes that one sort task is meant to take.
 SORT_TASK_BYTES = 256 << 20
 
+# Rows with equal keys that one sort task may always be given, and the share of its rows
+# that they may be; the buckets they are looked for in.
+ALIKE_ROWS, ALIKE_SHARE, ALIKE_BUCKETS = 5_000, 1 / 4, 16_384
+
 
 def write_ordered(
     table: DataFrame,
@@ -34,6 +39,7 @@ def write_ordered(
     path: str,
     mode: str = "errorifexists",
     stored_bytes: int = 0,
+    ties: Sequence[Column] = (),
 ) -> None:
     """Sort the whole table and write it so that file order is row order.
 
@@ -41,14 +47,20 @@ def write_ordered(
     per row, before the shuffle, and dropped again after the sort. ``stored_bytes``, if
     known, says how many sort tasks are needed; there are at least as many as the
     session's shuffle width and at most ``MAX_FILES``.
+
+    ``ties`` order the rows that are equal in all keys. They are computed after the shuffle,
+    once per row, so these rows must fit one sort task together.
     """
     computed = {f"_key{at}": key for at, key in enumerate(order) if isinstance(key, Column)}
     names = [f"_key{at}" if isinstance(key, Column) else key for at, key in enumerate(order)]
     keys = [F.col(name).asc_nulls_last() for name in names]
     keyed = table.select("*", *[key.alias(name) for name, key in computed.items()])
-    width = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(MAX_FILES, max(width, -(-stored_bytes // SORT_TASK_BYTES)))
-    placed = keyed.repartitionByRange(tasks, *keys).sortWithinPartitions(*keys)
+    tasks = sort_tasks(table.sparkSession, stored_bytes)
+    late = {f"_tie{at}": tie for at, tie in enumerate(ties)}
+    placed = keyed.repartitionByRange(tasks, *keys).select(
+        "*", *[tie.alias(name) for name, tie in late.items()]
+    )
+    placed = placed.sortWithinPartitions(*keys, *[F.col(name).asc_nulls_last() for name in late])
     (
         placed.select(*table.columns)
         .write.mode(mode)
@@ -57,18 +69,40 @@ def write_ordered(
     )
 
 
+def sort_tasks(spark: SparkSession, stored_bytes: int) -> int:
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_FILES, max(width, -(-stored_bytes // SORT_TASK_BYTES)))
+
+
 def sort_table(
     spark: SparkSession, source: str, order: Sequence[str], path: str, mode: str = "errorifexists"
 ) -> None:
     """Sort a Parquet table by columns, then by row fingerprint.
 
-    Rows equal in every column are spread by where they are stored, so that many copies
-    of one row fill several sort tasks and not one. Any order among them is the same.
+    Where no rows equal in the columns are many, fingerprints are computed after the shuffle.
+    Else they are keys of the shuffle, too, and rows equal in every column are spread by
+    where they are stored, so that many copies of one row fill several sort tasks and not
+    one. Any order among them is the same.
     """
     table = spark.read.parquet(source)
-    fingerprint = F.unhex(row_fingerprint(table.columns))
+    fingerprint, size = F.unhex(row_fingerprint(table.columns)), table_bytes(table)
+    if few_alike(table, order, sort_tasks(spark, size)):
+        write_ordered(table, order, path, mode, size, ties=[fingerprint])
+        return
     spread = F.xxhash64(F.col(_FILE), F.col(_ROW))
-    write_ordered(table, [*order, fingerprint, spread], path, mode, table_bytes(table))
+    write_ordered(table, [*order, fingerprint, spread], path, mode, size)
+
+
+def few_alike(table: DataFrame, columns: Sequence[str], tasks: int) -> bool:
+    """Whether any rows equal in some columns are a small part of what one of the tasks sorts.
+
+    Looked at are hash buckets, which hold such rows together and others besides; one row
+    per bucket and task is shuffled.
+    """
+    bucket = F.pmod(F.xxhash64(*columns), F.lit(ALIKE_BUCKETS)).alias("bucket")
+    counts = table.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
+    most, total = counts.agg(F.max("n"), F.sum("n")).first()
+    return (most or 0) <= max(ALIKE_ROWS, ALIKE_SHARE * (total or 0) / tasks)
 
 
 def table_bytes(table: DataFrame) -> int:
@@ -123,18 +157,17 @@ def prefix(spark: SparkSession, path: str, rows: int, offsets: list | None = Non
     if rows <= 0:
         return table.filter(F.lit(False))
     known = offset_rows(spark, path) if offsets is None else offsets
-    last = next((x for x in known if x["offset"] < rows <= x["offset"] + x["rows"]), None)
-    if last is None:
+    last = next((x for x in known if x["offset"] < rows < x["offset"] + x["rows"]), None)
+    whole = [f"{path}/{x['file']}" for x in known if x["offset"] + x["rows"] <= rows]
+    if last is None and len(whole) == len(known):
         return table
-    file, length = F.col(_FILE), F.length(_FILE)
-    name, size = F.lit(last["file"]), F.lit(len(last["file"]))
-    # The first two conditions know the file name only: Spark drops the later files while
-    # planning. They stay separate conjuncts, or it would fold the row number into them.
-    return table.filter(
-        (length <= size)
-        & ((length < size) | (file <= name))
-        & ((file != name) | (F.col(_ROW) < rows - last["offset"]))
-    )
+    parts = [spark.read.schema(table.schema).parquet(*whole)] if whole else []
+    if last is not None:
+        # Spark drops the other files while planning, by the condition on the name alone;
+        # rows of whole files go through no condition.
+        named = table.filter(F.col(_FILE) == last["file"])
+        parts.append(named.filter(F.col(_ROW) < rows - last["offset"]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def row_total(spark: SparkSession, path: str) -> int:
