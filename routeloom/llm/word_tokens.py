@@ -2,15 +2,18 @@
 
 A tokenizer file that drops white space before it merges can be cut at any white space; one
 that keeps it may be cut before a run of white space, since no token holds white space after
-something else. A batch of texts is cut at every such place; each distinct piece goes to the
-library once, in one call per batch, and its result is remembered up to a bound, so the
-work follows the distinct pieces and not the text.
+something else. A file that lowers texts and parts letters from digits and marks is also cut
+between these, as far as ASCII goes, and gets its pieces lowered. A batch of texts is cut at
+every such place; each distinct piece goes to the library once, in one call per batch, and its
+result is remembered up to a bound, so the work follows the distinct pieces and not the text.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
+import struct
 from collections.abc import Callable
 
 import numpy as np
@@ -32,12 +35,17 @@ def byte_table(chars: str) -> np.ndarray:
 
 
 def cut_texts(
-    texts: pa.Array, starts: Callable[[np.ndarray], np.ndarray]
+    texts: pa.Array,
+    starts: Callable[[np.ndarray], np.ndarray],
+    change: Callable[[np.ndarray], np.ndarray] | None = None,
+    dropped: np.ndarray | None = None,
 ) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct pieces of a column of texts, the piece at each place, and text borders.
 
     ``starts`` says for the bytes of all texts in a row where a piece may start; a text
     always starts one. Pieces of text ``i`` are at places ``borders[i]:borders[i + 1]``.
+    ``change`` may put other bytes in place of these first; the bytes of the table
+    ``dropped`` then belong to no piece.
     """
     texts = pa.compute.fill_null(texts.cast(pa.string()), "")
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
@@ -46,11 +54,17 @@ def cut_texts(
     ends = ends - ends[0]
     first = starts(used)
     first[ends[:-1][ends[:-1] < len(used)]] = True
+    if change is not None:
+        used = change(used)
+    if dropped is not None:
+        kept = ~dropped[used]
+        ends = np.r_[0, np.cumsum(kept, dtype=np.int32)][ends]
+        used, first = used[kept], first[kept]
     places = np.flatnonzero(first)
     offsets = np.append(places, len(used)).astype(np.int32)
     pieces = pa.StringArray.from_buffers(len(places), pa.py_buffer(offsets), pa.py_buffer(used.tobytes()))
     coded = pieces.dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.searchsorted(places, ends)
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy(), np.searchsorted(places, ends)
 
 
 _WHITE = byte_table(" \t\r\n")
@@ -71,28 +85,75 @@ def _spaced(data: np.ndarray) -> np.ndarray:
     return white & ~np.r_[True, white[:-1]] if len(data) else white
 
 
+# Letters, runs of one digit and runs of marks are merged apart; an apostrophe may begin what
+# letters go on, and "<|" an added token, which nothing before it changes.
+_PARTED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTER, _CAPITAL, _SMALL = 1, byte_table("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), byte_table("abcdefghijklmnopqrstuvwxyz")
+# 1 for letters, 2 for digits, 3 for marks, 0 beyond ASCII
+_CLASS = np.where(np.arange(256) < 128, 3, 0).astype(np.uint8)
+_CLASS[_CAPITAL | _SMALL] = _LETTER
+_CLASS[byte_table("0123456789")] = 2
+
+
+def _guarded(data: np.ndarray) -> np.ndarray | None:
+    """Bytes in a word with "<|", if any: they stay as they are and together."""
+    opened = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+    if not len(opened):
+        return None
+    word = np.cumsum(_words(data))
+    return np.isin(word, word[opened])
+
+
+def _parts(data: np.ndarray) -> np.ndarray:
+    """Starts of words, and within them of other classes of ASCII characters."""
+    first = _words(data)
+    if len(data) > 1:
+        kind = _CLASS[data]
+        turns = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        turns &= (data[:-1] != ord("'")) | (kind[1:] != _LETTER)
+        guarded = _guarded(data)
+        first[1:] |= turns if guarded is None else turns & ~guarded[1:]
+    return first
+
+
+def _lowered(data: np.ndarray) -> np.ndarray:
+    """Capital ASCII letters lowered, unless a byte beyond ASCII follows, which may join them."""
+    capital = _CAPITAL[data]
+    capital[:-1] &= data[1:] < 128
+    guarded = _guarded(data)
+    if guarded is not None:
+        capital &= ~guarded
+    return data + np.uint8(32) * capital
+
+
 class PieceEncoder:
     """Token ids of texts by the library for ``path``: tokenizers or sentencepiece."""
 
     def __init__(self, path: str, keep: Callable[[list[int]], object]):
         self.keep, self.seen, self.parts_marks = keep, {}, False
         self.prepare = lambda piece, first: piece
+        self.change = self.dropped = None
         if path.endswith(".json"):
             from tokenizers import Tokenizer
 
             with open(path, encoding="utf-8") as file:
-                plan = json.load(file).get("pre_tokenizer") or {}
+                whole = json.load(file)
+            plan = whole.get("pre_tokenizer") or {}
             tokenizer = Tokenizer.from_file(path)
             tokenizer.no_truncation()
             tokenizer.no_padding()
             self.starts = _led
-            if _drops_white_space(plan):
+            if _lowers_and_parts(whole):
+                self.starts, self.change, self.dropped = _parts, _lowered, _WHITE
+            elif _drops_white_space(plan):
                 self.starts = _words
                 self.prepare = lambda piece, first: piece.strip(" \t\r\n")
                 self.parts_marks = len(tokenizer.pre_tokenizer.pre_tokenize_str("ab,")) == 2
             self.encode = lambda parts: [
                 x.ids for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)
             ]
+            if self.change is not None:
+                self.encode = _by_model(tokenizer, self.encode)
         else:
             from sentencepiece import SentencePieceProcessor
 
@@ -109,7 +170,7 @@ class PieceEncoder:
         """What ``keep`` makes of the ids of each part."""
         seen = self.seen
         needed = dict.fromkeys(x for x in parts if x not in seen)
-        marked = [x for x in needed if self._marked(x)]
+        marked = [x for x in needed if self._marked(x)] if self.parts_marks else []
         for x in marked:
             del needed[x]
         needed |= dict.fromkeys(y for x in marked for y in (x[:-1], x[-1]) if y not in seen)
@@ -135,7 +196,9 @@ class PieceEncoder:
 
     def pieces(self, texts: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
         """What ``keep`` made of each distinct piece, the piece at each place, text borders."""
-        distinct, places, borders = cut_texts(texts, self.starts)
+        distinct, places, borders = cut_texts(texts, self.starts, self.change, self.dropped)
+        if self.change is not None:  # the pieces are as they go to the library
+            return self.learn(distinct), places, borders
         made = self.learn([self.prepare(x, False) for x in distinct])
         starts = borders[:-1][borders[:-1] < borders[1:]]
         odd = [at for at in starts if self.prepare(distinct[places[at]], True) != self.prepare(distinct[places[at]], False)]
@@ -148,6 +211,27 @@ class PieceEncoder:
         return made, places, borders
 
 
+# Letters that are composed and small as they are, and not followed by what joins them.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _by_model(tokenizer, encode: Callable[[list[str]], list]) -> Callable[[list[str]], list]:
+    """``encode`` that gives plain letters to the model itself, as nothing before it changes them
+    but for the names of their bytes."""
+    merged, named = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
+    names = {at: named(chr(at))[0][0] for at in range(0xDF, 0x100) if _PLAIN.fullmatch(chr(at))}
+
+    def encoded(parts: list[str]) -> list:
+        plain = list(map(_PLAIN.fullmatch, parts))
+        others = iter(encode([x for x, known in zip(parts, plain) if not known]))
+        return [
+            [y.id for y in merged(x if x.isascii() else x.translate(names))] if known else next(others)
+            for x, known in zip(parts, plain)
+        ]
+
+    return encoded
+
+
 def _drops_white_space(plan: dict) -> bool:
     """Whether a pre-tokenizer keeps only matches that hold no white space."""
     steps = plan.get("pretokenizers", [plan])
@@ -162,6 +246,25 @@ def _drops_white_space(plan: dict) -> bool:
     ) or first.get("type") in ("Whitespace", "WhitespaceSplit")
 
 
+def _lowers_and_parts(whole: dict) -> bool:
+    """Whether a tokenizer file composes and lowers texts and merges the matches of ``_PARTED``."""
+    normal, parts = whole.get("normalizer") or {}, whole.get("pre_tokenizer") or {}
+    lowering = normal.get("normalizers", [])
+    first, *later = parts.get("pretokenizers") or [{}]
+    return (
+        [x.get("type") for x in lowering] == ["NFC", "Replace", "Lowercase"]
+        and lowering[1].get("pattern") == {"Regex": r"\s+"} and lowering[1].get("content") == " "
+        and first.get("type") == "Split" and first.get("pattern") == {"Regex": _PARTED}
+        and first.get("behavior") == "Removed" and first.get("invert") is True
+        and [(x.get("type"), x.get("add_prefix_space"), x.get("use_regex")) for x in later] == [("ByteLevel", False, False)]
+        and all(
+            x["content"].startswith("<|") and not any(x[y] for y in ("lstrip", "rstrip", "single_word", "normalized"))
+            and not any(y.isspace() for y in x["content"])
+            for x in whole.get("added_tokens") or []
+        )
+    )
+
+
 _encoders: dict[tuple, PieceEncoder] = {}
 remembers(
     lambda: [encoder.seen.clear() for encoder in _encoders.values()],
@@ -172,7 +275,7 @@ remembers(
 def encoder(path: str, kind: str) -> PieceEncoder:
     """The worker's encoder for a file: ``lengths``, or ``ids`` as little-endian bytes."""
     if (path, kind) not in _encoders:
-        keep = len if kind == "lengths" else lambda ids: np.array(ids, "<u4").tobytes()
+        keep = len if kind == "lengths" else lambda ids: struct.pack(f"<{len(ids)}I", *ids)
         _encoders[path, kind] = PieceEncoder(path, keep)
     return _encoders[path, kind]
 

@@ -8,10 +8,12 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+from tokenizers import Tokenizer
 
-from routeloom.llm import language
+from routeloom.llm import language, word_tokens
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
     None, "", " ", "́", "́a", "á ́b", "1́x", "x" * 33, "y" * 97 + "́", "İSTANBUL ΟΔΟΣ Σ",
     "\0a\0", "漢字かな 한국어", "\U0001d400\U00010400ab", "á" * 20, "Don't we'll 12ab34 don't", "\U000e0100a",
@@ -65,3 +67,25 @@ def test_expected_pieces_cover_every_word():
     for piece, at, expected in zip(*(x.to_pylist() for x in found.columns)):
         covered[at] += sizes[piece] * expected
     assert np.allclose(covered, counts.T @ [len(x) + 1 for x in words])
+
+
+def test_words_that_differ_in_case_or_marks_are_encoded_once():
+    tool = word_tokens.PieceEncoder(WORDS, len)
+    tool.pieces(pa.array(["Word WORD word,", "(word) straße, Straße. word"]))
+    assert set(tool.seen) == {"word", "straße", ",", ".", "(", ")"}
+
+
+def test_finer_cuts_keep_the_ids_of_the_library():
+    atoms = [
+        *"aBJIKs'1,-<| \n\t\x0b\x85éÉßİΣKÅ;`漢ﬁ_²٣", "\0", "\u0301", "\u030c", "\u0307", "\u0338", "\xa0",
+        "'s", "'LL", "<|", "|>", "<|endoftext|>", "<|ENDOFTEXT|>", "Hello", "\u2028", "\U0001d400", " ", " ",
+    ]
+    rng = np.random.default_rng(3)
+    texts = [*ODD, "  a ", "A", "\u030c", "a<", "|b", *("".join(rng.choice(atoms, rng.integers(0, 20))) for _ in range(5_000))]
+    library = Tokenizer.from_file(WORDS).encode_batch_fast([x or "" for x in texts], add_special_tokens=False)
+    tool = word_tokens.PieceEncoder(WORDS, list)
+    column = pa.array(["x", *texts], pa.string())[1:]
+    made, places, borders = tool.pieces(column)
+    for at, own in enumerate(library):
+        assert [y for x in places[borders[at] : borders[at + 1]] for y in made[x]] == own.ids
+    assert tool.pieces(column[:0])[1:][0].tolist() == []
