@@ -42,7 +42,7 @@ _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 def _kinds() -> np.ndarray:
     """For each code point 2 if it is a letter, 1 if a mark, else 0."""
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    every = np.r_[0:0xD800, 0xE000:0x110000].astype(np.uint32).tobytes().decode("utf-32-le")
     found = np.zeros(0x110000, np.uint8)
     for kind, pattern in ((2, r"\p{L}+"), (1, r"\p{M}+")):
         for run in regex.finditer(pattern, every):
@@ -356,7 +356,7 @@ class Seen:
 
 # The words of one model at a time.
 _scores: dict[str, Seen] = {}
-remembers(_scores.clear, __name__)
+remembers(lambda: [x.clear() for x in (_scores, _vocabularies, _kind)], __name__)
 
 
 def _judged(batches, path: str, model, name: str) -> Iterator[tuple]:

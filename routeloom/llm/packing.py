@@ -28,7 +28,7 @@ WINDOW, END_ID = 4_096, 2
 DEPTH, STEPS = 6, 300
 # Pieces left over that one task packs greedily.
 REST_ROWS = 20_000
-BATCH_BYTES = 3_000_000
+BATCH_BYTES = 2_000_000
 _FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 _SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 

@@ -24,7 +24,7 @@ from .common import remembers
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Remembered pieces of one worker, and the longest piece that is remembered.
-REMEMBERED, LONGEST = 700_000, 48
+REMEMBERED, LONGEST = 400_000, 48
 
 
 def byte_table(chars: str) -> np.ndarray:
@@ -136,14 +136,12 @@ class PieceEncoder:
         if path.endswith(".json"):
             from tokenizers import Tokenizer
 
-            with open(path, encoding="utf-8") as file:
-                whole = json.load(file)
-            plan = whole.get("pre_tokenizer") or {}
             tokenizer = Tokenizer.from_file(path)
+            plan = _settings(tokenizer.pre_tokenizer)
             tokenizer.no_truncation()
             tokenizer.no_padding()
             self.starts = _led
-            if _lowers_and_parts(whole):
+            if _lowers_and_parts(tokenizer):
                 self.starts, self.change, self.dropped = _parts, _lowered, _WHITE
             elif _drops_white_space(plan):
                 self.starts = _words
@@ -246,9 +244,14 @@ def _drops_white_space(plan: dict) -> bool:
     ) or first.get("type") in ("Whitespace", "WhitespaceSplit")
 
 
-def _lowers_and_parts(whole: dict) -> bool:
-    """Whether a tokenizer file composes and lowers texts and merges the matches of ``_PARTED``."""
-    normal, parts = whole.get("normalizer") or {}, whole.get("pre_tokenizer") or {}
+def _settings(step) -> dict:
+    """What a tokenizer file says of a step, without reading its vocabulary again."""
+    return json.loads(step.__getstate__()) if step is not None else {}
+
+
+def _lowers_and_parts(tokenizer) -> bool:
+    """Whether a tokenizer composes and lowers texts and merges the matches of ``_PARTED``."""
+    normal, parts = _settings(tokenizer.normalizer), _settings(tokenizer.pre_tokenizer)
     lowering = normal.get("normalizers", [])
     first, *later = parts.get("pretokenizers") or [{}]
     return (
@@ -258,9 +261,9 @@ def _lowers_and_parts(whole: dict) -> bool:
         and first.get("behavior") == "Removed" and first.get("invert") is True
         and [(x.get("type"), x.get("add_prefix_space"), x.get("use_regex")) for x in later] == [("ByteLevel", False, False)]
         and all(
-            x["content"].startswith("<|") and not any(x[y] for y in ("lstrip", "rstrip", "single_word", "normalized"))
-            and not any(y.isspace() for y in x["content"])
-            for x in whole.get("added_tokens") or []
+            x.content.startswith("<|") and not (x.lstrip or x.rstrip or x.single_word or x.normalized)
+            and not any(y.isspace() for y in x.content)
+            for x in tokenizer.get_added_tokens_decoder().values()
         )
     )
 
